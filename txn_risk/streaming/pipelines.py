@@ -62,8 +62,12 @@ def read_replay(
 
 
 def without_repeats(stream: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Drop repeats of a ``trans_num`` within ``delay`` of event time (optional: the score table
-    and staging resolve repeats by key anyway)."""
+    """Drop repeats of a ``trans_num`` within ``delay`` of event time.
+
+    Optional, since the score table and staging resolve repeats by key anyway. Keys are held, and
+    events let through, for ``delay`` behind the latest event: choose it longer than any event may
+    be late, as later ones are discarded.
+    """
     at = F.coalesce(
         F.try_to_timestamp("trans_date_trans_time", F.lit(TIMESTAMP_TEXT)), F.current_timestamp()
     )
@@ -97,20 +101,24 @@ def ingest_to_lake(
     return _start(writer, checkpoint, interval)
 
 
-def stream_features(stream: DataFrame, baseline: Baseline) -> DataFrame:
+def stream_features(
+    stream: DataFrame, baseline: Baseline, forget_idle: bool = False
+) -> DataFrame:
     """The 27 features plus what a score record carries, by the batch's own column functions."""
     ready = with_defaults(stream.where(F.col("cc_num").isNotNull()))
     # Only what is used later crosses to Python.
-    counted = with_trailing_count(ready.select(*CARRIED, *ROW_INPUTS))
+    counted = with_trailing_count(
+        ready.select(*CARRIED, *ROW_INPUTS), forget_idle=forget_idle
+    )
     return project_features(counted, baseline, CARRIED)
 
 
 def scored_stream(
     stream: DataFrame, model: Model, baseline: Baseline, alert: float = ALERT_THRESHOLD,
-    block: float = BLOCK_THRESHOLD,
+    block: float = BLOCK_THRESHOLD, forget_idle: bool = False,
 ) -> DataFrame:
     """Transactions to score records."""
-    features = assembler().transform(stream_features(stream, baseline))
+    features = assembler().transform(stream_features(stream, baseline, forget_idle))
     return score_records(score_column(model, features), alert, block)
 
 

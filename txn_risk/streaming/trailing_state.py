@@ -25,7 +25,7 @@ _STATE = "seconds array<bigint>, counts array<bigint>"
 
 def with_trailing_count(
     stream: DataFrame, key: str = "cc_num", at: str = "unix_time", out: str = "txn_freq_24h",
-    horizon: int = DAY_SECONDS, lateness: int = DAY_SECONDS,
+    horizon: int = DAY_SECONDS, lateness: int = DAY_SECONDS, forget_idle: bool = False,
 ) -> DataFrame:
     """Add ``out``: the key's events in ``[at - horizon, at - 1]`` seen so far.
 
@@ -34,7 +34,9 @@ def with_trailing_count(
     rows, but rows already sent out are not revised. No event is dropped: one later than
     ``lateness`` finds only part of its past. ``at`` must not be null.
 
-    A card idle for horizon plus lateness of wall-clock time is forgotten.
+    ``forget_idle`` drops the state of a card without events for horizon plus lateness of wall-clock
+    time. It is for queries that run for good: with it a query never finishes by itself, as every
+    idle moment may bring a time-out. (An event-time time-out would discard late events.)
     """
     idle_ms = (horizon + lateness) * 1000
 
@@ -64,9 +66,11 @@ def with_trailing_count(
             yield frame.assign(**{out: upto - gone})
         held = seconds >= seconds[-1] - horizon - lateness
         state.update((seconds[held].tolist(), summed[held].tolist()))
-        state.setTimeoutDuration(idle_ms)
+        if forget_idle:
+            state.setTimeoutDuration(idle_ms)
 
     schema = T.StructType(stream.schema.fields + [T.StructField(out, T.LongType(), True)])
     return stream.groupBy(key).applyInPandasWithState(
-        count, schema, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+        count, schema, _STATE, "append",
+        GroupStateTimeout.ProcessingTimeTimeout if forget_idle else GroupStateTimeout.NoTimeout,
     )
