@@ -45,25 +45,40 @@ def zscore_or_zero(value: Column, mean: Column, std: Column) -> Column:
     return F.when(std > MIN_STD, F.try_divide(value - mean, std)).otherwise(0.0)
 
 
+def as_profile(baseline: DataFrame, key: str = "cc_num") -> DataFrame:
+    """A fitted baseline in the form :func:`zscore_from_profile` reads beside the rows."""
+    return baseline.select(
+        key, F.col("mean").alias("_mean"), F.col("std").alias("_std"), F.lit(True).alias("_seen")
+    )
+
+
+def zscore_from_profile(
+    df: DataFrame, overall: DataFrame, out: str = "amt_zscore_by_customer", value: str = "amt"
+) -> DataFrame:
+    """Score rows that carry a left-joined profile; an unseen key uses the global baseline.
+
+    ``overall`` is one row by construction, read as a scalar.
+    """
+    everyone = overall.select(F.struct("global_mean", "global_std")).scalar()
+    # A seen key has no mean only if all its values are missing.
+    mean = F.coalesce("_mean", "_all.global_mean")
+    std = F.when(F.col("_seen"), F.col("_std")).otherwise(F.col("_all.global_std"))
+    return (
+        df.withColumn("_all", everyone)
+        .withColumn(out, zscore_or_zero(F.col(value), mean, std))
+        .drop("_mean", "_std", "_seen", "_all")
+    )
+
+
 def with_baseline_zscore(
     df: DataFrame, baseline: DataFrame, overall: DataFrame, out: str = "amt_zscore_by_customer",
     key: str = "cc_num", value: str = "amt",
 ) -> DataFrame:
-    """Score rows against a fitted baseline; an unseen key uses the global one.
+    """Join the profile to the rows and score them.
 
     The profile grows with the number of cards, so its join carries no hint: it is broadcast only
     if its measured size is under the session's limit, else it is sorted and merged, and a busy
-    card's partition is split. ``overall`` is one row by construction, read as a scalar.
+    card's partition is split.
     """
-    profile = baseline.select(
-        F.col(key).alias("_key"), F.col("mean").alias("_mean"), F.col("std").alias("_std")
-    )
-    everyone = overall.select(F.struct("global_mean", "global_std")).scalar()
-    joined = df.join(profile, df[key] == profile["_key"], "left").withColumn("_all", everyone)
-    # Null comes only from an unseen key: a seen one has both numbers unless all its values are
-    # missing.
-    mean = F.coalesce("_mean", "_all.global_mean")
-    std = F.when(F.col("_key").isNull(), F.col("_all.global_std")).otherwise(F.col("_std"))
-    return joined.withColumn(out, zscore_or_zero(F.col(value), mean, std)).drop(
-        "_key", "_mean", "_std", "_all"
-    )
+    joined = df.join(as_profile(baseline, key), key, "left")
+    return zscore_from_profile(joined, overall, out, value)

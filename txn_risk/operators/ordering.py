@@ -51,7 +51,7 @@ def running_totals(
     whole = earlier.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # At most MAX_PIECES rows per group by construction, so one task and a broadcast are safe here.
     offsets = totals.select(
-        *[F.col(c).alias(f"_by_{c}") for c in by], F.col("_piece").alias("_at"),
+        *[F.col(c).alias(f"_by_{c}") for c in by], F.col("_piece").alias("_piece_of"),
         *[F.coalesce(F.sum(f"_sum_{s}").over(frame), F.lit(0)).alias(f"_off_{s}") for s in sums],
         *[F.sum(f"_sum_{s}").over(whole).alias(f"all_{s}") for s in sums],
     )
@@ -61,14 +61,14 @@ def running_totals(
     swept = pieces.select(
         "*", *[F.coalesce(F.sum(s).over(inside), F.lit(0)).alias(f"_in_{s}") for s in sums]
     )
-    on = swept["_piece"] == offsets["_at"]
+    on = swept["_piece"] == offsets["_piece_of"]
     for c in by:
         on &= swept[c].eqNullSafe(offsets[f"_by_{c}"])
     out = swept.join(F.broadcast(offsets), on)
     for s in sums:
         out = out.withColumn(f"before_{s}", F.col(f"_in_{s}") + F.col(f"_off_{s}"))
     return out.drop(
-        "_piece", "_at", *[f"_by_{c}" for c in by],
+        "_piece", "_piece_of", *[f"_by_{c}" for c in by],
         *[f"_in_{s}" for s in sums], *[f"_off_{s}" for s in sums],
     )
 

@@ -60,12 +60,22 @@ def attach_by_second(df: DataFrame, profile: DataFrame, key: str, at: str) -> Da
     return df.join(right, on).drop("_key", "_at")
 
 
+def _with_per_key(profile: DataFrame, per_key: DataFrame | None, key: str) -> DataFrame:
+    """Join columns known per key to the narrow profile, not to the rows themselves: the rows are
+    then shuffled once for both."""
+    return profile if per_key is None else profile.join(per_key, key, "left")
+
+
 def with_trailing_count(
-    df: DataFrame, key: str, at: str, out: str, horizon: int = DAY_SECONDS
+    df: DataFrame, key: str, at: str, out: str, horizon: int = DAY_SECONDS,
+    per_key: DataFrame | None = None,
 ) -> DataFrame:
-    """Strict form: events of the same second are not counted."""
+    """Strict form: events of the same second are not counted.
+
+    ``per_key`` (one row per key) is left-joined on the way.
+    """
     profile = trailing_counts(df, key, at, horizon).withColumnRenamed(TRAILING, out)
-    return attach_by_second(df, profile, key, at)
+    return attach_by_second(df, _with_per_key(profile, per_key, key), key, at)
 
 
 def tie_share(unique_id: str) -> Column:
@@ -74,7 +84,8 @@ def tie_share(unique_id: str) -> Column:
 
 
 def with_trailing_rank(
-    df: DataFrame, key: str, at: str, unique_id: str, out: str, horizon: int = DAY_SECONDS
+    df: DataFrame, key: str, at: str, unique_id: str, out: str, horizon: int = DAY_SECONDS,
+    per_key: DataFrame | None = None,
 ) -> DataFrame:
     """Rank form: of events in the same second, those sorted earlier count as well.
 
@@ -90,7 +101,8 @@ def with_trailing_rank(
     offsets = per_share.select(
         key, at, "_share", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
     )
-    profile = attach_by_second(offsets, trailing_counts(df, key, at, horizon), key, at)
+    counts = _with_per_key(trailing_counts(df, key, at, horizon), per_key, key)
+    profile = attach_by_second(offsets, counts, key, at)
     right = profile.withColumnsRenamed({key: "_key", at: "_at", "_share": "_part"})
     on = (
         (shared[key] == right["_key"])

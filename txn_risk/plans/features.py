@@ -19,7 +19,7 @@ from txn_risk.functions import (
     parse_date,
     parse_timestamp_lenient,
 )
-from txn_risk.operators.baseline import fit_baseline, fit_global, with_baseline_zscore
+from txn_risk.operators.baseline import as_profile, fit_baseline, fit_global, zscore_from_profile
 from txn_risk.operators.trailing import with_trailing_count, with_trailing_rank
 from txn_risk.schemas import (
     DEFAULT_AGE,
@@ -102,8 +102,11 @@ def row_features() -> dict[str, Column]:
 
 
 def project_features(counted: DataFrame, baseline: Baseline, keep: tuple[str, ...]) -> DataFrame:
-    """27 double columns in the pinned order after ``keep``; input already has ``txn_freq_24h``."""
-    scored = with_baseline_zscore(counted, baseline.cards, baseline.overall)
+    """27 double columns in the pinned order after ``keep``.
+
+    ``counted`` already has ``txn_freq_24h`` and carries the cards' profile.
+    """
+    scored = zscore_from_profile(counted, baseline.overall)
     made = row_features()
     columns = [made.get(n, F.col(n)).cast("double").alias(n) for n in FEATURES]
     return scored.select(*[c for c in keep if c not in FEATURES], *columns)
@@ -119,10 +122,15 @@ def batch_features(
     count, as the marts and the stream do; ``"rank"`` counts those sorted earlier.
     """
     ready = with_defaults(rows).where(F.col("cc_num").isNotNull())
+    cards = as_profile(baseline.cards)
     if tie_policy == "strict":
-        counted = with_trailing_count(ready, "cc_num", "unix_time", "txn_freq_24h")
+        counted = with_trailing_count(
+            ready, "cc_num", "unix_time", "txn_freq_24h", per_key=cards
+        )
     elif tie_policy == "rank":
-        counted = with_trailing_rank(ready, "cc_num", "unix_time", "trans_num", "txn_freq_24h")
+        counted = with_trailing_rank(
+            ready, "cc_num", "unix_time", "trans_num", "txn_freq_24h", per_key=cards
+        )
     else:
         raise ValueError(f"unknown tie policy {tie_policy!r}")
     return project_features(counted, baseline, keep)

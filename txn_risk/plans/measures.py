@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from txn_risk.functions import exact_avg, exact_sum, ratio
+from txn_risk.functions import ratio
 from txn_risk.schemas import COST_MISSED_FRAUD, PUBLISHED_RECALL
 
 
@@ -19,49 +19,66 @@ def _legit() -> Column:
 
 
 
-def _of(condition: Column, value: str) -> Column:
-    return F.when(condition, F.col(value))
+def _components() -> dict[str, Column]:
+    """Additive parts of all measures: counts, and money or distance sums as decimals.
 
-
-def base_aggregates() -> dict[str, Column]:
-    """Measures that are plain aggregates, by name."""
-    return {
-        "total_transactions": F.count(F.lit(1)),
-        "total_amount": exact_sum(F.col("amount")),
-        "avg_amount": exact_avg(F.col("amount")),
-        "avg_distance_km": exact_avg(F.col("geo_distance_km")),
-        "unique_customers": F.countDistinct("customer_id"),
-        "unique_merchants": F.countDistinct("merchant_id"),
-        "fraud_transactions": F.count_if(_fraud()),
-        "legit_transactions": F.count_if(_legit()),
-        "fraud_amount": exact_sum(_of(_fraud(), "amount")),
-        "avg_fraud_amount": exact_avg(_of(_fraud(), "amount")),
-        "avg_legit_amount": exact_avg(_of(_legit(), "amount")),
-        "avg_fraud_distance_km": exact_avg(_of(_fraud(), "geo_distance_km")),
-        "avg_legit_distance_km": exact_avg(_of(_legit(), "geo_distance_km")),
-        "night_transactions": F.count_if(F.col("is_night") == 1),
-        "night_frauds": F.count_if(_fraud() & (F.col("is_night") == 1)),
-        "weekend_transactions": F.count_if(F.col("is_weekend") == 1),
-        "weekend_frauds": F.count_if(_fraud() & (F.col("is_weekend") == 1)),
-        "avg_fraud_txn_freq_24h": exact_avg(_of(_fraud(), "txn_freq_24h")),
+    A sum over groups of a component is the component of their union, so rows can be reduced to
+    components before a join and added up after it.
+    """
+    classes = {"all": F.lit(True), "fraud": _fraud(), "legit": _legit()}
+    night, weekend = F.col("is_night") == 1, F.col("is_weekend") == 1
+    out = {f"n_{name}": F.count_if(rows) for name, rows in classes.items()}
+    out |= {
+        "n_night": F.count_if(night), "n_night_fraud": F.count_if(night & _fraud()),
+        "n_weekend": F.count_if(weekend), "n_weekend_fraud": F.count_if(weekend & _fraud()),
     }
+    for value in ("amount", "geo_distance_km", "txn_freq_24h"):
+        for name, rows in classes.items():
+            kept = F.when(rows, F.col(value))
+            out[f"sum_{value}_{name}"] = F.sum(kept.cast("decimal(18,2)"))
+            out[f"count_{value}_{name}"] = F.count(kept)
+    return out
 
 
-def derived_measures(
-    recall: float = PUBLISHED_RECALL, missed_cost: float = COST_MISSED_FRAUD
-) -> dict[str, Column]:
-    """Measures computed from the aggregates, by name."""
-    return {
-        "fraud_rate": ratio(F.col("fraud_transactions"), F.col("total_transactions"), 0),
-        "fraud_loss_rate": ratio(F.col("fraud_amount"), F.col("total_amount"), 0),
-        "fraud_to_normal_ratio": ratio(F.col("avg_fraud_amount"), F.col("avg_legit_amount"), 1),
-        "night_fraud_rate": ratio(F.col("night_frauds"), F.col("night_transactions"), 0),
-        "weekend_fraud_rate": ratio(F.col("weekend_frauds"), F.col("weekend_transactions"), 0),
-        "baseline_risk_cost": F.col("fraud_transactions") * missed_cost,
-        "fraud_prevented_amount": F.col("fraud_amount") * recall,
-    }
+def _mean(value: str, rows: str) -> Column:
+    return ratio(F.col(f"sum_{value}_{rows}"), F.col(f"count_{value}_{rows}"))
 
 
+def _total(rows: str) -> Column:
+    return F.col(f"sum_amount_{rows}").cast("double")
+
+
+def _measure(name: str, recall: float, missed_cost: float) -> Column:
+    """A measure over columns of components."""
+    return {
+        "total_transactions": lambda: F.col("n_all"),
+        "total_amount": lambda: _total("all"),
+        "avg_amount": lambda: _mean("amount", "all"),
+        "avg_distance_km": lambda: _mean("geo_distance_km", "all"),
+        "unique_customers": lambda: F.col("unique_customers"),
+        "unique_merchants": lambda: F.col("unique_merchants"),
+        "fraud_transactions": lambda: F.col("n_fraud"),
+        "legit_transactions": lambda: F.col("n_legit"),
+        "fraud_rate": lambda: ratio(F.col("n_fraud"), F.col("n_all"), 0),
+        "fraud_amount": lambda: _total("fraud"),
+        "avg_fraud_amount": lambda: _mean("amount", "fraud"),
+        "avg_legit_amount": lambda: _mean("amount", "legit"),
+        "fraud_loss_rate": lambda: ratio(_total("fraud"), _total("all"), 0),
+        "fraud_to_normal_ratio": lambda: ratio(
+            _mean("amount", "fraud"), _mean("amount", "legit"), 1
+        ),
+        "avg_fraud_distance_km": lambda: _mean("geo_distance_km", "fraud"),
+        "avg_legit_distance_km": lambda: _mean("geo_distance_km", "legit"),
+        "night_fraud_rate": lambda: ratio(F.col("n_night_fraud"), F.col("n_night"), 0),
+        "weekend_fraud_rate": lambda: ratio(F.col("n_weekend_fraud"), F.col("n_weekend"), 0),
+        "avg_fraud_txn_freq_24h": lambda: _mean("txn_freq_24h", "fraud"),
+        "baseline_risk_cost": lambda: F.col("n_fraud") * missed_cost,
+        "fraud_prevented_amount": lambda: _total("fraud") * recall,
+    }[name]()
+
+
+_DISTINCT = {"unique_customers": "customer_id", "unique_merchants": "merchant_id"}
+
 # The measures, in the order they are reported.
 MEASURES = (
     "total_transactions", "total_amount", "avg_amount", "avg_distance_km", "unique_customers",
@@ -71,17 +88,6 @@ MEASURES = (
     "baseline_risk_cost", "fraud_prevented_amount",
 )
 
-# What each derived measure needs.
-_NEEDS = {
-    "fraud_rate": ("fraud_transactions", "total_transactions"),
-    "fraud_loss_rate": ("fraud_amount", "total_amount"),
-    "fraud_to_normal_ratio": ("avg_fraud_amount", "avg_legit_amount"),
-    "night_fraud_rate": ("night_frauds", "night_transactions"),
-    "weekend_fraud_rate": ("weekend_frauds", "weekend_transactions"),
-    "baseline_risk_cost": ("fraud_transactions",),
-    "fraud_prevented_amount": ("fraud_amount",),
-}
-
 
 def measures(
     fact: DataFrame, by: Sequence[str] = (), only: Sequence[str] = MEASURES,
@@ -90,13 +96,36 @@ def measures(
 ) -> DataFrame:
     """``only`` the named measures per ``by`` group (all rows are one group without it).
 
-    ``where`` is the report's slicer. Only the aggregates that the named measures need are
-    computed: leaving out the two distinct counts saves their extra shuffle.
+    ``where`` is the report's slicer. One aggregate, combined map-side; components that no chosen
+    measure uses are pruned, and leaving out both distinct counts saves their extra shuffle.
     """
-    derived = derived_measures(recall, missed_cost)
-    wanted = {n for name in only for n in _NEEDS.get(name, (name,))}
-    aggregates = [c.alias(n) for n, c in base_aggregates().items() if n in wanted]
     rows = fact if where is None else fact.where(where)
+    aggregates = [c.alias(n) for n, c in _components().items()]
+    aggregates += [F.countDistinct(c).alias(n) for n, c in _DISTINCT.items() if n in only]
     return rows.groupBy(*by).agg(*aggregates).select(
-        *by, *[(derived[n] if n in derived else F.col(n)).alias(n) for n in only]
+        *by, *[_measure(n, recall, missed_cost).alias(n) for n in only]
+    )
+
+
+def measures_by_dimension(
+    fact: DataFrame, dim: DataFrame, key: str, dim_by: Sequence[str], fact_by: Sequence[str] = (),
+    only: Sequence[str] = MEASURES, where: Column | None = None, dim_where: Column | None = None,
+    recall: float = PUBLISHED_RECALL, missed_cost: float = COST_MISSED_FRAUD,
+) -> DataFrame:
+    """Measures grouped or sliced by attributes of a dimension, the dimension filtering the fact.
+
+    The fact is reduced to components per key (and per id, where ids are counted) before it meets
+    the dimension. The join then moves at most one row per such cell, so a key with a third of all
+    rows is no larger than the number of its counterparts.
+    """
+    rows = fact if where is None else fact.where(where)
+    people = dim if dim_where is None else dim.where(dim_where)
+    ids = {c for n, c in _DISTINCT.items() if n in only} - {key}
+    parts = _components()
+    cells = rows.groupBy(key, *fact_by, *sorted(ids)).agg(*[c.alias(n) for n, c in parts.items()])
+    joined = cells.join(people.select(key, *dim_by), key)
+    aggregates = [F.sum(n).alias(n) for n in parts]
+    aggregates += [F.countDistinct(c).alias(n) for n, c in _DISTINCT.items() if n in only]
+    return joined.groupBy(*dim_by, *fact_by).agg(*aggregates).select(
+        *dim_by, *fact_by, *[_measure(n, recall, missed_cost).alias(n) for n in only]
     )

@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from txn_risk.functions import age_group, exact_avg, month_bucket, ratio
-from txn_risk.operators.joins import star_join
-from txn_risk.plans.measures import measures
+from txn_risk.plans.measures import measures, measures_by_dimension
 from txn_risk.schemas import COST_FALSE_ALARM, COST_MISSED_FRAUD
 
 # Hour sets of the night report.
@@ -25,26 +24,32 @@ def _fraud() -> Column:
 
 
 
-def slicer(
-    start: str | None = None, end: str | None = None, states: Sequence[str] = (),
-    categories: Sequence[str] = (), age_groups: Sequence[str] = (),
+def fact_slicer(
+    start: str | None = None, end: str | None = None, categories: Sequence[str] = ()
 ) -> Column:
-    """The reports' slicers as one predicate; dates are inclusive, an empty choice means all."""
+    """The reports' date and category slicers; dates are inclusive, no choice means all."""
     keep = F.lit(True)
     if start:
         keep &= F.col("trans_timestamp") >= F.lit(start).cast("date")
     if end:
         keep &= F.col("trans_timestamp") < F.date_add(F.lit(end).cast("date"), 1)
-    for column, chosen in (("state", states), ("category", categories), ("age_group", age_groups)):
-        if chosen:
-            keep &= F.col(column).isin(*chosen)
+    if categories:
+        keep &= F.col("category").isin(*categories)
     return keep
 
 
-def with_customer(fact: DataFrame, customers: DataFrame) -> DataFrame:
-    """Fact rows with the customer attributes reports slice by."""
-    people = customers.withColumn("age_group", age_group(F.col("customer_age")))
-    return star_join(fact, people, "customer_id", ["state", "gender", "age_group"])
+def customer_slicer(states: Sequence[str] = (), age_groups: Sequence[str] = ()) -> Column:
+    """The reports' state and age-group slicers, over :func:`with_age_group`."""
+    keep = F.lit(True)
+    if states:
+        keep &= F.col("state").isin(*states)
+    if age_groups:
+        keep &= F.col("age_group").isin(*age_groups)
+    return keep
+
+
+def with_age_group(customers: DataFrame) -> DataFrame:
+    return customers.withColumn("age_group", age_group(F.col("customer_age")))
 
 
 def monthly_trend(fact: DataFrame) -> DataFrame:
@@ -72,9 +77,9 @@ def label_split(fact: DataFrame) -> DataFrame:
 
 
 def state_risk(fact: DataFrame, customers: DataFrame) -> DataFrame:
-    return measures(
-        star_join(fact, customers, "customer_id", ["state"]), ["state"],
-        ["total_transactions", "fraud_amount", "fraud_rate"],
+    return measures_by_dimension(
+        fact, customers, "customer_id", ["state"],
+        only=["total_transactions", "fraud_amount", "fraud_rate"],
     )
 
 
@@ -109,9 +114,9 @@ def top_merchants(fact: DataFrame, merchants: DataFrame, n: int = 10) -> DataFra
 
 
 def age_gender(fact: DataFrame, customers: DataFrame) -> DataFrame:
-    return measures(
-        with_customer(fact, customers), ["age_group", "gender"],
-        ["total_transactions", "fraud_transactions", "fraud_rate"],
+    return measures_by_dimension(
+        fact, with_age_group(customers), "customer_id", ["age_group", "gender"],
+        only=["total_transactions", "fraud_transactions", "fraud_rate"],
     )
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from txn_risk.functions import ratio
 from txn_risk.operators.folds import stratified_folds
+from txn_risk.operators.ordering import running_totals, split_points
 from txn_risk.plans.evaluation import (
     cheapest,
     cost_sweep,
@@ -33,6 +34,7 @@ from txn_risk.schemas import (
     COST_MISSED_FRAUD,
     FEATURES,
     PROMOTION_FLOOR,
+    TIMESTAMP_TEXT,
 )
 from txn_risk.session import settle
 
@@ -40,13 +42,27 @@ LOGISTIC, FOREST, BOOSTED = "Logistic Regression", "Random Forest", "Gradient Bo
 
 
 def time_prefix(rows: DataFrame, n: int | None) -> DataFrame:
-    """The earliest ``n`` transactions (all without ``n``).
+    """The earliest ``n`` transactions (all without ``n``); unreadable times come last.
 
     A file has a first row but a distributed table does not, so the prefix is taken in time order.
+    A sort with a limit would send ``n`` rows of every task to one. Instead the second in which
+    the n-th row falls is found from counts per second; earlier seconds are kept whole, and only
+    that one is cut, by ``trans_num``.
     """
     if n is None:
         return rows
-    return rows.orderBy("trans_date_trans_time", "trans_num").limit(n)
+    at = F.unix_timestamp(F.try_to_timestamp("trans_date_trans_time", F.lit(TIMESTAMP_TEXT)))
+    timed = rows.withColumn("_second", F.coalesce(at.cast("double"), F.lit(float("inf"))))
+    per_second = timed.groupBy("_second").agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_totals(per_second, "_second", ["n"], split_points(timed, "_second"))
+    last = ranked.where(
+        (F.col("before_n") < n) & (F.col("before_n") + F.col("n") >= n)
+    ).select("_second", "before_n").first()
+    if last is None:
+        return rows if n > 0 else rows.limit(0)
+    whole = timed.where(F.col("_second") < last["_second"])
+    cut = timed.where(F.col("_second") == last["_second"]).orderBy("trans_num").limit(n - last["before_n"])
+    return whole.unionByName(cut).drop("_second")
 
 
 def class_balance_weights(rows: DataFrame, label: str = "is_fraud") -> DataFrame:

@@ -78,8 +78,10 @@ def export_fact(rows: DataFrame) -> DataFrame:
     timed = _timed(rows).where(F.col("cc_num").isNotNull()).withColumn(
         "unix_time", F.coalesce("unix_time", F.unix_timestamp("trans_timestamp"))
     )
-    counted = with_trailing_rank(timed, "cc_num", "unix_time", "trans_num", "txn_freq_24h")
     stats = key_stats(rows, "cc_num", "amt").select("cc_num", "mean", "std")
+    counted = with_trailing_rank(
+        timed, "cc_num", "unix_time", "trans_num", "txn_freq_24h", per_key=stats
+    )
     ts = F.col("trans_timestamp")
     made = {
         "customer_id": customer_key(F.col("cc_num")),
@@ -96,7 +98,7 @@ def export_fact(rows: DataFrame) -> DataFrame:
         "is_weekend": is_weekend(ts),
         "is_night": is_night(ts),
     }
-    return counted.join(stats, "cc_num", "left").withColumns(made).select(
+    return counted.withColumns(made).select(
         *[c for c in FCT_FEATURES if c not in ("ingested_at", "dbt_updated_at")]
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from txn_risk.operators.baseline import as_profile
 from txn_risk.plans.decisions import CARRIED, score_records
 from txn_risk.plans.features import (
     ROW_INPUTS,
@@ -110,7 +111,8 @@ def stream_features(
     counted = with_trailing_count(
         ready.select(*CARRIED, *ROW_INPUTS), forget_idle=forget_idle
     )
-    return project_features(counted, baseline, CARRIED)
+    profiled = counted.join(as_profile(baseline.cards), "cc_num", "left")
+    return project_features(profiled, baseline, CARRIED)
 
 
 def scored_stream(

@@ -12,7 +12,7 @@ from txn_risk import functions as fn
 from txn_risk.operators.baseline import key_stats, zscore_or_null
 from txn_risk.operators.dedup import latest_per_key
 from txn_risk.operators.folds import stratified_folds
-from txn_risk.operators.joins import orphans as orphan_rows
+from txn_risk.operators.joins import orphans as orphan_rows, star_join
 from txn_risk.operators.trailing import with_trailing_count, with_trailing_rank
 from txn_risk.plans import (
     decisions,
@@ -276,21 +276,28 @@ def measures_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def measures_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = star(spark, sf_dir)
-    return measure_plan.measures(reports.with_customer(s.fact, s.customers), ["state"])
+    return measure_plan.measures_by_dimension(s.fact, s.customers, "customer_id", ["state"])
 
 
 @query
 def measures_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = star(spark, sf_dir)
-    chosen = reports.slicer(
-        "2024-01-05", "2024-01-20", categories=["misc_net", "shopping_net"],
-        age_groups=["36 - 50", "51 - 65"],
-    )
-    return measure_plan.measures(
-        reports.with_customer(s.fact, s.customers), ["state", "age_group"], where=chosen
+    return measure_plan.measures_by_dimension(
+        s.fact, reports.with_age_group(s.customers), "customer_id", ["state", "age_group"],
+        ["category"],
+        where=reports.fact_slicer("2024-01-05", "2024-01-20", ["misc_net", "shopping_net"]),
+        dim_where=reports.customer_slicer(age_groups=["36 - 50", "51 - 65"]),
     )
 
 
+@query
+def star_join_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact rows with customer attributes, the join that slicing rests on."""
+    s = star(spark, sf_dir)
+    joined = star_join(s.fact, s.customers, "customer_id", ["state", "gender"])
+    return joined.select("trans_num", "state", "gender", "amount")
+
+
 @query
 def monthly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.monthly_trend(fact(spark, sf_dir))

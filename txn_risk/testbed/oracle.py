@@ -319,7 +319,9 @@ def oracle_sql() -> dict[str, str]:
           SELECT f.*, c.state, {AGE_GROUP} AS age_group FROM fct f JOIN cust c USING (customer_id)
           WHERE f.trans_timestamp >= DATE '2024-01-05' AND f.trans_timestamp < DATE '2024-01-21'
             AND f.category IN ('misc_net', 'shopping_net') AND {AGE_GROUP} IN ('36 - 50', '51 - 65'))""",
-        measures("state, age_group", source="sliced"))
+        measures("state, age_group, category", source="sliced"))
+    q["star_join_rows"] = with_(
+        STAR, "SELECT f.trans_num, c.state, c.gender, f.amount FROM fct f JOIN cust c USING (customer_id)")
     q["monthly_trend"] = with_(STAR, measures(
         "month", ("total_amount", "fraud_rate", "fraud_amount"),
         "(SELECT *, strftime(trans_timestamp, '%Y-%m') AS month FROM fct)"))
