@@ -25,14 +25,20 @@ def _fraud() -> Column:
 
 
 def fact_slicer(
-    start: str | None = None, end: str | None = None, categories: Sequence[str] = ()
+    start: str | None = None, end: str | None = None, categories: Sequence[str] = (),
+    day: str | None = None,
 ) -> Column:
-    """The reports' date and category slicers; dates are inclusive, no choice means all."""
+    """The reports' date and category slicers; dates are inclusive, no choice means all.
+
+    ``day`` names the date column a stored fact is partitioned by, so that other days are not read.
+    """
     keep = F.lit(True)
     if start:
         keep &= F.col("trans_timestamp") >= F.lit(start).cast("date")
+        keep &= F.col(day) >= F.lit(start).cast("date") if day else F.lit(True)
     if end:
         keep &= F.col("trans_timestamp") < F.date_add(F.lit(end).cast("date"), 1)
+        keep &= F.col(day) <= F.lit(end).cast("date") if day else F.lit(True)
     if categories:
         keep &= F.col("category").isin(*categories)
     return keep

@@ -39,12 +39,19 @@ def malformed(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col("_corrupt").isNotNull()).select("_corrupt")
 
 
+# Fixed value: messages per micro-batch.
+FLUSH_MESSAGES = 500
+
+
 def read_topic(
     spark: SparkSession, servers: str, topic: str, starting: str = "earliest",
-    max_per_trigger: int | None = None,
+    max_per_trigger: int | None = FLUSH_MESSAGES,
 ) -> DataFrame:
-    """Stream of messages: ``earliest`` for the lake, ``latest`` for scoring. Offsets live in the
-    query's checkpoint, written after the batch."""
+    """Stream of messages: ``earliest`` for the lake, ``latest`` for scoring.
+
+    Offsets live in the query's checkpoint, written after the batch. ``max_per_trigger`` bounds a
+    micro-batch, and so the rows of one card in it; raise it with the size of the cluster.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)

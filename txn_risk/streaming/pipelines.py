@@ -22,8 +22,7 @@ from txn_risk.schemas import ALERT_THRESHOLD, BLOCK_THRESHOLD, EVENT, TIMESTAMP_
 from txn_risk.sources.lake import PARTITIONS, with_partition_keys
 from txn_risk.streaming.trailing_state import with_trailing_count
 
-# A micro-batch is flushed at this many messages or this age.
-FLUSH_MESSAGES = 500
+# Fixed value: the age at which a micro-batch is flushed.
 FLUSH_INTERVAL = "15 seconds"
 
 

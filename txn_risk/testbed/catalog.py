@@ -24,6 +24,7 @@ from txn_risk.plans import (
     quality,
     reports,
     training,
+    warehouse,
 )
 from txn_risk.plans.features import Baseline, batch_features, with_defaults
 from txn_risk.plans.staging import clean, stage
@@ -136,6 +137,14 @@ def fct_joined_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("dbt_updated_at")
 
 
+@query
+def warehouse_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as stored by the batch branch, raw table to day-partitioned mart."""
+    path = scratch_path(spark, "warehouse")
+    raw = raw_transactions(spark, sf_dir)
+    return warehouse.build(raw, path, AS_OF).fact.drop("dbt_updated_at", warehouse.DAY)
+
+
 # --- behavioural features ----------------------------------------------------------------------
 
 

@@ -271,6 +271,7 @@ def oracle_sql() -> dict[str, str]:
       FROM merch""")
     q["fct_features"] = with_(STAR, "SELECT * FROM fct")
     q["fct_joined_dims"] = q["fct_features"]
+    q["warehouse_fact"] = q["fct_features"]
     # Behavioural features one by one.
     q["txn_freq_24h"] = with_(RAW, f"SELECT trans_num, {_STRICT} AS txn_freq_24h FROM raw")
     q["txn_freq_24h_rank"] = with_(RAW, f"SELECT trans_num, {_RANKED_TIES} AS txn_freq_24h FROM raw")
