@@ -4,17 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-def exact_sum(value: Column, digits: int = 2) -> Column:
-    """Sum of values with that many decimals; null when nothing was summed.
+def cents(value: Column) -> Column:
+    """A two-decimal value as whole hundredths."""
+    return F.rint(value * 100).cast("bigint")
 
-    Decimal sums, unlike sums of doubles, are the same for any partitioning and order of rows.
+
+def exact_sum(value: Column) -> Column:
+    """Sum of two-decimal values; null when nothing was summed.
+
+    Hundredths are summed as integers: unlike a sum of doubles it is the same for any partitioning
+    and order of rows, and it is several times cheaper than a sum of decimals. It holds totals up
+    to 9e16 and fails beyond.
     """
-    return F.sum(value.cast(f"decimal(18,{digits})")).cast("double")
+    return F.sum(cents(value)) / 100.0
 
 
-def exact_avg(value: Column, digits: int = 2) -> Column:
+def exact_avg(value: Column) -> Column:
     """Mean over the non-null values from an exact sum; null when there are none."""
-    return F.try_divide(exact_sum(value, digits), F.count(value).cast("double"))
+    return F.try_divide(exact_sum(value), F.count(value).cast("double"))
+
+
+def exact_mean_place(value: Column) -> Column:
+    """Mean coordinate to nine decimals, exact likewise; decimals, as integers would overflow."""
+    total = F.sum(value.cast("decimal(18,9)")).cast("double")
+    return F.try_divide(total, F.count(value).cast("double"))
 
 
 def ratio(a: Column, b: Column, otherwise: float | None = None) -> Column:

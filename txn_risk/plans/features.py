@@ -116,7 +116,7 @@ def batch_features(
     rows: DataFrame, baseline: Baseline, tie_policy: str = "strict",
     keep: tuple[str, ...] = ("trans_num", "is_fraud"),
 ) -> DataFrame:
-    """Feature matrix of a batch.
+    """Feature matrix of a batch; rows without a card have no features and are left out.
 
     ``tie_policy="strict"`` leaves same-second transactions of a card out of each other's 24-hour
     count, as the marts and the stream do; ``"rank"`` counts those sorted earlier.

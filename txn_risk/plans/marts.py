@@ -11,7 +11,7 @@ from txn_risk.functions import (
     age_by_year,
     customer_key,
     day_of_week_sunday1,
-    exact_avg,
+    exact_mean_place,
     full_name,
     haversine_km,
     hour_of_day,
@@ -22,7 +22,7 @@ from txn_risk.functions import (
 from txn_risk.operators.baseline import key_stats, zscore_or_null
 from txn_risk.operators.dedup import latest_per_key
 from txn_risk.operators.trailing import TRAILING, attach_by_second, trailing_counts
-from txn_risk.schemas import COORDINATE_DIGITS, DIM_CUSTOMERS, DIM_MERCHANTS, FCT_FEATURES
+from txn_risk.schemas import DIM_CUSTOMERS, DIM_MERCHANTS, FCT_FEATURES
 
 _CUSTOMER = (
     "cc_num", "first_name", "last_name", "gender", "street", "city", "state", "zip_code",
@@ -48,8 +48,8 @@ def merchants(stg: DataFrame) -> DataFrame:
     return (
         stg.groupBy("merchant_name", "category")
         .agg(
-            exact_avg(F.col("merchant_lat"), COORDINATE_DIGITS).alias("avg_merchant_lat"),
-            exact_avg(F.col("merchant_long"), COORDINATE_DIGITS).alias("avg_merchant_long"),
+            exact_mean_place(F.col("merchant_lat")).alias("avg_merchant_lat"),
+            exact_mean_place(F.col("merchant_long")).alias("avg_merchant_long"),
             F.count(F.lit(1)).alias("total_historical_transactions"),
         )
         .withColumn("merchant_id", merchant_key(F.col("merchant_name"), F.col("category")))

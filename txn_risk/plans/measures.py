@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from txn_risk.functions import ratio
+from txn_risk.functions import cents, ratio
 from txn_risk.schemas import COST_MISSED_FRAUD, PUBLISHED_RECALL
 
 
@@ -20,7 +22,7 @@ def _legit() -> Column:
 
 
 def _components() -> dict[str, Column]:
-    """Additive parts of all measures: counts, and money or distance sums as decimals.
+    """Additive parts of all measures: counts, and sums of money or distance in hundredths.
 
     A sum over groups of a component is the component of their union, so rows can be reduced to
     components before a join and added up after it.
@@ -35,17 +37,17 @@ def _components() -> dict[str, Column]:
     for value in ("amount", "geo_distance_km", "txn_freq_24h"):
         for name, rows in classes.items():
             kept = F.when(rows, F.col(value))
-            out[f"sum_{value}_{name}"] = F.sum(kept.cast("decimal(18,2)"))
+            out[f"sum_{value}_{name}"] = F.sum(cents(kept))
             out[f"count_{value}_{name}"] = F.count(kept)
     return out
 
 
 def _mean(value: str, rows: str) -> Column:
-    return ratio(F.col(f"sum_{value}_{rows}"), F.col(f"count_{value}_{rows}"))
+    return ratio(F.col(f"sum_{value}_{rows}") / 100.0, F.col(f"count_{value}_{rows}"))
 
 
 def _total(rows: str) -> Column:
-    return F.col(f"sum_amount_{rows}").cast("double")
+    return F.col(f"sum_amount_{rows}") / 100.0
 
 
 def _measure(name: str, recall: float, missed_cost: float) -> Column:
@@ -89,6 +91,25 @@ MEASURES = (
 )
 
 
+def _with_counts(
+    sums: DataFrame, ids: DataFrame, by: Sequence[str], only: Sequence[str]
+) -> DataFrame:
+    """Add the distinct counts that ``only`` asks for, counted over ``ids``, to grouped ``sums``.
+
+    They run on their own over the ids alone. In one aggregate with the rest, every row would be
+    repeated per distinct column with all its measures.
+    """
+    counts = [F.countDistinct(c).alias(n) for n, c in _DISTINCT.items() if n in only]
+    if not counts:
+        return sums
+    counted = ids.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(*counts)
+    if not by:
+        return sums.withColumn("_ids", counted.select(F.struct("*")).scalar()).select(
+            "*", "_ids.*"
+        )
+    return sums.join(counted, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]))
+
+
 def measures(
     fact: DataFrame, by: Sequence[str] = (), only: Sequence[str] = MEASURES,
     where: Column | None = None, recall: float = PUBLISHED_RECALL,
@@ -96,13 +117,12 @@ def measures(
 ) -> DataFrame:
     """``only`` the named measures per ``by`` group (all rows are one group without it).
 
-    ``where`` is the report's slicer. One aggregate, combined map-side; components that no chosen
-    measure uses are pruned, and leaving out both distinct counts saves their extra shuffle.
+    ``where`` is the report's slicer. Aggregates combine map-side, and components that no chosen
+    measure uses are pruned.
     """
     rows = fact if where is None else fact.where(where)
-    aggregates = [c.alias(n) for n, c in _components().items()]
-    aggregates += [F.countDistinct(c).alias(n) for n, c in _DISTINCT.items() if n in only]
-    return rows.groupBy(*by).agg(*aggregates).select(
+    sums = rows.groupBy(*by).agg(*[c.alias(n) for n, c in _components().items()])
+    return _with_counts(sums, rows, by, only).select(
         *by, *[_measure(n, recall, missed_cost).alias(n) for n in only]
     )
 
@@ -114,18 +134,18 @@ def measures_by_dimension(
 ) -> DataFrame:
     """Measures grouped or sliced by attributes of a dimension, the dimension filtering the fact.
 
-    The fact is reduced to components per key (and per id, where ids are counted) before it meets
-    the dimension. The join then moves at most one row per such cell, so a key with a third of all
-    rows is no larger than the number of its counterparts.
+    The fact is reduced to components per key before it meets the dimension, and for distinct
+    counts to its distinct ids. The join then moves one row per key (or id pair), however many
+    transactions a key has.
     """
     rows = fact if where is None else fact.where(where)
-    people = dim if dim_where is None else dim.where(dim_where)
-    ids = {c for n, c in _DISTINCT.items() if n in only} - {key}
+    people = (dim if dim_where is None else dim.where(dim_where)).select(key, *dim_by)
+    by = [*dim_by, *fact_by]
     parts = _components()
-    cells = rows.groupBy(key, *fact_by, *sorted(ids)).agg(*[c.alias(n) for n, c in parts.items()])
-    joined = cells.join(people.select(key, *dim_by), key)
-    aggregates = [F.sum(n).alias(n) for n in parts]
-    aggregates += [F.countDistinct(c).alias(n) for n, c in _DISTINCT.items() if n in only]
-    return joined.groupBy(*dim_by, *fact_by).agg(*aggregates).select(
-        *dim_by, *fact_by, *[_measure(n, recall, missed_cost).alias(n) for n in only]
+    cells = rows.groupBy(key, *fact_by).agg(*[c.alias(n) for n, c in parts.items()])
+    sums = cells.join(people, key).groupBy(*by).agg(*[F.sum(n).alias(n) for n in parts])
+    wanted = {key, *(c for n, c in _DISTINCT.items() if n in only)}
+    ids = rows.select(*sorted(wanted), *fact_by).distinct().join(people, key)
+    return _with_counts(sums, ids, by, only).select(
+        *by, *[_measure(n, recall, missed_cost).alias(n) for n in only]
     )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from txn_risk.functions import age_group, exact_avg, month_bucket, ratio
+from txn_risk.functions import age_group, cents, exact_avg, month_bucket, ratio
 from txn_risk.plans.measures import measures, measures_by_dimension
 from txn_risk.schemas import COST_FALSE_ALARM, COST_MISSED_FRAUD
 
@@ -189,13 +189,13 @@ def amount_contrast(fact: DataFrame) -> DataFrame:
 def loss_share(fact: DataFrame, top: int = 2) -> DataFrame:
     """The ``top`` categories by fraud loss with their share of the whole loss."""
     loss = fact.where(_fraud()).groupBy("category").agg(
-        F.sum(F.col("amount").cast("decimal(18,2)")).alias("_loss")
+        F.sum(cents(F.col("amount"))).alias("_loss")
     )
     total = F.sum("_loss").over(Window.partitionBy(F.lit(0)))
     return (
         loss.select(
-            "category", F.col("_loss").cast("double").alias("fraud_amount"),
-            ratio(F.col("_loss"), total, 0).alias("loss_share"),
+            "category", (F.col("_loss") / 100.0).alias("fraud_amount"),
+            ratio(F.col("_loss") / 100.0, total / 100.0, 0).alias("loss_share"),
         )
         .orderBy(F.col("fraud_amount").desc(), "category")
         .limit(top)

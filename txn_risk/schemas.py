@@ -90,6 +90,5 @@ DEFAULT_CITY_POP = 10000
 DEFAULT_DOB = "1990-01-01"
 DEFAULT_AGE = 35.0
 DAY_SECONDS = 86400
-COORDINATE_DIGITS = 9
 TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss"
 DATE_TEXT = "yyyy-MM-dd"

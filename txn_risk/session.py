@@ -21,6 +21,9 @@ RUNTIME_CONF = {
 }
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def build_session(app: str = "txn-risk", master: str | None = None, **conf: str) -> SparkSession:
     """A session for this library; cluster settings come from spark-submit or ``conf``."""
     builder = SparkSession.builder.appName(app)
@@ -48,9 +51,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="txn-risk-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="txn-risk-")
+    return _LOCAL_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

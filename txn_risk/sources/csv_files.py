@@ -8,7 +8,7 @@ from txn_risk.functions import (
     age_at,
     customer_key,
     day_of_week_monday1,
-    exact_avg,
+    exact_mean_place,
     full_name,
     haversine_km,
     is_night,
@@ -22,7 +22,6 @@ from txn_risk.operators.dedup import latest_per_key
 from txn_risk.operators.trailing import with_trailing_rank
 from txn_risk.plans.staging import RENAMES
 from txn_risk.schemas import (
-    COORDINATE_DIGITS,
     CSV_FILE,
     CSV_INDEX,
     DIM_CUSTOMERS,
@@ -64,8 +63,8 @@ def export_merchants(rows: DataFrame) -> DataFrame:
         rows.where(F.col("merchant").isNotNull() & F.col("category").isNotNull())
         .groupBy(F.col("merchant").alias("merchant_name"), "category")
         .agg(
-            exact_avg(F.col("merch_lat"), COORDINATE_DIGITS).alias("avg_merchant_lat"),
-            exact_avg(F.col("merch_long"), COORDINATE_DIGITS).alias("avg_merchant_long"),
+            exact_mean_place(F.col("merch_lat")).alias("avg_merchant_lat"),
+            exact_mean_place(F.col("merch_long")).alias("avg_merchant_long"),
             F.count("trans_num").alias("total_historical_transactions"),
         )
         .withColumn("merchant_id", merchant_key(F.col("merchant_name"), F.col("category")))

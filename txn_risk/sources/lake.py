@@ -67,19 +67,17 @@ def raw_rows(
     """Lake rows as one load of the raw table: first row per transaction, one load time.
 
     Every load rescans the lake, as staging keeps the latest load. ``modified_after`` limits it to
-    files written since.
+    files written since. A record without its key breaks the table's contract and fails the load.
     """
     rows = lake
     if modified_after is not None:
         rows = rows.where(F.col("_metadata.file_modification_time") > F.lit(modified_after))
     # Repeats of a transaction are replays of one record; the earliest sent is kept.
-    kept = first_per_key(
-        rows.select(*EVENT.fieldNames()).where(F.col("trans_num").isNotNull()),
-        ["trans_num"], ["produced_at"],
-    )
-    return kept.withColumn("ingested_at", F.lit(ingested_at).cast("timestamp")).select(
-        *RAW.fieldNames()
-    )
+    kept = first_per_key(rows.select(*EVENT.fieldNames()), ["trans_num"], ["produced_at"])
+    key = F.coalesce("trans_num", F.raise_error(F.lit("trans_num is required")))
+    return kept.withColumns({
+        "trans_num": key, "ingested_at": F.lit(ingested_at).cast("timestamp"),
+    }).select(*RAW.fieldNames())
 
 
 def append_raw(rows: DataFrame, path: str) -> None:
