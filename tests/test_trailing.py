@@ -54,6 +54,16 @@ def test_random_cards_match_definition(spark):
     assert strict(spark, rows) == brute(rows)
 
 
+@pytest.mark.parametrize("slot", [1, 86400, 100_000, 10_000_000])
+def test_slot_length_does_not_matter(spark, slot):
+    rng = random.Random(11)
+    rows = [(f"r{i}", rng.choice([1, 2]), rng.randrange(-200_000, 400_000)) for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    profile = trailing.trailing_counts(df, "cc_num", "unix_time", slot=slot)
+    got = by_id(trailing.attach_by_second(df, profile, "cc_num", "unix_time"), "n_trailing")
+    assert got == brute(rows)
+
+
 def test_one_second_holding_a_third_of_all_rows(spark):
     rows = [(f"h{i}", 1, 500) for i in range(200)] + [(f"r{i}", i % 7, i * 997) for i in range(400)]
     assert strict(spark, rows) == brute(rows)

@@ -3,12 +3,12 @@
 A window ``partitionBy(key).orderBy(time).rangeBetween(-h, -1)`` says the same in one line, but it
 sends every row of a key to one task and recomputes the frame for each row, which is quadratic for
 a busy key. Here each (key, second) is counted first, with map-side combine. Every such count
-*enters* the trailing window at its second and *leaves* it one horizon later. Cut into slots of one
-horizon, an event and its departure fall into neighbouring slots, so a slot can be swept alone:
+*enters* the trailing window at its second and *leaves* it one horizon later. Time is cut into
+slots; an event leaves in its own slot or is carried into the next, so a slot can be swept alone:
 
-    count(t) = all that will leave in t's slot - left before t + entered before t
+    count(t) = carried into t's slot + entered in it before t - left in it before t
 
-A slot holds at most two rows per second of the horizon however many events a key has, and the
+A slot holds at most two rows per second of its length however many events a key has, and the
 sweep is a running sum, linear in those rows.
 """
 
@@ -19,28 +19,38 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from txn_risk.schemas import DAY_SECONDS
 
 TRAILING = "n_trailing"
+SLOT_SECONDS = 7 * DAY_SECONDS
 
 
 def trailing_counts(
-    df: DataFrame, key: str, at: str, horizon: int = DAY_SECONDS
+    df: DataFrame, key: str, at: str, horizon: int = DAY_SECONDS, slot: int | None = None
 ) -> DataFrame:
     """One row ``(key, at, n_trailing)`` per distinct second of a key.
 
     ``n_trailing`` counts events in ``[at - horizon, at - 1]``; events of the same second do not
     count. Events without a time are peers of each other only, as in an SQL range frame.
+
+    ``slot`` (a week, at least the horizon) moves work between tasks, never a result: longer slots
+    carry fewer events over, shorter ones spread a busy key wider.
     """
+    slot = max(horizon, slot or SLOT_SECONDS)
+
+    def start(t: Column) -> Column:
+        return t - F.pmod(t, F.lit(slot))
+
     per_second = df.groupBy(key, at).agg(F.count(F.lit(1)).alias("_n"))
+    second, n, none = F.col(at), F.col("_n"), F.lit(0)
+    leaves = second + horizon
+    carried = F.when(start(leaves) > start(second), n).otherwise(none)
     moves = F.array(
-        F.struct(F.col(at).alias("t"), F.col("_n").alias("enter"), F.lit(0).alias("leave")),
-        F.struct(
-            (F.col(at) + horizon).alias("t"), F.lit(0).alias("enter"), F.col("_n").alias("leave")
-        ),
+        F.struct(second.alias("t"), n.alias("enter"), none.alias("leave"), none.alias("carry")),
+        F.struct(leaves.alias("t"), none.alias("enter"), n.alias("leave"), carried.alias("carry")),
     )
     swept = per_second.select(key, F.inline(moves))
-    slot = Window.partitionBy(key, F.col("t") - F.pmod(F.col("t"), F.lit(horizon))).orderBy("t")
-    whole = slot.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = slot.rangeBetween(Window.unboundedPreceding, -1)
-    count = F.sum("leave").over(whole) + F.coalesce(
+    ordered = Window.partitionBy(key, start(F.col("t"))).orderBy("t")
+    whole = ordered.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = ordered.rangeBetween(Window.unboundedPreceding, -1)
+    count = F.sum("carry").over(whole) + F.coalesce(
         F.sum(F.col("enter") - F.col("leave")).over(before), F.lit(0)
     )
     return (
