@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
-# Upper bound on the pieces of the order. Only this many split points reach the driver and only
-# this many subtotals (per group) are broadcast, whatever the data size.
+# Upper bound on the pieces of the order: no more split points reach the driver, and no more
+# subtotals per group are kept, whatever the data size.
 MAX_PIECES = 1024
 
 
@@ -31,7 +31,7 @@ def running_totals(
     """Add ``before_<s>`` and ``all_<s>`` per ``s`` in ``sums``: its total over the rows that come
     earlier in the order of ``column``, and over all rows of the group.
 
-    ``df`` must have one row per group and value of ``column``, and few groups. Rows are put into
+    ``df`` must have one row per group and value of ``column``. Rows are put into
     value ranges by binary search, summed inside each range by a window, and shifted by the totals
     of the ranges before.
     """
@@ -49,7 +49,7 @@ def running_totals(
     earlier = Window.partitionBy(*by, F.lit(0)).orderBy(ordered("_piece"))
     frame = earlier.rowsBetween(Window.unboundedPreceding, -1)
     whole = earlier.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # At most MAX_PIECES rows per group by construction, so one task and a broadcast are safe here.
+    # At most MAX_PIECES rows per group by construction.
     offsets = totals.select(
         *[F.col(c).alias(f"_by_{c}") for c in by], F.col("_piece").alias("_piece_of"),
         *[F.coalesce(F.sum(f"_sum_{s}").over(frame), F.lit(0)).alias(f"_off_{s}") for s in sums],
@@ -64,7 +64,9 @@ def running_totals(
     on = swept["_piece"] == offsets["_piece_of"]
     for c in by:
         on &= swept[c].eqNullSafe(offsets[f"_by_{c}"])
-    out = swept.join(F.broadcast(offsets), on)
+    # One group's offsets are few enough to broadcast. Over groups their number is not bounded; the
+    # join then reuses the windows' partitioning.
+    out = swept.join(F.broadcast(offsets) if not by else offsets, on)
     for s in sums:
         out = out.withColumn(f"before_{s}", F.col(f"_in_{s}") + F.col(f"_off_{s}"))
     return out.drop(
@@ -79,7 +81,7 @@ def quantiles(
     """Exact linearly interpolated quantiles per group: ``(…by, quantile, value)``.
 
     Equal values are counted first, then ranked by running totals. The built-in exact percentile
-    would gather every distinct value of a group in one buffer. ``by`` must have few groups.
+    would gather every distinct value of a group in one buffer.
     """
     present = df.where(F.col(value).isNotNull()).select(
         *by, F.col(value).cast("double").alias("_value")

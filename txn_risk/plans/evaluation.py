@@ -119,10 +119,7 @@ def cost_details(
 def ranked_scores(
     scored: DataFrame, score: str = "score", label: str = "label", by: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per distinct score with positives and negatives at it, above it and in all.
-
-    ``by`` must have few groups (models, folds).
-    """
+    """One row per distinct score with positives and negatives at it, above it and in all."""
     rows = scored.where(F.col(score).isNotNull()).select(
         *by, F.col(score).cast("double").alias("_score"), F.col(label).alias("_label")
     )
