@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from txn_risk.llm.words import WORD, ascii_lower, texts
+from txn_risk.llm.words import WORD, ascii_lower, settle, texts
 
 # Phrases and labels of the contract.
 BASE = {
@@ -108,17 +108,42 @@ def vocabulary(base: dict = BASE, notices: dict = NOTICES) -> list[str]:
     return sorted({w for t in (*base, *(n for n, _ in notices.values())) for w in re.findall(WORD, t)})
 
 
-def rarities(words: DataFrame, vocab: list[str]) -> dict[str, float]:
-    """Inverse document frequency of each word of ``vocab`` over all rows of ``words(words)``."""
-    asked = F.array(*[F.lit(w) for w in vocab])
-    counted = words.select(F.explode(
-        F.array_append(F.array_intersect("words", asked), F.lit(None).cast("string"))
-    ).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "n", F.col("n").cast("double")
-    ).collect()  # a row per word of the vocabulary, and the number of documents under null
-    n = {r.word: r.n for r in counted}
-    total = n.pop(None, 0.0)
-    return {w: max(0.0, math.log((total + 1) / (n.get(w, 0.0) + 1))) for w in vocab}
+def positions(docs: DataFrame, vocab: list[str], id_col: str, text_col: str) -> DataFrame:
+    """The positional index: ``(doc_id, n_words, hits)``; a hit is a word of ``vocab`` and its place."""
+    text = F.col("text")
+    # Two characters have a lower case that holds an ASCII letter; those texts take the slow way.
+    lowered = F.when(text.rlike("[\u0130\u212A]"), ascii_lower(text)).otherwise(F.lower(text))
+    words = texts(docs, id_col, text_col).select(
+        "doc_id", F.split(lowered, "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+").alias("words")
+    )
+    # A separator at the start leaves an empty first part, one at the end an empty last one.
+    lead = (F.get("words", F.lit(0)) == "").cast("int")
+    trail = ((F.size("words") > 1) & (F.get("words", F.size("words") - 1) == "")).cast("int")
+    hits = F.filter(
+        F.transform("words", lambda w, i: F.when(
+            w.isin(vocab), F.struct(w.alias("word"), (i - F.col("lead")).alias("at"))
+        )),
+        lambda h: h.isNotNull(),
+    )
+    return words.select("doc_id", "words", lead.alias("lead"), trail.alias("trail")).select(
+        "doc_id", (F.size("words") - F.col("lead") - F.col("trail")).cast("bigint").alias("n_words"),
+        hits.alias("hits"),
+    )
+
+
+def rarities(index: DataFrame, vocab: list[str]) -> dict[str, float]:
+    """Inverse document frequency of each word of ``vocab`` over all rows of the index."""
+    seen = F.array_append(
+        F.array_distinct(F.transform("hits", lambda h: h["word"])), F.lit(None).cast("string")
+    )
+    # A row per word of the vocabulary, and the number of documents under null.
+    n = {
+        r.word: r.n for r in index.select(F.explode(seen).alias("word")).groupBy("word").agg(
+            F.count(F.lit(1)).alias("n")
+        ).collect()
+    }
+    total = n.pop(None, 0)
+    return {w: max(0.0, math.log((total + 1) / (n.get(w, 0) + 1))) for w in vocab}
 
 
 def _array(values, of) -> Column:
@@ -138,33 +163,36 @@ def scan(
     label, start and share. A null or empty text has no words, empty labels and score 0; repeated rows
     give repeated results; an empty table gives no rows; other columns are ignored.
 
-    Two scans, no shuffle of texts: one counts in how many documents each template word occurs, one
-    matches inside each row.
+    One scan of the texts, which are not shuffled: the index is written to the shared folder, counted,
+    and matched row by row.
     """
-    source = texts(docs, id_col, text_col)
-    words = F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(WORD), F.lit(0))
-    held = templates(rarities(source.select(words.alias("words")), vocabulary(base, notices)), base, notices)
+    vocab = vocabulary(base, notices)
+    index = settle(positions(docs, vocab, id_col, text_col), "license-index")
+    held = templates(rarities(index, vocab), base, notices)
+    longest = max(len(t.words) for t in held)
 
     anchors = sorted({a for t in held for a in t.anchors})
     postings = F.array(*[
         F.struct(F.lit(word).alias("word"), F.lit(k).alias("template"), F.lit(i).alias("at"))
         for k, t in enumerate(held) for i, word in enumerate(t.words) if word in t.anchors
     ])
-    asked = _array(anchors, F.lit)
     wordings = _array([t.words for t in held], lambda ws: _array(ws, F.lit))
     weights = _array([t.weights for t in held], lambda ws: _array(ws, F.lit))
     required = _array([t.required for t in held], lambda rs: _array(rs, F.lit))
     labels = _array([t.label for t in held], F.lit)
     bases = _array([t.base for t in held], F.lit)
 
-    def lookup(hit: Column) -> Column:
+    def lookup(hit: Column, number: Column) -> Column:
+        """Where templates would start, each with the hits around; hits lie in the order of places."""
+        near = F.slice("hits", F.greatest(F.lit(1), number + 1 - longest), 2 * longest + 1)
         own = F.filter(postings, lambda p: p["word"] == hit["word"])
-        return F.transform(own, lambda p: F.struct(p["template"].alias("template"), (hit["at"] - p["at"]).alias("start")))
+        return F.when(hit["word"].isin(anchors), F.transform(own, lambda p: F.struct(
+            p["template"].alias("template"), (hit["at"] - p["at"]).alias("start"), near.alias("near")
+        )))
 
     def agrees(place: Column, i: Column) -> Column:
-        return F.coalesce(
-            F.get(F.col("words"), place["start"] + i) == F.get(F.get(wordings, place["template"]), i), F.lit(False)
-        )
+        asked = F.get(F.get(wordings, place["template"]), i)
+        return F.exists(place["near"], lambda h: (h["at"] == place["start"] + i) & (h["word"] == asked))
 
     def weighed(place: Column) -> Column:
         k = place["template"]
@@ -178,22 +206,10 @@ def scan(
             F.least(F.lit(1.0), F.round(share, 9)).alias("share"), whole.alias("whole"),
         )
 
-    # Only files with a looked-up word enter the index.
-    hits = F.when(
-        F.arrays_overlap("words", asked),
-        F.filter(
-            F.transform("words", lambda w, i: F.when(
-                F.array_contains(asked, w), F.struct(w.alias("word"), i.alias("at"))
-            )),
-            lambda h: h.isNotNull(),
-        ),
-    )
-    hit_type = "array<struct<word:string,at:int>>"
+    places = F.flatten(F.filter(F.transform("hits", lookup), lambda p: p.isNotNull()))
     found = (
-        source.select("doc_id", words.alias("words"))
-        .withColumn("hits", F.coalesce(hits, F.array().cast(hit_type)))
-        .withColumn("places", F.array_distinct(F.flatten(F.transform("hits", lookup))))
-        .select("doc_id", F.size("words").cast("bigint").alias("n_words"), F.transform("places", weighed).alias("tried"))
+        index.select("doc_id", "n_words", places.alias("places"))
+        .select("doc_id", "n_words", F.array_distinct(F.transform("places", weighed)).alias("tried"))
         .withColumn("matches", F.filter("tried", lambda m: m["whole"] & (m["base"] | (m["share"] >= LEAST_SHARE))))
         .withColumn("base_at", F.transform(F.filter("matches", lambda m: m["base"]), lambda m: m["start"]))
     )

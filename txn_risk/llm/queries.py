@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from txn_risk.llm import (
-    decontamination, licenses, packing, quality, sharding, toxicity,
+    decontamination, licenses, packing, pages, quality, sharding, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")), 0.5)
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(_table(spark, sf_dir, "pages"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 

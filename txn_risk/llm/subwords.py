@@ -46,17 +46,19 @@ def _parts(texts: Sequence[str | None]) -> Iterator[tuple[list[int], bytes]]:
 
 
 def features(
-    texts: Sequence[str | None], bits: int, grams: Sequence[int] = (3, 4), starts: Sequence[int] = ()
+    texts: Sequence[str | None], bits: int, grams: Sequence[int] = (3, 4), starts: Sequence[int] = (),
+    repeats: bool = False,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """``(text number, feature)`` pairs, in parts; a feature is a number below ``2 ** bits``.
 
     Features are the words (what stands between white space, A-Z lower-cased), their n-grams of
-    ``grams`` bytes with the blanks around the word, and their first ``starts`` bytes.
+    ``grams`` bytes with the blanks around the word, and their first ``starts`` bytes. ``repeats`` adds
+    one for every word that equals the word before it, the only word pair that recurs across texts.
     """
     for own, raw in _parts(texts):
         data = np.frombuffer(b" " + raw + b" ", np.uint8)
         line = data == 10
-        document = np.asarray(own, np.int64)[np.cumsum(line)[:]] if len(own) > 1 else np.full(len(data), own[0])
+        document = np.asarray(own, np.int64)[np.cumsum(line)] if len(own) > 1 else np.full(len(data), own[0])
         blank = (data == 32) | line
         codes = np.where(line, 32, data).astype(np.uint64)
         edge = np.flatnonzero(blank)
@@ -70,7 +72,12 @@ def features(
         power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(data), _PRIME)]).astype(np.uint64))
         back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(data), _INVERSE)]).astype(np.uint64))
         sums = np.concatenate([[np.uint64(0)], np.cumsum((codes + np.uint64(1)) * power[:-1])])
-        what.append(_mixed((sums[end] - sums[begin]) * back[begin], bits))
+        word = (sums[end] - sums[begin]) * back[begin]
+        what.append(_mixed(word, bits))
+        if repeats:
+            same = np.flatnonzero((word[1:] == word[:-1]) & (where[0][1:] == where[0][:-1])) + 1
+            where.append(where[0][same])
+            what.append(np.zeros(len(same), np.int32))
         for n in starts:
             long = end - begin > n
             at = begin[long]

@@ -24,8 +24,10 @@ GRAMS: tuple[int, ...] = ()
 POSITIVE_ROWS = 3_000
 UNLABELLED_ROWS = 6_000
 FIT_BYTES = 16_000_000
-# A feature must stand in this many texts of the fit.
+# A feature must stand in this many confirmed texts, and in so many more of them than its rate among
+# the unlabelled explains, in standard deviations; any other carries no evidence and gets no weight.
 LEAST_TEXTS = 5
+LEAST_DEVIATIONS = 5.0
 ROUNDS = 150
 RATE = 0.3
 DECAY = 1e-4
@@ -65,7 +67,10 @@ def fit_rows(positive: list[str], unlabelled: list[str], prior: float) -> Model:
     prior = min(max(prior, 1e-3), 0.9)
     p_at, p_id = _stacked(positive)
     u_at, u_id = _stacked(unlabelled)
-    common = np.bincount(np.concatenate([p_id, u_id]), minlength=size) >= LEAST_TEXTS
+    n_p, n_u = len(positive), len(unlabelled)
+    in_p = np.bincount(p_id, minlength=size)
+    expected = np.bincount(u_id, minlength=size) * (n_p / n_u)
+    common = (in_p >= LEAST_TEXTS) & (in_p - expected >= LEAST_DEVIATIONS * np.sqrt(expected + 1))
     kept = np.flatnonzero(common)
     number = np.full(size, -1, np.int32)
     number[kept] = np.arange(len(kept))
@@ -74,7 +79,6 @@ def fit_rows(positive: list[str], unlabelled: list[str], prior: float) -> Model:
 
     w, b = np.zeros(len(kept)), float(np.log(prior / (1 - prior)))
     w2, b2 = np.full(len(kept), 1e-8), 1e-8
-    n_p, n_u = len(positive), len(unlabelled)
 
     def logits(at, ids, n):
         return np.bincount(at, w[ids], n) + b
@@ -105,8 +109,9 @@ def fit_rows(positive: list[str], unlabelled: list[str], prior: float) -> Model:
 
 
 def _bounded(rows: DataFrame, most_bytes: int) -> list[str]:
+    """Distinct texts, as many as ``most_bytes`` hold."""
     out, size = [], 0
-    for r in rows.toLocalIterator():
+    for r in rows.distinct().toLocalIterator():
         if size + len(r.text) <= most_bytes:
             size += len(r.text)
             out.append(r.text)
