@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from txn_risk.llm import (
-    decontamination, licenses, packing, pages, quality, sharding, toxicity,
+    decontamination, licenses, neardup_vectors, packing, pages, quality, sharding, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents")).drop("matches")
 
 
+def op2_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup_vectors.find(_table(spark, sf_dir, "embeddings"), 0.95)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), vocabulary())
 
