@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from txn_risk.llm import (
-    decontamination, licenses, neardup_vectors, packing, pages, quality, sharding, toxicity,
+    decontamination, licenses, neardup_texts, neardup_vectors, packing, pages, quality, sharding, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,5 +57,9 @@ def op9_range_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"), shards=16, law="bytes")
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup_texts.join(_table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
