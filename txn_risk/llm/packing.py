@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -17,38 +18,68 @@ from txn_risk.llm.words import settle, texts
 
 CAPACITY = 2048
 # Parts of texts between blanks whose ids a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 # Rows that one window may rank: fewer than this of one length stay together.
 RANKED_TOGETHER = 20_000
 
 _LOOSE_BLANKS = regex.compile(r"\s ")
+# Fixed value: the splitting rule of the byte-level vocabulary.
+_SPLIT = regex.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
 
 
 class Encoder:
     """Ids of a byte-level BPE vocabulary.
 
-    The vocabulary's splitting rule never joins a blank to what stands before it, so ids of a text
-    are the ids of its parts, cut before each blank. Parts recur, and their ids are remembered.
-    Texts where white space stands before a blank are encoded as a whole.
+    The vocabulary's splitting rule never joins a blank to what stands before it, so ids of a text are
+    the ids of its parts, cut before each blank. Parts recur, and their ids are remembered. A part of
+    Latin letters and signs is split further by the rule itself, and the ids of those pieces are
+    remembered as well. Texts where white space stands before a blank are encoded as a whole.
     """
 
     def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.first: dict[str, bytes] = {}  # parts at the start of a text
         self.later: dict[str, bytes] = {}  # parts after a blank
+        self.pieces: dict[str, bytes] = {}
+        self.tokenize = self.tokenizer.model.tokenize
+        # The vocabulary writes each byte as a character: itself where it is printable, else the next
+        # one from 256 on.
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        self.characters = {b: chr(256 + n) for n, b in enumerate(others)}
+
+    def _encode(self, strings: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(strings), 10_000):
+            for e in self.tokenizer.encode_batch_fast(strings[at:at + 10_000], add_special_tokens=False):
+                yield np.asarray(e.ids, "<u4").tobytes()
 
     def _learn(self, known: dict[str, bytes], parts: set[str], lead: str) -> None:
         new = [p for p in parts if p not in known]
         if len(known) + len(new) > REMEMBERED:
             known.clear()
             new = list(parts)
-        for at in range(0, len(new), 20_000):
-            some = new[at:at + 20_000]
-            encoded = self.tokenizer.encode_batch_fast([lead + p for p in some], add_special_tokens=False)
-            for part, e in zip(some, encoded, strict=True):
-                known[part] = np.asarray(e.ids, "<u4").tobytes()
+        plain, whole = {}, []
+        for part in new:
+            if "<|" in part or part > "" and max(part) >= "\u0250":
+                whole.append(part)
+            else:
+                plain[part] = _SPLIT.findall(lead + part)
+        unknown = list({x for xs in plain.values() for x in xs if x not in self.pieces})
+        if len(self.pieces) + len(unknown) > REMEMBERED:
+            self.pieces.clear()
+            unknown = list({x for xs in plain.values() for x in xs})
+        for piece in unknown:  # already split: straight to the merges
+            written = piece.encode().decode("latin-1").translate(self.characters)
+            self.pieces[piece] = np.asarray([t.id for t in self.tokenize(written)], "<u4").tobytes()
+        ids = self.pieces.__getitem__
+        for part, xs in plain.items():
+            known[part] = ids(xs[0]) if len(xs) == 1 else b"".join(map(ids, xs))
+        known.update(zip(whole, self._encode([lead + p for p in whole]), strict=True))
 
     def encode(self, texts_: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from txn_risk.llm import (
-    decontamination, licenses, neardup_texts, neardup_vectors, packing, pages, quality, sharding, toxicity,
+    decontamination, licenses, neardup_texts, neardup_vectors, packing, pages, quality, repeats, sharding, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removed(_table(spark, sf_dir, "documents"), length=400)
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality.classify(docs, quality.fit(docs, _table(spark, sf_dir, "labels")), 0.3)
