@@ -164,3 +164,13 @@ def test_quantiles_interpolate(spark):
 def test_quantiles_of_one_frequent_value(spark):
     df = spark.createDataFrame([(5.0,)] * 50 + [(float(i),) for i in range(10)], "v double")
     assert quantiles(df, "v", [0.5]).first()["value"] == 5.0
+
+
+def test_infinite_scores_are_ends_of_the_order(spark):
+    inf = float("inf")
+    rows = [(inf, 1), (inf, 0), (0.5, 1), (0.25, 0), (-inf, 0)] * 3
+    got = ev.ranking_metrics(spark.createDataFrame(rows, "score double, label int")).first()
+    finite = {inf: 9.0, -inf: -9.0}
+    same = ev.ranking_metrics(spark.createDataFrame(
+        [(finite.get(s, s), y) for s, y in rows], "score double, label int")).first()
+    assert got["roc_auc"] == same["roc_auc"] and got["average_precision"] == same["average_precision"]

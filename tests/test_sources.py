@@ -6,12 +6,14 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import TEMPLATE, by_id, transactions
 from txn_risk.plans import decisions, monitoring
 from txn_risk.schemas import CSV_FILE, EVENT, SCORE, TRANSACTION
 from txn_risk.sources import csv_files, lake, score_store, topic
+from txn_risk.streaming import pipelines
 
 NOW = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
 
@@ -34,7 +36,7 @@ def test_csv_drops_index_and_keeps_duplicates_of_a_union(spark, tmp_path):
         spark, str(tmp_path / "train.csv"), str(tmp_path / "test.csv")
     )
     assert rows.schema == TRANSACTION
-    assert sorted(r["amt"] for r in rows.collect()) == [4.97, 4.97, 9.5]
+    assert sorted(r["amt"] for r in rows.collect()) == [9.5, 42.25, 42.25]
 
 
 def test_star_export_writes_three_tables(spark, tmp_path):
@@ -92,7 +94,7 @@ def test_lake_layout_pruning_and_load(spark, tmp_path):
 
     lake.write_lake(three, path)  # delivered again
     first = lake.load(spark, path, raw, NOW)
-    assert first == {"status": "SUCCESS", "files_loaded": 4, "rows_loaded": 3, "total_table_rows": 3}
+    assert first == {"status": "SUCCESS", "files_loaded": 4, "files_skipped": 0, "rows_loaded": 3, "total_table_rows": 3}
     second = lake.load(spark, path, raw, NOW + dt.timedelta(days=1))
     assert second["rows_loaded"] == 3 and second["total_table_rows"] == 6
     assert sorted(os.listdir(raw))[-2:] == ["ingest_date=2024-02-01", "ingest_date=2024-02-02"]
@@ -100,13 +102,66 @@ def test_lake_layout_pruning_and_load(spark, tmp_path):
     assert lake.load(spark, path, raw, NOW, modified_after=later)["status"] == "EMPTY"
 
 
-def test_unreadable_file_is_skipped(spark, tmp_path):
-    path = str(tmp_path / "lake")
+def test_unreadable_file_fails_or_is_named(spark, tmp_path):
+    path, raw = str(tmp_path / "lake"), str(tmp_path / "raw")
     lake.write_lake(events(spark, {}), path)
-    bad = tmp_path / "lake" / "dt=2019-01-01" / "hour=00"
+    bad = tmp_path / "lake" / "dt=2021-06-15" / "hour=13"
     (bad / "broken.parquet").write_bytes(b"PAR1 not really")
     (bad / "notes.txt").write_text("ignored")
-    assert lake.read_lake(spark, path).count() == 1
+    with pytest.raises(Exception, match="broken.parquet"):
+        lake.read_lake(spark, path).count()
+    assert lake.read_lake(spark, path, skip_unreadable=True).count() == 1
+    (skipped,) = lake.skipped_files(spark, path).collect()
+    assert skipped["path"].endswith("broken.parquet")
+    summary = lake.load(spark, path, raw, NOW, skip_unreadable=True)
+    assert summary == {
+        "status": "PARTIAL", "files_loaded": 1, "files_skipped": 1, "rows_loaded": 1, "total_table_rows": 1}
+
+
+def test_a_batch_written_again_replaces_itself(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    two = events(spark, {}, {"trans_date_trans_time": "2021-06-15 05:00:00"})
+    for rows in (two, two.limit(1), two):
+        lake.write_batch(rows, path, "q-7")
+    lake.write_batch(two, path, "q-8")
+    assert lake.read_lake(spark, path).count() == 4
+    assert sorted(os.listdir(path))[-1] == "dt=2021-06-15"
+
+
+def test_messages_that_are_no_records(spark):
+    values = [(None,), ("{}",), ("nonsense",), ('{"trans_num": "x", "amt": "many"}',), ('{"trans_num": "y"}',)]
+    decoded = topic.decode(spark.createDataFrame(values, "value string"))
+    assert [r["trans_num"] for r in topic.well_formed(decoded).collect()] == ["y"]
+    assert sorted(r["_corrupt"] for r in topic.malformed(decoded).collect()) == [
+        "", "nonsense", values[3][0], "{}"]
+
+
+def test_flush_rule_has_no_ceiling():
+    assert topic.flush_options() == {"minOffsetsPerTrigger": "500", "maxTriggerDelay": "15s"}
+    assert "maxOffsetsPerTrigger" in topic.flush_options(max_per_trigger=10)
+
+
+def test_header_of_other_names_is_refused(spark, tmp_path):
+    write_csv(tmp_path / "good.csv", [TEMPLATE])
+    text = (tmp_path / "good.csv").read_text().replace("amt,first", "first,amt")
+    (tmp_path / "bad.csv").write_text(text)
+    with pytest.raises(ValueError, match="header"):
+        csv_files.read_transactions(spark, str(tmp_path / "bad.csv"))
+
+
+def test_newest_of_a_log_reads_newest_days_only(spark, tmp_path):
+    log = str(tmp_path / "log")
+    for day in range(1, 6):
+        for name in ("a", f"b{day}"):
+            score_store.append_scores(record(
+                spark, trans_num=name, fraud_score=day / 10, processed_at=f"2024-01-0{day}T10:00:00Z"), log)
+    got = by_id(score_store.newest_of_log(spark, log, 3), "fraud_score")
+    assert got == {"a": 0.5, "b5": 0.5, "b4": 0.4}
+    plan = score_store.newest_of_log(spark, log, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "processed_date" in plan and "2024-01-04" not in plan
+    mixed = record(spark, processed_at="2024-01-02 09:00:00", fraud_score=0.2).unionByName(
+        record(spark, processed_at="2024-01-02T08:00:00Z", fraud_score=0.9))
+    assert by_id(score_store.latest_scores(mixed), "fraud_score") == {"a": 0.2}
 
 
 def test_retention_deletes_only_expired_files(spark, tmp_path):
@@ -125,6 +180,21 @@ def test_retention_deletes_only_expired_files(spark, tmp_path):
     assert lake.read_lake(spark, path).count() == 1
 
 
+def test_stream_written_lake_survives_retention_and_appends(spark, tmp_path):
+    path, raw = str(tmp_path / "lake"), str(tmp_path / "raw")
+    events(spark, {}, {"trans_date_trans_time": "2019-01-01 05:00:00"}).write.parquet(str(tmp_path / "in"))
+    stream = pipelines.read_replay(spark, str(tmp_path / "in"))
+    pipelines.ingest_to_lake(stream, path, str(tmp_path / "cp"), interval=None).awaitTermination()
+    lake.write_lake(events(spark, {"trans_num": "later"}), path)
+    assert lake.read_lake(spark, path).count() == 3
+    eight_days = NOW.timestamp() - 8 * 86400
+    for f in (tmp_path / "lake").rglob("*.parquet"):
+        old = "hour=05" in str(f)
+        os.utime(f, (eight_days, eight_days) if old else (NOW.timestamp(), NOW.timestamp()))
+    assert lake.remove_expired(spark, path, NOW, dry_run=False) == 1
+    assert lake.load(spark, path, raw, NOW)["rows_loaded"] == 2
+
+
 def record(spark, **change):
     base = dict(
         trans_num="a", trans_date_trans_time="2019-01-01 00:00:18", unix_time=1, cc_num=1,
@@ -146,6 +216,9 @@ def test_score_table_replaces_and_survives_replay(spark, tmp_path):
     assert score_store.read_compacted(spark, table).count() == 0
     assert score_store.compact(new, table) == 1
     assert score_store.compact(old.unionByName(new), table) == 2  # replay
+    assert score_store.compact(new, table) == 3 and sorted(os.listdir(table))[:1] != ["v=1"]
+    assert score_store.lookup(spark, table, "a").count() == 1
+    assert score_store.lookup(spark, table, "z").count() == 0
     assert by_id(score_store.read_compacted(spark, table), "fraud_score") == {"a": 0.9}
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from helpers import by_id, transactions
 from txn_risk.operators import trailing
-from txn_risk.streaming.pipelines import read_replay, write_replay_files, write_scores
+from txn_risk.streaming.pipelines import read_replay, write_replay_files
 from txn_risk.streaming.trailing_state import with_trailing_count as stream_count
 
 SCHEMA = "trans_num string, cc_num bigint, unix_time bigint"
@@ -96,9 +96,9 @@ def test_plan_counts_before_it_shuffles_and_sweeps_slots(spark):
 
 
 def _run(stream, spark, tmp_path):
-    write_scores(
-        stream, str(tmp_path / "out"), str(tmp_path / "cp"), interval=None
-    ).awaitTermination()
+    stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "cp")
+    ).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(str(tmp_path / "out"))
 
 
@@ -155,8 +155,21 @@ def test_missing_unix_time_is_read_from_the_text(spark, changes):
     from txn_risk.plans.features import with_defaults
 
     rows = with_defaults(transactions(spark, *changes)).orderBy("trans_num").collect()
-    assert rows[0]["unix_time"] == 1546300818  # the text's own second
-    assert rows[1]["unix_time"] == 1546299618  # kept although it differs
+    assert rows[0]["unix_time"] == 1623764730  # the text's own second
+    assert rows[1]["unix_time"] == 1623764700  # kept although it differs
+
+
+def test_repeats_go_and_nothing_else(spark, tmp_path):
+    from txn_risk.streaming.repeats_state import without_seen
+
+    stream = _batches(
+        spark, tmp_path,
+        [("bad", 1, None), ("a", 1, 10_000), ("a", 1, 10_000)],
+        [("b", 1, 500_000), ("a", 1, 10_000)],  # the repeat comes late, but is still held
+        [("c", 1, 20_000), ("bad", 1, None), ("b", 1, 500_000)],  # c is far behind, and new
+    )
+    out = _run(without_seen(stream, "trans_num", F.col("unix_time"), 86_400), spark, tmp_path)
+    assert sorted(r["trans_num"] for r in out.collect()) == ["a", "b", "bad", "bad", "c"]
 
 
 def test_skewed_join_is_split(spark):

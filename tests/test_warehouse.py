@@ -35,8 +35,10 @@ def test_dimension_measures_match_a_plain_join(spark, sf_dir, tmp_path):
 
 def test_jobs_parse():
     args = jobs.parser().parse_args(
-        ["build", "--raw", "r", "--warehouse", "w", "--start", "2024-01-01"])
-    assert args.run is jobs.build and args.start == dt.date(2024, 1, 1)
+        ["load", "--lake", "l", "--raw", "r", "--modified-after", "2024-01-01T00:00:00"])
+    assert args.run is jobs.load and args.modified_after == dt.datetime(2024, 1, 1)
+    args = jobs.parser().parse_args(["ingest", "--topic", "t", "--lake", "l", "--rejects", "r", "--checkpoint", "c"])
+    assert args.max_messages is None and args.max_per_batch is None
     with pytest.raises(SystemExit):
         jobs.parser().parse_args(["load"])
 

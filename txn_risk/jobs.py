@@ -7,9 +7,9 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from txn_risk.plans import profiling, training, warehouse
+from txn_risk.plans import monitoring, profiling, training, warehouse
 from txn_risk.session import build_session
-from txn_risk.sources import csv_files, lake, models, topic
+from txn_risk.sources import csv_files, lake, models, score_store, topic
 from txn_risk.streaming import pipelines
 
 Args = argparse.Namespace
@@ -20,31 +20,31 @@ def _now() -> dt.datetime:
 
 
 def _messages(spark: SparkSession, a: Args, starting: str):
-    messages = topic.read_topic(spark, a.servers, a.topic, starting, a.max_messages)
-    return topic.well_formed(topic.decode(messages))
+    messages = topic.read_topic(spark, a.servers, a.topic, starting, max_per_trigger=a.max_per_batch)
+    return topic.decode(messages)
 
 
 def replay(spark: SparkSession, a: Args) -> None:
     """Send transactions of CSV files to the topic, in time order per card."""
     rows = training.time_prefix(csv_files.read_transactions(spark, *a.csv), a.limit)
-    topic.write_topic(rows.sortWithinPartitions("trans_date_trans_time"), a.servers, a.topic)
+    topic.write_topic(rows, a.servers, a.topic)
 
 
 def ingest(spark: SparkSession, a: Args) -> None:
-    """Topic to lake, until stopped."""
-    pipelines.ingest_to_lake(
-        _messages(spark, a, "earliest"), a.lake, a.checkpoint, a.interval
-    ).awaitTermination()
+    """Topic to lake, until stopped or a total of messages; what is no record goes to the rejects."""
+    pipelines.stop_after(pipelines.ingest_to_lake(
+        _messages(spark, a, "earliest"), a.lake, a.checkpoint, a.interval, a.rejects
+    ), a.max_messages)
 
 
 def load(spark: SparkSession, a: Args) -> None:
     """Lake to raw table."""
-    print(lake.load(spark, a.lake, a.raw, _now()))
+    print(lake.load(spark, a.lake, a.raw, _now(), a.modified_after, a.skip_unreadable))
 
 
 def build(spark: SparkSession, a: Args) -> None:
     """Raw table to staging and marts, then the data tests."""
-    warehouse.build(lake.read_raw(spark, a.raw), a.warehouse, start=a.start, end=a.end)
+    warehouse.build(lake.read_raw(spark, a.raw), a.warehouse)
     report = warehouse.check(spark, a.warehouse)
     report.show(50, truncate=False)
     if report.where("failures > 0").count():
@@ -82,12 +82,29 @@ def train(spark: SparkSession, a: Args) -> None:
 
 
 def score(spark: SparkSession, a: Args) -> None:
-    """Topic to score log, until stopped."""
+    """Topic to score log, until stopped or a total of messages."""
     model, baseline, threshold = models.load_model(spark, a.model)
+    # What is no record cannot be scored; the lake's job keeps it.
     records = pipelines.scored_stream(
-        _messages(spark, a, "latest"), model, baseline, threshold, forget_idle=True
+        topic.well_formed(_messages(spark, a, "latest")), model, baseline, threshold
     )
-    pipelines.write_scores(records, a.scores, a.checkpoint, a.interval).awaitTermination()
+    pipelines.stop_after(
+        pipelines.write_scores(records, a.scores, a.checkpoint, a.interval), a.max_messages
+    )
+
+
+def compact(spark: SparkSession, a: Args) -> None:
+    """Score log into the keyed score table."""
+    print(score_store.compact(score_store.read_log(spark, a.scores), a.table))
+
+
+def scores(spark: SparkSession, a: Args) -> None:
+    """Print live figures and the newest scores of the log and the table."""
+    rows = score_store.read_stores(
+        [score_store.newest_of_log(spark, a.scores, a.rows), score_store.read_compacted(spark, a.table)], a.rows
+    )
+    monitoring.live_kpis(rows).show(truncate=False)
+    monitoring.display_table(rows).show(a.rows, truncate=False)
 
 
 def retain(spark: SparkSession, a: Args) -> None:
@@ -112,17 +129,20 @@ def parser() -> argparse.ArgumentParser:
     }
     stream = {
         **broker, "checkpoint": need, "interval": {"default": pipelines.FLUSH_INTERVAL},
-        "max_messages": {"type": int, "default": topic.FLUSH_MESSAGES},
+        "max_messages": {"type": int, "help": "stop after so many"},
+        "max_per_batch": {"type": int, "help": "bound of one micro-batch, not of the rate"},
     }
-    day = {"type": dt.date.fromisoformat}
+    time = {"type": dt.datetime.fromisoformat}
     job(replay, csv=files, limit={"type": int}, **broker)
-    job(ingest, lake=need, **stream)
-    job(load, lake=need, raw=need)
-    job(build, raw=need, warehouse=need, start=day, end=day)
+    job(ingest, lake=need, rejects=need, **stream)
+    job(load, lake=need, raw=need, modified_after=time, skip_unreadable={"action": "store_true"})
+    job(build, raw=need, warehouse=need)
     job(export, csv=files, out=need)
     job(profile, csv=files)
     job(train, train=need, test=need, out=need, champion={}, sample={"type": int, "default": 150_000})
     job(score, model=need, scores=need, **stream)
+    job(compact, scores=need, table=need)
+    job(scores, scores=need, table=need, rows={"type": int, "default": 500})
     job(retain, lake=need, days={"type": int, "default": 7}, delete={"action": "store_true"})
     return top
 

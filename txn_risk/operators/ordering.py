@@ -20,7 +20,10 @@ def split_points(df: DataFrame, column: str, pieces: int = MAX_PIECES) -> list[f
     """
     pieces = max(2, min(pieces, MAX_PIECES))
     shares = [i / pieces for i in range(1, pieces)]
-    values = df.select(F.col(column).cast("double").alias(column)).where(~F.isnan(column))
+    values = df.select(F.col(column).cast("double").alias(column)).where(
+        # Infinite values are the order's own ends and need no cut.
+        ~F.isnan(column) & (F.abs(column) < float("inf"))
+    )
     return sorted(set(values.approxQuantile(column, shares, 1.0 / (2 * pieces))))
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from txn_risk.functions import clean_category, parse_date, parse_timestamp, parse_timestamp_lenient
@@ -18,6 +16,7 @@ RENAMES = {
     "dob": "date_of_birth",
 }
 
+# The staging contract.
 STAGED = (
     "trans_num", "trans_timestamp", "unix_time", "cc_num", "merchant_name", "category", "amount",
     "first_name", "last_name", "gender", "street", "city", "state", "zip_code", "customer_lat",
@@ -25,23 +24,15 @@ STAGED = (
     "merchant_long", "is_fraud", "ingested_at",
 )
 
+# White space that the warehouse's trim takes off, beyond blanks.
+WHITE_SPACE = " \t\n\x0b\f\r\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
 _TEXT = ("merchant_name", "first_name", "last_name", "street", "city", "job_title")
 _UPPER = ("gender", "state")
 _WHOLE = ("unix_time", "cc_num", "zip_code", "city_population", "is_fraud")
 _REAL = ("amount", "customer_lat", "customer_long", "merchant_lat", "merchant_long")
 
 
-def ingested_between(
-    raw: DataFrame, start: dt.date | None = None, end: dt.date | None = None
-) -> DataFrame:
-    """Limit a load to ingest dates ``[start, end]``; the raw table is partitioned by that date."""
-    if start is not None:
-        raw = raw.where(F.col("ingest_date") >= F.lit(start))
-    if end is not None:
-        raw = raw.where(F.col("ingest_date") <= F.lit(end))
-    return raw
-
-
 def clean(raw: DataFrame, lenient: bool = False) -> DataFrame:
     """Rename, cast, parse, trim and fold case.
 
@@ -58,8 +49,11 @@ def clean(raw: DataFrame, lenient: bool = False) -> DataFrame:
         "category": clean_category(F.col("category").cast("string")),
         "ingested_at": F.col("ingested_at"),
     }
-    out |= {c: F.trim(F.col(c).cast("string")) for c in _TEXT}
-    out |= {c: F.upper(F.trim(F.col(c).cast("string"))) for c in _UPPER}
+    def trimmed(name: str) -> Column:
+        return F.btrim(F.col(name).cast("string"), F.lit(WHITE_SPACE))
+
+    out |= {c: trimmed(c) for c in _TEXT}
+    out |= {c: F.upper(trimmed(c)) for c in _UPPER}
     out |= {c: number(c, "bigint") for c in _WHOLE}
     out |= {c: number(c, "double") for c in _REAL}
     renamed = raw.withColumnsRenamed(RENAMES)

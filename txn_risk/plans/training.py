@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -161,11 +161,14 @@ def score_column(model: Model, df: DataFrame, out: str = "score") -> DataFrame:
 
 
 def cross_validate(
-    frame: DataFrame, models: Mapping[str, Estimator], unique_id: str = "trans_num",
+    frame: DataFrame, models: Callable[[int], Mapping[str, Estimator]], unique_id: str = "trans_num",
     folds: int = 5, seed: int = 42,
 ) -> DataFrame:
     """Per model and fold: average precision, ROC-AUC, least cost and its threshold, seconds.
 
+    ``models`` makes the estimators for a number of training rows, here those of each fold: a penalty
+    by the size of the whole set would be too weak on a part of it.
+
     The loop runs over models and folds, a fixed handful; each turn is a distributed fit. Held-out
     scores are evaluated together, in one pass per metric.
     """
@@ -176,19 +179,20 @@ def cross_validate(
         ),
         "folds",
     )
-    scored, seconds = [], []
-    for name, estimator in models.items():
-        began = time.monotonic()
-        for fold in range(folds):
-            train = with_balanced_weight(dealt.where(F.col("fold") != fold))
-            held = dealt.where(F.col("fold") == fold)
-            fitted = estimator.fit(train)
+    sizes = {r["fold"]: r["n"] for r in dealt.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    scored, taken = [], {}
+    for fold in range(folds):
+        train = with_balanced_weight(dealt.where(F.col("fold") != fold))
+        held = dealt.where(F.col("fold") == fold)
+        for name, estimator in models(sum(sizes.values()) - sizes.get(fold, 0)).items():
+            began = time.monotonic()
             scored.append(
-                score_column(fitted, held).select(
+                score_column(estimator.fit(train), held).select(
                     F.lit(name).alias("model"), "fold", "score", "label"
                 )
             )
-        seconds.append((name, time.monotonic() - began))
+            taken[name] = taken.get(name, 0.0) + time.monotonic() - began
+    seconds = list(taken.items())
     spark = frame.sparkSession
     held_out = settle(reduce(DataFrame.unionByName, scored), "held-out")
     by = ["model", "fold"]
@@ -285,11 +289,13 @@ def train(
     train_features = settle(batch_features(chosen, kept, tie_policy), "train")
     test_features = settle(batch_features(test_rows, kept, tie_policy), "test")
     frame = training_frame(train_features)
-    models = candidates(train_features.count(), settings, names)
+
+    def models(rows: int) -> dict[str, Estimator]:
+        return candidates(rows, settings, names)
 
     cv = settle(cv_summary(cross_validate(frame, models, folds=folds)), "cv")
     name = select_model(cv)
-    model = models[name].fit(frame)
+    model = models(frame.count())[name].fit(frame)
 
     train_scored = settle(score_column(model, frame).select("score", "label"), "train-scores")
     threshold = cheapest(cost_sweep(train_scored)).first()["threshold"]

@@ -7,23 +7,22 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from txn_risk.plans import marts, quality
-from txn_risk.plans.staging import ingested_between, stage
+from txn_risk.plans.staging import stage
 
 # Fact rows of a day lie together, so a report's date slicer reads only its days.
 DAY = "trans_date"
 
 
 def build(
-    raw: DataFrame, out_dir: str, as_of: dt.date | None = None, start: dt.date | None = None,
-    end: dt.date | None = None,
+    raw: DataFrame, out_dir: str, as_of: dt.date | None = None,
 ) -> marts.Star:
     """Write staging, then the three marts from it, under ``out_dir``; returns the stored marts.
 
-    ``start`` / ``end`` limit the ingest dates read. Staging is stored first because every mart
-    reads it, each only some of its columns.
+    Always from the whole raw table: counts, statistics and latest records of a slice would be those
+    of the slice. Staging is stored first because every mart reads it, each only some of its columns.
     """
     spark = raw.sparkSession
-    stage(ingested_between(raw, start, end)).write.mode("overwrite").parquet(
+    stage(raw).write.mode("overwrite").parquet(
         f"{out_dir}/{quality.STAGING}"
     )
     stg = staging(spark, out_dir)

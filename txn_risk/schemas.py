@@ -11,7 +11,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields.items()])
 
 
-# One flat record per card transaction, as it arrives in files and on the topic.
+# Fixed values. One flat record per card transaction, as it arrives in files and on the topic.
 TRANSACTION = _struct(
     trans_num=_S, trans_date_trans_time=_S, unix_time=_L, cc_num=_L, merchant=_S, category=_S,
     amt=_D, first=_S, last=_S, gender=_S, street=_S, city=_S, state=_S, zip=_L, lat=_D, long=_D,
@@ -21,14 +21,14 @@ TRANSACTION = _struct(
 # The record as the replay puts it on the topic.
 EVENT = T.StructType(TRANSACTION.fields + [T.StructField("produced_at", _S, True)])
 
-# The raw warehouse table; the key is required, all else may be null.
+# Fixed values. The raw warehouse table; the key is required, all else may be null.
 RAW = T.StructType(
     [T.StructField("trans_num", _S, False)]
     + EVENT.fields[1:]
     + [T.StructField("ingested_at", T.TimestampType(), True)]
 )
 
-# CSV files carry an unnamed leading row index.
+# Fixed values. CSV files carry an unnamed leading row index.
 CSV_INDEX = "_row_index"
 CSV_FILE = T.StructType(
     [T.StructField(CSV_INDEX, _L, True)]
@@ -39,7 +39,7 @@ CSV_FILE = T.StructType(
     )]
 )
 
-# Keyed score table.
+# Fixed values. Keyed score table.
 SCORE = _struct(
     trans_num=_S, trans_date_trans_time=_S, unix_time=_L, cc_num=_L, merchant=_S, category=_S,
     amt=_D, city=_S, state=_S, geo_distance_km=_D, txn_freq_24h=T.IntegerType(),
@@ -47,7 +47,7 @@ SCORE = _struct(
     is_fraud_ground_truth=T.IntegerType(), decision=_S, latency_ms=_D, processed_at=_S,
 )
 
-# Output contracts of the star schema.
+# Fixed values. Output contracts of the star schema.
 DIM_CUSTOMERS = (
     "customer_id", "cc_num", "first_name", "last_name", "full_name", "gender", "street", "city",
     "state", "zip_code", "customer_lat", "customer_long", "city_population", "job_title",

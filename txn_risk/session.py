@@ -70,4 +70,15 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.settled_at = path
+    return out
+
+
+def discard(*settled: DataFrame) -> None:
+    """Delete what :func:`settle` wrote, once nothing reads it any more."""
+    for df in settled:
+        spark, path = df.sparkSession, getattr(df, "settled_at", None)
+        if path:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -42,12 +42,44 @@ def write_lake(rows: DataFrame, path: str) -> None:
     )
 
 
+def write_batch(rows: DataFrame, path: str, batch: str) -> None:
+    """Write a micro-batch into the plain ``dt=…/hour=…`` folders, once however often it is repeated.
+
+    The files are written aside, then moved under names that begin with ``batch``; those that an
+    earlier attempt moved are replaced. A listing of the folders is the truth: batch appends,
+    retention and readers need no log. The driver moves the files of one batch, about one per hour
+    touched.
+    """
+    spark = rows.sparkSession
+    aside = f"{path}/_incoming/{batch}"
+    (
+        with_partition_keys(rows).select(*EVENT.fieldNames(), *PARTITIONS).hint("rebalance", *PARTITIONS)
+        .write.mode("overwrite").partitionBy(*PARTITIONS).option("compression", "snappy").parquet(aside)
+    )
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    root = hadoop(aside)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for day in [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]:
+        for hour in [s.getPath() for s in fs.listStatus(day)]:
+            target = hadoop(f"{path}/{day.getName()}/{hour.getName()}")
+            fs.mkdirs(target)
+            for old in fs.listStatus(target):
+                if old.getPath().getName().startswith(f"{batch}-"):
+                    fs.delete(old.getPath(), False)
+            new = [s.getPath() for s in fs.listStatus(hour) if s.getPath().getName().endswith(".parquet")]
+            for i, file in enumerate(new):
+                if not fs.rename(file, hadoop(f"{target.toString()}/{batch}-{i:05d}.parquet")):
+                    raise OSError(f"{file.toString()} could not be moved into {target.toString()}")
+    fs.delete(root, True)
+
+
 def read_lake(
     spark: SparkSession, path: str, start: str | None = None, end: str | None = None,
-    skip_unreadable: bool = True,
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """All Parquet files under ``path``, optionally only days ``[start, end]`` (pruned by
-    directory). Unreadable files are skipped, unless told otherwise."""
+    directory). An unreadable file fails the query, unless told otherwise: a transient error would
+    else look like missing rows. :func:`skipped_files` names what a lenient read leaves out."""
     rows = (
         spark.read.schema(LAKE)
         .option("pathGlobFilter", "*.parquet")
@@ -61,6 +93,15 @@ def read_lake(
     return rows
 
 
+def skipped_files(spark: SparkSession, path: str, modified_after: dt.datetime | None = None) -> DataFrame:
+    """``path`` of each Parquet file from which a lenient read gets no row."""
+    listed = lake_files(spark, path)
+    if modified_after is not None:
+        listed = listed.where(F.col("modified_at") > F.lit(modified_after))
+    read = read_lake(spark, path, skip_unreadable=True).select(F.col("_metadata.file_path").alias("path")).distinct()
+    return listed.join(read, "path", "left_anti").select("path")
+
+
 def raw_rows(
     lake: DataFrame, ingested_at: dt.datetime, modified_after: dt.datetime | None = None
 ) -> DataFrame:
@@ -95,17 +136,19 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 def load(
     spark: SparkSession, lake_path: str, raw_path: str, ingested_at: dt.datetime,
-    modified_after: dt.datetime | None = None,
+    modified_after: dt.datetime | None = None, skip_unreadable: bool = False,
 ) -> dict[str, int | str]:
-    """Lake to raw table. Returns ``status``, ``files_loaded``, ``rows_loaded`` and
-    ``total_table_rows``."""
+    """Lake to raw table. Returns ``status``, ``files_loaded``, ``files_skipped``, ``rows_loaded`` and
+    ``total_table_rows``. A file counts as loaded only if it was read."""
     files = lake_files(spark, lake_path)
     if modified_after is not None:
         files = files.where(F.col("modified_at") > F.lit(modified_after))
     n_files = files.count()
     if not n_files:
-        return {"status": "EMPTY", "files_loaded": 0, "rows_loaded": 0}
-    append_raw(raw_rows(read_lake(spark, lake_path), ingested_at, modified_after), raw_path)
+        return {"status": "EMPTY", "files_loaded": 0, "files_skipped": 0, "rows_loaded": 0}
+    skipped = skipped_files(spark, lake_path, modified_after).count() if skip_unreadable else 0
+    rows = read_lake(spark, lake_path, skip_unreadable=skip_unreadable)
+    append_raw(raw_rows(rows, ingested_at, modified_after), raw_path)
     table = read_raw(spark, raw_path)
     # One ingest date is scanned for the load, and no column at all for the table's size.
     loaded = table.where(
@@ -113,7 +156,8 @@ def load(
         & (F.col("ingested_at") == F.lit(ingested_at))
     ).count()
     return {
-        "status": "SUCCESS", "files_loaded": n_files, "rows_loaded": loaded,
+        "status": "SUCCESS" if not skipped else "PARTIAL", "files_loaded": n_files - skipped,
+        "files_skipped": skipped, "rows_loaded": loaded,
         "total_table_rows": table.count(),
     }
 
@@ -125,7 +169,9 @@ def lake_files(spark: SparkSession, path: str) -> DataFrame:
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .load(path)
-        .select("path", F.col("modificationTime").alias("modified_at"), "length")
+        .select(
+            F.col("_metadata.file_path").alias("path"), F.col("modificationTime").alias("modified_at"), "length"
+        )
     )
 
 

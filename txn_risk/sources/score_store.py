@@ -1,34 +1,88 @@
 """Keyed score table on plain files.
 
-Writers only append, so retries and parallel writers never overwrite what somebody reads. The
-latest record per ``trans_num`` wins when the table is read; compaction writes that view as a new
-version and readers move to it once it is complete.
+Writers only append to a log, laid out by processing date, so retries and parallel writers never
+overwrite what somebody reads. The latest record per ``trans_num`` wins when the table is read;
+compaction writes that view as a new version and readers move to it once it is complete.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from txn_risk.functions import coerce_double, coerce_int
 from txn_risk.operators.dedup import latest_per_key
 from txn_risk.schemas import SCORE
 
+# Days without a readable processing time.
+NO_DATE = "none"
+_LOG = T.StructType(SCORE.fields + [T.StructField("processed_date", T.StringType(), True)])
+
+
+def processed_time() -> Column:
+    """The processing time as an instant, whatever ISO form it was written in; null if unreadable."""
+    return F.try_to_timestamp(F.col("processed_at"))
+
+
+def with_date(records: DataFrame) -> DataFrame:
+    """Add the log's partition, ``processed_date``."""
+    day = F.coalesce(F.date_format(processed_time(), "yyyy-MM-dd"), F.lit(NO_DATE))
+    return records.select(*SCORE.fieldNames()).withColumn("processed_date", day)
+
 
 def append_scores(records: DataFrame, path: str) -> None:
     """Insert or replace: a record replaces an older one of its key by being later."""
-    records.select(*SCORE.fieldNames()).write.mode("append").parquet(path)
+    with_date(records).write.mode("append").partitionBy("processed_date").parquet(path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SCORE).parquet(path)
+    return spark.read.schema(_LOG).parquet(path)
 
 
 def latest_scores(log: DataFrame) -> DataFrame:
     """One record per transaction, the last processed."""
-    return latest_per_key(log, ["trans_num"], ["processed_at"])
+    timed = log.select(*SCORE.fieldNames()).withColumn("_processed", processed_time())
+    return latest_per_key(timed, ["trans_num"], ["_processed", "processed_at"]).drop("_processed")
+
+
+def newest_of_log(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """The ``n`` last processed transactions of a log, reading its newest days only.
+
+    A later record of a key lies in a later day, so what older days hold cannot change the answer. The
+    driver sees one count per day, newest first, until they hold ``n`` transactions.
+    """
+    log = read_log(spark, path)
+    days = [
+        r.processed_date for r in log.select("processed_date").distinct().collect()
+    ]
+    days.sort(key=lambda d: (d != NO_DATE, d), reverse=True)
+    chosen: list[str] = []
+    for day in days:
+        chosen.append(day)
+        newest_days = log.where(F.col("processed_date").isin(chosen))
+        if newest_days.select("trans_num").distinct().limit(n).count() >= n:
+            break
+    return newest(latest_scores(log.where(F.col("processed_date").isin(chosen))), n)
+
+
+def lookup(spark: SparkSession, table: str, trans_num: str) -> DataFrame:
+    """A transaction's record in the compacted table; only its bucket is read."""
+    return read_compacted(spark, table).where(
+        (F.col("bucket") == _bucket(F.lit(trans_num))) & (F.col("trans_num") == trans_num)
+    )
+
+
+# Buckets of a compacted table, by key.
+BUCKETS = 64
+_TABLE = T.StructType(SCORE.fields + [T.StructField("bucket", T.IntegerType(), True)])
+
+
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
 
 def _versions(spark: SparkSession, table: str) -> list[int]:
@@ -47,36 +101,52 @@ def read_compacted(spark: SparkSession, table: str) -> DataFrame:
     """The newest complete version, empty before the first."""
     versions = _versions(spark, table)
     if not versions:
-        return spark.createDataFrame([], SCORE)
-    return spark.read.schema(SCORE).parquet(f"{table}/v={versions[-1]}")
+        return spark.createDataFrame([], _TABLE)
+    return spark.read.schema(_TABLE).parquet(f"{table}/v={versions[-1]}")
 
 
-def compact(updates: DataFrame, table: str) -> int:
+def compact(updates: DataFrame, table: str, keep: int = 2) -> int:
     """Merge ``updates`` into the table as its next version; returns that version.
 
-    Replaying the same updates leaves the same rows.
+    Replaying the same updates leaves the same rows. A version is written aside and takes its number by
+    a rename, which only one of two compactions can win; the other merges again, on top of the winner.
+    All but the last ``keep`` versions are removed.
     """
     spark = updates.sparkSession
-    versions = _versions(spark, table)
-    merged = latest_scores(
-        read_compacted(spark, table).unionByName(updates.select(*SCORE.fieldNames()))
-    )
-    version = versions[-1] + 1 if versions else 1
-    merged.write.mode("overwrite").parquet(f"{table}/v={version}")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(table).getFileSystem(spark._jsc.hadoopConfiguration())
+    while True:
+        versions = _versions(spark, table)
+        old = read_compacted(spark, table).select(*SCORE.fieldNames())
+        merged = latest_scores(old.unionByName(updates.select(*SCORE.fieldNames())))
+        aside = f"{table}/_aside-{uuid.uuid4().hex}"
+        merged.withColumn("bucket", _bucket(F.col("trans_num"))).write.partitionBy("bucket").parquet(aside)
+        version = versions[-1] + 1 if versions else 1
+        target = hadoop(f"{table}/v={version}")
+        if fs.exists(target) and version not in _versions(spark, table):
+            fs.delete(target, True)  # a writer of an older kind died here
+        # A rename onto a folder that exists would move into it, so the winner is looked for first.
+        if not fs.exists(target) and fs.rename(hadoop(aside), target):
+            break
+        fs.delete(hadoop(aside), True)
+    for v in versions[:max(0, len(versions) + 1 - keep)]:
+        fs.delete(hadoop(f"{table}/v={v}"), True)
     return version
 
 
 def newest(scores: DataFrame, n: int) -> DataFrame:
     """The ``n`` last processed records."""
-    return scores.orderBy(F.col("processed_at").desc_nulls_last(), "trans_num").limit(n)
+    kept = scores.withColumn("_processed", F.col("processed_at").try_cast("timestamp"))
+    return kept.orderBy(F.col("_processed").desc_nulls_last(), "trans_num").limit(n).drop("_processed")
 
 
 def read_stores(stores: Sequence[DataFrame], n: int = 500) -> DataFrame:
-    """The newest ``n`` over several stores; for a key in more than one, the first store wins.
+    """The newest ``n`` transactions over several stores; for a key in more than one, the first store
+    wins. A store may be a log with repeats: its keys are made unique first.
 
     Unreadable numbers become 0 and unreadable times null.
     """
-    ranked = [newest(s, n).withColumn("_store", F.lit(i)) for i, s in enumerate(stores)]
+    ranked = [newest(latest_scores(s), n).withColumn("_store", F.lit(i)) for i, s in enumerate(stores)]
     both = reduce(DataFrame.unionByName, ranked)
     # At most n rows per store from here on.
     kept = both.withColumn("_first", F.lit(0) - F.col("_store"))

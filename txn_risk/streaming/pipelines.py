@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Sequence
+
+import pandas as pd
 from pyspark.ml.base import Model
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -19,15 +23,20 @@ from txn_risk.plans.features import (
 )
 from txn_risk.plans.training import score_column, time_prefix
 from txn_risk.schemas import ALERT_THRESHOLD, BLOCK_THRESHOLD, EVENT, TIMESTAMP_TEXT
-from txn_risk.sources.lake import PARTITIONS, with_partition_keys
+from txn_risk.sources.lake import write_batch
+from txn_risk.sources.score_store import append_scores
+from txn_risk.streaming.repeats_state import without_seen
 from txn_risk.streaming.trailing_state import with_trailing_count
 
-# Fixed value: the age at which a micro-batch is flushed.
-FLUSH_INTERVAL = "15 seconds"
+# The topic's options hold the flush rule; a micro-batch may start as soon as they allow.
+FLUSH_INTERVAL = "0 seconds"
 
 
-def write_replay_files(rows: DataFrame, path: str, files: int, limit: int | None = None) -> None:
-    """Write transactions as Parquet files in time order, for a file stream to replay.
+def write_replay_files(
+    rows: DataFrame, path: str, files: int, limit: int | None = None,
+    order: Sequence[str] = ("trans_date_trans_time", "trans_num"),
+) -> None:
+    """Write transactions as Parquet files in time order (or any other), for a file stream to replay.
 
     Ranges are cut by time and sorted inside. A file stream takes files by modification time, so
     the files, which one job writes together, are stamped in their range order.
@@ -35,8 +44,7 @@ def write_replay_files(rows: DataFrame, path: str, files: int, limit: int | None
     ordered = (
         time_prefix(rows, limit)
         .withColumn("produced_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
-        .repartitionByRange(files, "trans_date_trans_time", "trans_num")
-        .sortWithinPartitions("trans_date_trans_time", "trans_num")
+        .repartitionByRange(files, *order).sortWithinPartitions(*order)
     )
     ordered.select(*EVENT.fieldNames()).write.parquet(path)
     spark = rows.sparkSession
@@ -62,19 +70,15 @@ def read_replay(
 
 
 def without_repeats(stream: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Drop repeats of a ``trans_num`` within ``delay`` of event time.
+    """Drop repeats of a ``trans_num`` whose first copy came with an event time at most ``delay``
+    before the newest seen.
 
-    Optional, since the score table and staging resolve repeats by key anyway. Keys are held, and
-    events let through, for ``delay`` behind the latest event: choose it longer than any event may
-    be late, as later ones are discarded.
+    Optional, since the score table and staging resolve repeats by key anyway. No transaction is ever
+    lost: one without a readable time, or later than ``delay``, passes (and so may a repeat of it).
     """
-    at = F.coalesce(
-        F.try_to_timestamp("trans_date_trans_time", F.lit(TIMESTAMP_TEXT)), F.current_timestamp()
-    )
-    return (
-        stream.withColumn("_at", at).withWatermark("_at", delay)
-        .dropDuplicatesWithinWatermark(["trans_num"]).drop("_at")
-    )
+    at = F.try_to_timestamp("trans_date_trans_time", F.lit(TIMESTAMP_TEXT))
+    seconds = int(pd.Timedelta(delay).total_seconds())
+    return without_seen(stream, "trans_num", F.unix_timestamp(at), seconds)
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, interval: str | None) -> StreamingQuery:
@@ -86,46 +90,79 @@ def _start(writer: DataStreamWriter, checkpoint: str, interval: str | None) -> S
 
 
 def ingest_to_lake(
-    stream: DataFrame, path: str, checkpoint: str, interval: str | None = FLUSH_INTERVAL
+    stream: DataFrame, path: str, checkpoint: str, interval: str | None = FLUSH_INTERVAL,
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """Transactions to the date/hour lake, once per checkpoint.
 
-    The file sink commits a micro-batch's files after they are written; a repeat sent by the
-    producer is still a second record, which staging removes.
+    A micro-batch that runs again after a failure replaces its own files, so the lake needs no log of
+    the sink: batch appends are seen, and expired files may go. A repeat sent by the producer is still
+    a second record, which staging removes. Rows with a ``_corrupt`` text (see
+    :func:`txn_risk.sources.topic.decode`) go to ``rejects`` as JSON lines, or fail the query if that
+    is not given: none is dropped.
     """
-    writer = (
-        with_partition_keys(stream).select(*EVENT.fieldNames(), *PARTITIONS)
-        .writeStream.format("parquet").outputMode("append")
-        .option("path", path).option("compression", "snappy").partitionBy(*PARTITIONS)
-    )
-    return _start(writer, checkpoint, interval)
+    query = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    routed = "_corrupt" in stream.columns
+
+    def put(rows: DataFrame, number: int) -> None:
+        rows = rows.persist() if routed else rows
+        good = rows.where("_corrupt is null").drop("_corrupt") if routed else rows
+        if routed:
+            bad = rows.where("_corrupt is not null").select(F.col("_corrupt").alias("message"))
+            if rejects is not None:
+                bad.write.mode("overwrite").json(f"{rejects}/batch={query}-{number}")
+            elif not bad.isEmpty():
+                raise ValueError("messages that are no records, and no folder for rejects")
+        write_batch(good, path, f"{query}-{number}")
+        if routed:
+            rows.unpersist()
+
+    return _start(stream.writeStream.foreachBatch(put), checkpoint, interval)
+
+
+def stop_after(query: StreamingQuery, messages: int | None) -> None:
+    """Wait for a query; with ``messages``, stop it after the micro-batch that reaches that total."""
+    if messages is None:
+        query.awaitTermination()
+        return
+    seen: dict[int, int] = {}
+    while query.isActive:
+        for p in query.recentProgress:
+            seen[p["batchId"]] = p["numInputRows"]
+        if sum(seen.values()) >= messages:
+            query.stop()
+            return
+        query.awaitTermination(1)
 
 
 def stream_features(
-    stream: DataFrame, baseline: Baseline, forget_idle: bool = False
+    stream: DataFrame, baseline: Baseline,
 ) -> DataFrame:
     """The 27 features plus what a score record carries, by the batch's own column functions."""
     ready = with_defaults(stream.where(F.col("cc_num").isNotNull()))
     # Only what is used later crosses to Python.
-    counted = with_trailing_count(
-        ready.select(*CARRIED, *ROW_INPUTS), forget_idle=forget_idle
-    )
+    counted = with_trailing_count(ready.select(*CARRIED, *ROW_INPUTS))
     profiled = counted.join(as_profile(baseline.cards), "cc_num", "left")
     return project_features(profiled, baseline, CARRIED)
 
 
 def scored_stream(
     stream: DataFrame, model: Model, baseline: Baseline, alert: float = ALERT_THRESHOLD,
-    block: float = BLOCK_THRESHOLD, forget_idle: bool = False,
+    block: float = BLOCK_THRESHOLD,
 ) -> DataFrame:
     """Transactions to score records."""
-    features = assembler().transform(stream_features(stream, baseline, forget_idle))
+    features = assembler().transform(stream_features(stream, baseline))
     return score_records(score_column(model, features), alert, block)
 
 
 def write_scores(
     records: DataFrame, path: str, checkpoint: str, interval: str | None = FLUSH_INTERVAL
 ) -> StreamingQuery:
-    """Append score records to the score log."""
-    writer = records.writeStream.format("parquet").outputMode("append").option("path", path)
-    return _start(writer, checkpoint, interval)
+    """Append score records to the score log, laid out by processing date.
+
+    A micro-batch that runs again appends its records again; the log's readers keep one per key.
+    """
+    def put(rows: DataFrame, _number: int) -> None:
+        append_scores(rows, path)
+
+    return _start(records.writeStream.foreachBatch(put), checkpoint, interval)

@@ -1,0 +1,47 @@
+"""Repeats of a key within a span of event time, as state per bucket of keys.
+
+The built-in operator drops events behind its watermark. This one never drops a first copy: what it no
+longer remembers, it lets through.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+_STATE = "keys array<string>, seconds array<bigint>"
+
+
+def without_seen(stream: DataFrame, key: str, at: Column, horizon: int, buckets: int = 256) -> DataFrame:
+    """``stream`` without rows whose ``key`` was seen before.
+
+    ``at`` is the event time in seconds. A bucket of keys holds those whose time is within ``horizon`` of
+    its newest, so the state is bounded by the rows of that span. A row with a null key or time passes. One
+    that is older than what is held passes as well. Repeats inside a micro-batch count as seen.
+    """
+    named = stream.withColumn("_at", at.cast("bigint")).withColumn(
+        "_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    )
+
+    # Nested, so that it is shipped by value.
+    def keep(_bucket: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held: dict = dict(zip(*state.get)) if state.exists else {}
+        for frame in frames:
+            new = []
+            for name, second in zip(frame[key], frame["_at"]):
+                timed = name is not None and not pd.isna(second)
+                new.append(not timed or name not in held)
+                if timed:
+                    held[name] = max(int(second), held.get(name, int(second)))
+            yield frame[new]
+        newest = max(held.values(), default=0)
+        kept = {k: s for k, s in held.items() if s >= newest - horizon}
+        state.update((list(kept), list(kept.values())))
+
+    out = named.groupBy("_bucket").applyInPandasWithState(
+        keep, named.schema, _STATE, "append", GroupStateTimeout.NoTimeout
+    )
+    return out.drop("_at", "_bucket")

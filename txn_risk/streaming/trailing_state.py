@@ -25,7 +25,7 @@ _STATE = "seconds array<bigint>, counts array<bigint>"
 
 def with_trailing_count(
     stream: DataFrame, key: str = "cc_num", at: str = "unix_time", out: str = "txn_freq_24h",
-    horizon: int = DAY_SECONDS, lateness: int = DAY_SECONDS, forget_idle: bool = False,
+    horizon: int = DAY_SECONDS, lateness: int = DAY_SECONDS,
 ) -> DataFrame:
     """Add ``out``: the key's events in ``[at - horizon, at - 1]`` seen so far.
 
@@ -34,20 +34,16 @@ def with_trailing_count(
     rows, but rows already sent out are not revised. No event is dropped: one later than
     ``lateness`` finds only part of its past. ``at`` must not be null.
 
-    ``forget_idle`` drops the state of a card without events for horizon plus lateness of wall-clock
-    time. It is for queries that run for good: with it a query never finishes by itself, as every
-    idle moment may bring a time-out. (An event-time time-out would discard late events.)
+    An idle card keeps its last seconds: a time-out by the wall clock would forget cards during a stop,
+    and count their backlog from nothing; one by event time would discard late events. So the state
+    grows with the number of cards, by at most the seconds of horizon plus lateness each.
     """
-    idle_ms = (horizon + lateness) * 1000
 
     # Nested, and using only numpy and pandas, so that it is shipped by value: workers need not
     # have this package installed.
     def count(
         _key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
         batch = list(frames)
         new = np.concatenate([f[at].to_numpy(dtype=np.int64) for f in batch])
         seconds, counts = new, np.ones(len(new), dtype=np.int64)
@@ -66,11 +62,9 @@ def with_trailing_count(
             yield frame.assign(**{out: upto - gone})
         held = seconds >= seconds[-1] - horizon - lateness
         state.update((seconds[held].tolist(), summed[held].tolist()))
-        if forget_idle:
-            state.setTimeoutDuration(idle_ms)
 
     schema = T.StructType(stream.schema.fields + [T.StructField(out, T.LongType(), True)])
     return stream.groupBy(key).applyInPandasWithState(
         count, schema, _STATE, "append",
-        GroupStateTimeout.ProcessingTimeTimeout if forget_idle else GroupStateTimeout.NoTimeout,
+        GroupStateTimeout.NoTimeout,
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable
 from functools import wraps
 
@@ -26,9 +27,9 @@ from txn_risk.plans import (
     training,
     warehouse,
 )
-from txn_risk.plans.features import Baseline, batch_features, with_defaults
+from txn_risk.plans.features import Baseline, assembler, batch_features, with_defaults
 from txn_risk.plans.staging import clean, stage
-from txn_risk.schemas import EVENT, FEATURES, TRANSACTION
+from txn_risk.schemas import CSV_FILE, EVENT, FEATURES, SCORE, TRANSACTION
 from txn_risk.session import scratch_path, settle
 from txn_risk.sources import csv_files, lake, score_store, topic
 from txn_risk.streaming import pipelines
@@ -655,8 +656,10 @@ def ml_logistic_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five-fold cross-validation of the logistic model on the training days."""
     raw = early(raw_transactions(spark, sf_dir))
     frame = training.training_frame(settle(batch_features(raw, Baseline.fit(raw)), "features"))
-    models = training.candidates(raw.count(), names=[training.LOGISTIC])
-    return training.cv_summary(training.cross_validate(frame, models))
+    def models(rows: int) -> dict:
+        return training.candidates(rows, names=[training.LOGISTIC])
+
+    return training.cv_summary(training.cross_validate(frame, models)).drop("training_time_sec")
 
 
 # --- scores ------------------------------------------------------------------------------------
@@ -698,17 +701,20 @@ def score_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     score_store.append_scores(log, path)
     score_store.compact(score_store.read_log(spark, path), store)
     score_store.compact(first, store)
-    return score_store.read_compacted(spark, store).select(
-        "trans_num", "fraud_score", "decision", "is_fraud_predicted"
-    )
+    return score_store.read_compacted(spark, store).select(*SCORE.fieldNames())
 
 
 @query
 def newest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two stores hold the same keys; the first one's records are shown."""
+    """A log with repeats and a table hold the same keys; the log's last records are shown."""
+    path = scratch_path(spark, "log")
     log = score_log(spark, sf_dir)
+    score_store.append_scores(log.withColumns({
+        "processed_at": F.lit("2023-12-31T00:00:00Z"), "decision": F.lit("OLD"),
+    }), path)
+    score_store.append_scores(log, path)
     other = log.withColumn("decision", F.lit("OTHER"))
-    return score_store.read_stores([log, other], 1000).select(
+    return score_store.read_stores([score_store.newest_of_log(spark, path, 1000), other], 1000).select(
         "trans_num", "fraud_score", "decision"
     )
 
@@ -718,6 +724,57 @@ def live_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitoring.live_kpis(score_store.newest(score_log(spark, sf_dir), 1000))
 
 
+@query
+def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monitoring.timeline(score_log(spark, sf_dir), 100).select("trans_num", "processed_at", "decision", "amt")
+
+
+@query
+def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = scratch_path(spark, "scores")
+    score_store.compact(score_log(spark, sf_dir), store)
+    return score_store.lookup(spark, store, "77").select("trans_num", "decision", "amt")
+
+
+@query
+def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions as CSV files with an index column, read twice: a union keeps duplicates."""
+    path = scratch_path(spark, "csv")
+    rows = raw_transactions(spark, sf_dir).withColumn(CSV_FILE[0].name, F.monotonically_increasing_id())
+    rows.select(*CSV_FILE.fieldNames()).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).csv(path)
+    return csv_files.read_transactions(spark, path, path).select("trans_num", "category", "amt", "is_fraud", "dob")
+
+
+@query
+def defaults_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that lack what they may lack."""
+    lacking = F.pmod(F.col("trans_num").cast("bigint"), F.lit(4)) == 1
+    gaps = ("unix_time", "lat", "long", "merch_lat", "merch_long", "city_pop", "dob")
+    raw = raw_transactions(spark, sf_dir).withColumns({
+        c: F.when(~lacking, F.col(c)) for c in gaps
+    })
+    return with_defaults(raw).select("trans_num", *gaps)
+
+
+@query
+def dq_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The data tests on tables with faults: repeated, missing, out of range and orphaned."""
+    s = star(spark, sf_dir)
+    number = F.col("trans_num").cast("bigint")
+    bad = s.fact.withColumns({
+        "customer_id": F.when(F.pmod(number, F.lit(10)) == 3, F.lit("nobody")).otherwise(F.col("customer_id")),
+        "is_fraud": F.when(F.pmod(number, F.lit(10)) == 4, F.lit(2)).otherwise(F.col("is_fraud")),
+        "merchant_id": F.when(F.pmod(number, F.lit(10)) != 5, F.col("merchant_id")),
+    })
+    bad = bad.unionByName(bad.where(F.pmod(number, F.lit(10)) == 6))
+    return quality.quality_report({
+        quality.STAGING: staged(spark, sf_dir), quality.CUSTOMERS: s.customers,
+        quality.MERCHANTS: s.merchants, quality.FACT: bad,
+    }).where("failures > 0")
+
+
 @query
 def decision_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitoring.decision_counts(score_log(spark, sf_dir))
@@ -749,27 +806,30 @@ def risk_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams -----------------------------------------------------------------------------------
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a file stream of transactions.
+# Files of a replay, hence micro-batches: state is carried over, and pruned, several times.
+REPLAY_FILES = 5
 
-    The path is a glob, as a file stream takes a single file only through one; it matches a
-    directory of that name as well.
-    """
-    events = table(spark, sf_dir, "events")
-    stream = (
-        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-        .parquet(f"{sf_dir}/events.parque[t]")
-    )
-    return as_transactions(
-        stream, table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    )
+
+def replayed(rows: DataFrame, order: tuple[str, ...] = ("trans_date_trans_time", "trans_num")) -> DataFrame:
+    """Transactions as a stream of several micro-batches in the order of ``order``."""
+    spark = rows.sparkSession
+    path = scratch_path(spark, "replay")
+    pipelines.write_replay_files(rows, path, REPLAY_FILES, order=order)
+    return pipelines.read_replay(spark, path)
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table replayed as a stream of transactions."""
+    return replayed(raw_transactions(spark, sf_dir))
 
 
 def run_to_table(df: DataFrame, name: str) -> DataFrame:
     """Run a stream to the end of its input into a file sink and read the result."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    pipelines.write_scores(df, path, f"{path}-checkpoint", interval=None).awaitTermination()
+    df.writeStream.format("parquet").option("path", path).option(
+        "checkpointLocation", f"{path}-checkpoint"
+    ).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -783,23 +843,89 @@ def stream_freq_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message is delivered twice; one of each passes."""
-    once = event_stream(spark, sf_dir)
-    twice = once.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
-    # A table read as a stream comes in the order of its files, so the delay spans all of it.
-    kept = pipelines.without_repeats(twice, "3660 days").select("trans_num", "cc_num", "amt")
-    return run_to_table(kept, "stream-dedup")
+    """Most messages are delivered again hours later, in another micro-batch; some have no readable
+    time, the first of them at once. Every transaction passes once."""
+    raw = raw_transactions(spark, sf_dir)
+    at, number = F.unix_timestamp("trans_date_trans_time"), F.col("trans_num").cast("bigint")
+    bad = F.pmod(number, F.lit(50)) == 7
+    first = raw.withColumn("_delivered", F.when(bad, F.pmod(number, F.lit(3)) * 1_000_000_000).otherwise(at))
+    again = raw.where(~bad).withColumn("_delivered", at + 9 * 3600)
+    sent = first.unionByName(again).withColumn(
+        "trans_date_trans_time", F.when(bad, F.lit("?")).otherwise(F.col("trans_date_trans_time"))
+    )
+    stream = replayed(sent, ("_delivered", "trans_num"))
+    return run_to_table(
+        pipelines.without_repeats(stream, "1 day").select("trans_num", "cc_num", "amt"), "stream-dedup"
+    )
 
 
 @query
 def stream_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several micro-batches, then a batch append; a reader sees both."""
     path = scratch_path(spark, "stream-lake")
+    raw = raw_transactions(spark, sf_dir)
+    even = F.pmod(F.col("trans_num").cast("bigint"), F.lit(2)) == 0
     pipelines.ingest_to_lake(
-        _events(event_stream(spark, sf_dir)), path, f"{path}-checkpoint", interval=None
+        _events(replayed(raw.where(even))), path, f"{path}-checkpoint", interval=None
     ).awaitTermination()
+    lake.write_lake(_events(raw.where(~even)), path)
     return _per_hour(lake.read_lake(spark, path))
 
 
+@query
+def lake_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of the stream expire, those of a later append stay and load."""
+    path, raw_path = scratch_path(spark, "old-lake"), scratch_path(spark, "old-raw")
+    raw = raw_transactions(spark, sf_dir)
+    pipelines.ingest_to_lake(
+        _events(replayed(early(raw))), path, f"{path}-checkpoint", interval=None
+    ).awaitTermination()
+    time.sleep(1.5)  # file times have seconds
+    between = dt.datetime.now(dt.timezone.utc)
+    time.sleep(1.5)
+    lake.write_lake(_events(raw.where(F.col("trans_date_trans_time") >= CUT)), path)
+    lake.remove_expired(spark, path, between + dt.timedelta(days=7), keep_days=7, dry_run=False)
+    lake.load(spark, path, raw_path, LOADED_AT)
+    day = F.substring("trans_date_trans_time", 1, 10)
+    return lake.read_raw(spark, raw_path).groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load from a lake with three damaged files says so."""
+    path, raw_path = scratch_path(spark, "damaged-lake"), scratch_path(spark, "damaged-raw")
+    lake.write_lake(_events(raw_transactions(spark, sf_dir)), path)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for i in range(3):
+        out = fs.create(hadoop(f"{path}/dt=2024-01-01/hour=00/damaged-{i}.parquet"))
+        out.writeBytes("PAR1 and no more")
+        out.close()
+    summary = lake.load(spark, path, raw_path, LOADED_AT, skip_unreadable=True)
+    return spark.createDataFrame(
+        [(summary["status"], summary["files_skipped"], summary["rows_loaded"], summary["total_table_rows"])],
+        "status string, files_skipped bigint, rows_loaded bigint, total_table_rows bigint",
+    )
+
+
+@query
+def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which some are no records, through the ingest: all are in the lake or the rejects."""
+    path = scratch_path(spark, "mixed-lake")
+    sent = topic.encode(raw_transactions(spark, sf_dir)).select("value")
+    bad = spark.createDataFrame(
+        [(None,), ("{}",), ("not json",), ('{"trans_num": "x", "amt": "many"}',), ('{"amt": 1.5}',)], "value string"
+    )
+    sent.unionByName(bad).write.parquet(f"{path}-messages")
+    stream = topic.decode(spark.readStream.schema("value string").parquet(f"{path}-messages"))
+    pipelines.ingest_to_lake(
+        stream, path, f"{path}-checkpoint", interval=None, rejects=f"{path}-rejects"
+    ).awaitTermination()
+    good = lake.read_lake(spark, path).agg(F.count(F.lit(1)).alias("n")).select(F.lit("lake").alias("kind"), "n")
+    rejects = spark.read.schema("message string").json(f"{path}-rejects/*")
+    return good.unionByName(rejects.groupBy(F.col("message").alias("kind")).agg(F.count(F.lit(1)).alias("n")))
+
+
 def _settled_baseline(raw: DataFrame) -> Baseline:
     fitted = baseline(raw)
     return Baseline(settle(fitted.cards, "cards"), settle(fitted.overall, "overall"))
@@ -816,7 +942,8 @@ def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A logistic model fitted on the training days scores the whole stream."""
+    """A logistic model fitted on the training days gives each transaction of the stream the score that
+    it gives the batch."""
     raw = raw_transactions(spark, sf_dir)
     fitted = _settled_baseline(raw)
     train = early(raw)
@@ -825,4 +952,9 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         frame
     )
     records = pipelines.scored_stream(_events(event_stream(spark, sf_dir)), model, fitted)
-    return run_to_table(records, "stream-scores").drop("processed_at", "latency_ms")
+    streamed = run_to_table(records, "stream-scores").select("trans_num", "fraud_score")
+    features = assembler().transform(settle(batch_features(raw, fitted, keep=("trans_num",)), "all-features"))
+    batch = training.score_column(model, features).select("trans_num", F.round("score", 4).alias("score"))
+    return batch.join(streamed, "trans_num", "left").select(
+        "trans_num", F.coalesce(F.abs(F.col("score") - F.col("fraud_score")) < 2e-4, F.lit(False)).alias("same")
+    )
