@@ -15,11 +15,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from txn_risk.llm.links import components
+from txn_risk.llm.links import components, grouped
 from txn_risk.llm.words import settle
 
 SEED = 20_24
@@ -28,7 +27,7 @@ CELL = 1.5
 COUNTING = 24
 WINDOW = 0.45
 # Recall asked of each part: that a true pair shares a block somewhere, and reaches the least count.
-RECALL = 0.999
+RECALL = 0.998
 BLOCK_TARGET = 400
 # A block of more rows than this is dealt to several tasks.
 BLOCK_LIMIT = 2_000
@@ -38,6 +37,10 @@ def _normal(x: float) -> float:
     return 0.5 * (1 + math.erf(x / math.sqrt(2)))
 
 
+def _numbers(values: list[int]) -> np.ndarray:
+    return np.array(values, np.int64)
+
+
 @dataclass(frozen=True)
 class Plan:
     least_cosine: float
@@ -86,8 +89,11 @@ def _cells(unit: np.ndarray, plan: Plan) -> np.ndarray:
 def _collisions(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """How many projections of ``right`` fall into the windows around those of ``left``, per pair.
 
-    Each projection is sorted once; a window is a stretch of that order, added as a difference.
+    Each projection is sorted once; a window is a stretch of that order, added as a difference. For a
+    few vectors the windows are held against all of them.
     """
+    if len(right) <= 64:
+        return (np.abs(left[:, None, :] - right[None, :, :]) <= WINDOW).sum(axis=2)
     counts = np.zeros((len(left), len(right)), np.int16)
     rows = np.arange(len(left))
     for k in range(left.shape[1]):
@@ -114,19 +120,17 @@ class _Forest:
         return i
 
 
-def _block(part: pd.DataFrame, plan: Plan) -> tuple[np.ndarray, list[tuple[int, int]]]:
+def _block(
+    vectors: np.ndarray, cells: np.ndarray, table: int, copies: np.ndarray, side: np.ndarray, plan: Plan
+) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Number of vectors (copies counted) that each row links with here, and edges that connect them.
 
     A pair that shares an earlier table's block is left to that block.
     """
-    vectors = _unit(np.stack(part["embedding"].to_numpy()).astype(np.float64))
-    cells = np.stack(part["cells"].to_numpy())
-    table = int(part["table"].iloc[0])
-    copies = part["copies"].to_numpy()
-    side = part["side"].to_numpy()
+    vectors = _unit(vectors)
     count_on = vectors @ _directions(vectors.shape[1], COUNTING, SEED + 2)
-    links = np.zeros(len(part), np.int64)
-    forest, edges = _Forest(len(part)), []
+    links = np.zeros(len(vectors), np.int64)
+    forest, edges = _Forest(len(vectors)), []
     # A block dealt over several tasks arrives as two halves; side 2 stands for a half with itself.
     left = np.flatnonzero(side != 1)
     right = np.flatnonzero(side != 0)
@@ -147,8 +151,8 @@ def _block(part: pd.DataFrame, plan: Plan) -> tuple[np.ndarray, list[tuple[int,
             a, b = i[k:k + 50_000], j[k:k + 50_000]
             linked = (vectors[a] * vectors[b]).sum(axis=1) >= plan.least_cosine
             a, b = a[linked], b[linked]
-            links += np.bincount(a, copies[b], len(part)).astype(np.int64)
-            links += np.bincount(b, copies[a], len(part)).astype(np.int64)
+            np.add.at(links, a, copies[b])
+            np.add.at(links, b, copies[a])
             for x, y in zip(a.tolist(), b.tolist(), strict=True):
                 p, q = forest.find(x), forest.find(y)
                 if p != q:
@@ -219,25 +223,41 @@ def find(
     split = keyed.join(sizes.select(*block, chunks.alias("chunks")), block).withColumn("own", own)
     # Row of chunk i goes to the tasks (i, i), (i, j > i) as left side and (j < i, i) as right side.
     tasks = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        "class", "copies", "embedding", "cells", *block,
-        F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        "class", "copies", "embedding", "cells", "table",
+        F.xxhash64(*block, F.least("own", "other"), F.greatest("own", "other")).alias("task"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
     )
 
-    def judge(part: pd.DataFrame) -> pd.DataFrame:
-        links, edges = _block(part, plan)
-        names = part["class"].to_numpy()
-        a = np.array([x for x, _ in edges], np.int64)
-        b = np.array([y for _, y in edges], np.int64)
-        linked = np.flatnonzero(links)
-        return pd.DataFrame({
-            "a": np.concatenate([names[linked], names[a]]).astype(np.int64),
-            "b": np.concatenate([np.full(len(linked), -1), names[b]]).astype(np.int64),
-            "links": np.concatenate([links[linked], np.zeros(len(a), np.int64)]),
-        })
-
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows_, bounds in grouped(batches, "task"):
+            names, copies, side, table = (rows_.column(c).to_numpy() for c in ("class", "copies", "side", "table"))
+            vectors_, cells = (rows_.column(c).combine_chunks() for c in ("embedding", "cells"))
+            at, flat = vectors_.offsets.to_numpy(), vectors_.values.to_numpy()
+            cell = cells.values.to_numpy()[cells.offsets[0].as_py():].reshape(-1, plan.tables)
+            a, b, n = [], [], []
+            # Blocks whose names hash alike would come together: the table and length tell them apart, and
+            # blocks of one table only add pairs to look at.
+            kind = table.astype(np.int64) << 40 | np.diff(at)
+            for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                mixed = kind[start:end].min() != kind[start:end].max()
+                for k in np.unique(kind[start:end]) if mixed else kind[start:start + 1]:
+                    own = np.flatnonzero(kind[start:end] == k) + start if mixed else np.arange(start, end)
+                    values = np.stack([flat[at[i]:at[i + 1]] for i in own]) if mixed else (
+                        flat[at[start]:at[end]].reshape(end - start, -1)
+                    )
+                    links, edges = _block(values, cell[own], int(table[own[0]]), copies[own], side[own], plan)
+                    linked = np.flatnonzero(links)
+                    a += [names[own][linked], names[own][_numbers([x for x, _ in edges])]]
+                    b += [np.full(len(linked), -1), names[own][_numbers([y for _, y in edges])]]
+                    n += [links[linked], np.zeros(len(edges), np.int64)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(x).astype(np.int64)) for x in (a, b, n)], names=["a", "b", "links"]
+            )
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = settle(
-        tasks.groupBy(*block, "low", "high").applyInPandas(judge, "a long, b long, links long"), "vector-links"
+        tasks.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(judge, "a long, b long, links long"),
+        "vector-links",
     )
     links = found.where("b = -1").groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
     roots = components(found.where("b >= 0").select("a", "b")).withColumnRenamed("node", "class")

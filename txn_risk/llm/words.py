@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from txn_risk.session import settle
+from txn_risk.session import discard, settle
 
-__all__ = ["WORD", "ascii_lower", "is_held_out", "settle", "split_words", "text_key", "texts"]
+__all__ = ["WORD", "ascii_lower", "discard", "is_held_out", "of_keys", "settle", "split_words", "text_key", "texts", "unused"]
 
 # Fixed by the contract: after lower-casing A-Z, a word is a run of digits, letters and any
 # character beyond ASCII.
@@ -50,3 +50,34 @@ def is_held_out(doc_id: Column) -> Column:
     """Rows kept out of every fit. A null id counts as the empty string."""
     name = F.coalesce(doc_id.cast("string"), F.lit(""))
     return F.pmod(F.crc32(name.cast("binary")), F.lit(5)) == 0
+
+
+def unused(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
+# Bits of the filter of :func:`of_keys`: 2 MB, however many keys there are.
+SLOTS = 1 << 24
+
+
+def of_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not in ``keys(key)``: what a join would shuffle in vain.
+
+    A bitmap of SLOTS hashed keys is broadcast in pieces of 4 kB. It keeps every row asked for; with
+    very many keys it fills up and keeps more, never less.
+    """
+    def slot(key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(SLOTS))
+
+    maps = keys.select(slot("key").alias("_s")).groupBy(F.bitmap_bucket_number("_s").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_s")).alias("_bits")
+    )
+    position = f"bitmap_bit_position(pmod(xxhash64(key), {SLOTS}L))"
+    byte = f"cast(conv(hex(substring(_bits, cast(floor({position} / 8) as int) + 1, 1)), 16, 10) as int)"
+    return rows.withColumn("_bucket", F.bitmap_bucket_number(slot("key"))).join(F.broadcast(maps), "_bucket").where(
+        F.expr(f"(shiftright({byte}, cast({position} % 8 as int)) & 1) = 1")
+    ).drop("_bucket", "_bits")
