@@ -16,19 +16,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from txn_risk.llm.links import components
-from txn_risk.llm.words import settle, text_key, texts
+from txn_risk.llm.links import components, grouped
+from txn_risk.llm.words import discard, of_keys, settle, text_key, texts, unused
 
-GROUPS = 16
+GROUPS = 64
 LEAF = 24
-# Documents whose shingles tell which are frequent, and the share of them that counts as frequent.
+# Documents whose shingles tell which are frequent, the number of them that makes one frequent, and the
+# share of their shingles that is looked at, in the order of hashes: more than any prefix reaches, as
+# prefixes pass over frequent ones.
 SAMPLE_DOCS = 20_000
-FREQUENT = 0.002
+FREQUENT = 8
+LOOKED_AT = 40
 # A group of more documents is dealt over several tasks.
 GROUP_LIMIT = 4_096
 
@@ -66,7 +68,7 @@ def needed(a, b, percent: int):
 
 def _point(h: np.ndarray) -> bytes:
     """Counts per group in units that fit a byte, rounded up so that minima stay bounds; then the unit."""
-    counts = np.bincount((h >> np.uint64(60)).astype(np.int64), minlength=GROUPS)
+    counts = np.bincount((h >> np.uint64(64 - GROUPS.bit_length() + 1)).astype(np.int64), minlength=GROUPS)
     unit = max(1, -(-int(counts.max()) // 255))
     return (-(-counts // unit)).astype(np.uint8).tobytes() + np.uint32(unit).tobytes()
 
@@ -108,19 +110,20 @@ def describe(
     return source.mapInArrow(read, f"doc_id {kind}, key binary, n int, point binary, prefix array<long>")
 
 
-def frequent_shingles(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> np.ndarray:
-    """Shingles found in more than FREQUENT of a sample of at most about SAMPLE_DOCS documents.
+def frequent_shingles(docs: DataFrame, width: int, id_col: str, text_col: str) -> np.ndarray:
+    """Shingles found in at least FREQUENT of a sample of about SAMPLE_DOCS documents.
 
-    Only steers how work is dealt. At most the sample's prefixes / (FREQUENT * SAMPLE_DOCS) values.
+    Only steers how work is dealt. At most LOOKED_AT percent of the sample's shingles, divided by FREQUENT.
     """
     total = docs.count()
     rate = min(1.0, SAMPLE_DOCS / max(1, total))
     some = docs.where(F.pmod(F.xxhash64(text_col, F.lit("sample")), F.lit(1 << 20)) < int(rate * (1 << 20)))
-    least = max(20, int(FREQUENT * rate * total))
-    counted = describe(some, width, percent, np.zeros(0, np.uint64), id_col, text_col).dropDuplicates(["key"]).select(
-        F.explode("prefix").alias("shingle")
-    ).groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    return np.sort(np.array([r.shingle for r in counted.collect()], np.int64).view(np.uint64))
+    counted = describe(some, width, 100 - LOOKED_AT, np.zeros(0, np.uint64), id_col, text_col).dropDuplicates(
+        ["key"]
+    ).select(F.explode("prefix").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    return np.sort(np.array(
+        [r.shingle for r in counted.where(F.col("n") >= FREQUENT).collect()], np.int64
+    ).view(np.uint64))
 
 
 class CountTree:
@@ -187,31 +190,6 @@ class CountTree:
                 stack += [(x, b[0]), (x, b[1])]
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Whole groups of rows sorted by ``by``: a table and the bounds of its groups."""
-    carried: list[pa.RecordBatch] = []
-    for batch in batches:
-        values = batch.column(by).to_numpy()
-        cut = np.flatnonzero(values[1:] != values[:-1])
-        if len(cut) == 0 and (not carried or carried[-1].column(by)[-1].as_py() == values[0]):
-            carried.append(batch)
-            continue
-        first = 0 if carried and carried[-1].column(by)[-1].as_py() != values[0] else None
-        last = int(cut[-1]) + 1 if len(cut) else 0
-        table = pa.Table.from_batches([*carried, *([batch.slice(0, last)] if last else [])])
-        carried = [batch.slice(last)]
-        if table.num_rows or first == 0:
-            yield table, _bounds(table, by)
-    if carried:
-        table = pa.Table.from_batches(carried)
-        yield table, _bounds(table, by)
-
-
-def _bounds(table: pa.Table, by: str) -> np.ndarray:
-    values = table.column(by).to_numpy()
-    return np.concatenate([[0], np.flatnonzero(values[1:] != values[:-1]) + 1, [len(values)]])
-
-
 def _stars(percent: int):
     """First look at the groups: the least document is paired with the others that its bound allows.
 
@@ -219,7 +197,7 @@ def _stars(percent: int):
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, bounds in _grouped(batches, "shingle"):
+        for table, bounds in grouped(batches, "shingle"):
             size = np.diff(bounds)
             several = np.repeat(size >= 2, size)
             if not several.any():
@@ -248,29 +226,35 @@ def _stars(percent: int):
 
 
 def _trees(percent: int):
-    """The open pairs of one task: documents of different components that the tree lets pass."""
-
-    def read(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("rid", ignore_index=True)
-        rid, root = part["rid"].to_numpy(), part["root"].to_numpy()
-        head, side = part["head"].to_numpy(), part["side"].to_numpy()
-        points, sizes = _points(part["point"].tolist()), part["n"].to_numpy().astype(np.int64)
-
-        def tree(own: np.ndarray) -> CountTree:
-            return CountTree(points[own], sizes[own])
-
-        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-        found = []
-        if len(np.unique(root)) > 1 and len(left) and len(right):
-            own = tree(left)
-            other = None if (side == 2).all() else tree(right)
-            for i, j in own.pairs(percent, other):
-                a, b = left[i], (left if other is None else right)[j]
-                good = (root[a] != root[b]) & ~head[a] & ~head[b]
-                found.append((rid[a[good]], rid[b[good]]))
-        a = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
-        b = np.concatenate([x for _, x in found]) if found else np.zeros(0, np.int64)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+    """The open pairs of each task: documents of different components that the tree lets pass."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in grouped(batches, "task"):
+            rid, root, head, side = (table.column(c).to_numpy() for c in ("rid", "root", "head", "side"))
+            points = _points(table.column("point").to_pylist())
+            sizes = table.column("n").to_numpy().astype(np.int64)
+            found = []
+            for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                if root[start:end].min() == root[start:end].max():
+                    continue
+                own = np.arange(start, end)
+                left, right = own[side[own] != 1], own[side[own] != 0]
+                if not len(left) or not len(right):
+                    continue
+                tree = CountTree(points[left], sizes[left])
+                alone = bool((side[own] == 2).all())
+                other = None if alone else CountTree(points[right], sizes[right])
+                for i, j in tree.pairs(percent, other):
+                    a, b = left[i], (left if alone else right)[j]
+                    good = (root[a] != root[b]) & ~head[a] & ~head[b]
+                    a, b = a[good], b[good]
+                    a, b = np.where(rid[a] < rid[b], a, b), np.where(rid[a] < rid[b], b, a)
+                    found.append(np.stack([rid[a], rid[b], sizes[a], sizes[b]]))
+            if found:
+                pairs, times = np.unique(np.concatenate(found, axis=1), axis=1, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, pairs), pa.array(times.astype(np.int64))], names=["a", "b", "n_a", "n_b", "times"]
+                )
 
     return read
 
@@ -302,14 +286,16 @@ def link_classes(
 ) -> tuple[DataFrame, DataFrame]:
     """``(rows, classes)``: per row ``(doc_id, key, n)``; per distinct text ``(key, rid, least_id, root)``."""
     spark = docs.sparkSession
-    frequent = frequent_shingles(docs, width, percent, id_col, text_col)
-    rows = settle(describe(docs, width, percent, frequent, id_col, text_col), "shingle-prefixes")
+    frequent = frequent_shingles(docs, width, id_col, text_col)
+    described = settle(describe(docs, width, percent, frequent, id_col, text_col), "shingle-prefixes")
     classes = settle(
-        rows.where("n > 0").groupBy("key").agg(
+        described.where("n > 0").groupBy("key").agg(
             F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("point").alias("point"),
             F.first("prefix").alias("prefix"),
         ).withColumn("rid", F.monotonically_increasing_id()), "text-classes",
     )
+    rows = settle(described.select("doc_id", "key", "n"), "shingle-rows")
+    discard(described)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     entries = classes.select(F.explode("prefix").alias("shingle"), "rid", "n", "point")
     looked = settle(
@@ -321,11 +307,6 @@ def link_classes(
     stars = settle(stars, "star-pairs")
     open_rows = looked.where("n > 0")
 
-    # Sets of all documents that still matter, from their texts.
-    asked = stars.select(F.col("a").alias("rid")).union(stars.select(F.col("b").alias("rid"))).union(
-        open_rows.select("rid")
-    ).distinct()
-    names = classes.select("rid", "key").join(asked, "rid", "left_semi")
     source = texts(docs, id_col, text_col).select(text_key(F.col("text")).alias("key"), "text")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,13 +318,19 @@ def link_classes(
                     pa.array([shingles(t, width).tobytes() for t in part.column(1).to_pylist()], pa.binary()),
                 ], names=["rid", "shingles"])
 
-    chosen = source.join(names, "key").select("rid", "text").dropDuplicates(["rid"])
-    sets = settle(chosen.mapInArrow(read, "rid long, shingles binary"), "shingle-sets")
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """The sets of the documents in ``pairs``, made anew from their texts: few texts, not all sets."""
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
+        names = classes.select("rid", "key").join(asked, "rid", "left_semi")
+        found = of_keys(source, names).join(names, "key").dropDuplicates(["key"]).select("rid", "text")
+        return settle(found.mapInArrow(read, "rid long, shingles binary"), "shingle-sets")
 
+    sets = sets_of(stars)
     edges = settle(_verified(stars, sets, percent), "star-links")
     roots = components(edges).withColumnRenamed("node", "rid")
     labelled = open_rows.join(roots, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     labelled = settle(labelled, "open-rows")
+    discard(looked)
     sizes = labelled.groupBy("shingle").agg(
         F.count(F.lit(1)).alias("m"), F.min("root").alias("low_root"), F.max("root").alias("high_root")
     ).where("low_root <> high_root").select(
@@ -354,19 +341,26 @@ def link_classes(
         "other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     ).select(
         "shingle", "rid", "n", "point", "head", "root",
-        F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        # Tasks of equal hash are looked at together, which adds pairs to verify and loses none.
+        F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")).alias("task"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
     )
-    more = settle(
-        tasks.groupBy("shingle", "low", "high").applyInPandas(_trees(percent), "a long, b long").distinct(),
-        "tree-pairs",
-    )
-    edges = edges.unionByName(_verified(more, sets, percent))
-    roots = components(edges).withColumnRenamed("node", "rid")
-    classes = classes.select("key", "rid", "least_id").join(roots, "rid", "left").withColumn(
+    found = tasks.drop("shingle").repartition(parts, "task").sortWithinPartitions("task", "rid").mapInArrow(
+        _trees(percent), "a long, b long, n_a long, n_b long, times long"
+    ).groupBy("a", "b", "n_a", "n_b").agg(F.sum("times").alias("times"))
+    # What two documents share is shared by their leading shingles, each of which has brought them together
+    # once here, or lies beyond them in one of the two.
+    beyond = F.ceil(F.greatest("n_a", "n_b") * F.lit(percent) / 100) - 1
+    reach = (F.col("times") + beyond) * (100 + percent) >= F.lit(percent) * (F.col("n_a") + F.col("n_b"))
+    more = settle(found.where(reach).select("a", "b"), "tree-pairs")
+    discard(sets)
+    sets = sets_of(more)
+    roots = components(edges.unionByName(_verified(more, sets, percent))).withColumnRenamed("node", "rid")
+    linked = settle(classes.select("key", "rid", "least_id").join(roots, "rid", "left").withColumn(
         "root", F.coalesce("root", "rid")
-    )
-    return rows.select("doc_id", "key", "n"), settle(classes, "linked-classes")
+    ), "linked-classes")
+    discard(classes, stars, sets, edges, labelled, more)
+    return rows, linked
 
 
 def join(
@@ -405,9 +399,10 @@ def without_near_copies(
         F.min(F.struct(F.col("least_id").isNull().alias("unnamed"), "least_id", "key")).alias("best")
     ).select(F.col("best.key").alias("_best"), F.col("best.least_id").alias("_least"))
     wordless = rows.where("n = 0").select(F.col("key").alias("_empty")).distinct()
-    keyed = docs.withColumn("_key", text_key(F.coalesce(docs[text_col].cast("string"), F.lit(""))))
-    kept = keyed.join(best, (F.col("_key") == F.col("_best")) & F.col(id_col).eqNullSafe(F.col("_least"))).drop(
-        "_best", "_least"
-    ).dropDuplicates(["_key"])
-    blank = keyed.join(wordless, F.col("_key") == F.col("_empty"), "left_semi")
-    return kept.drop("_key").unionByName(blank.drop("_key"))
+    key = unused(docs, "_key")
+    keyed = docs.withColumn(key, text_key(F.coalesce(docs[text_col].cast("string"), F.lit(""))))
+    kept = keyed.join(best, (keyed[key] == best["_best"]) & keyed[id_col].eqNullSafe(best["_least"])).select(
+        *[keyed[c] for c in keyed.columns]
+    ).dropDuplicates([key])
+    blank = keyed.join(wordless, keyed[key] == wordless["_empty"], "left_semi")
+    return kept.drop(key).unionByName(blank.drop(key))

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from txn_risk.llm.words import settle, text_key, texts
+from txn_risk.llm.words import discard, of_keys, settle, text_key, texts, unused
 
 LENGTH = 400
 ANCHOR = 64
@@ -314,7 +314,7 @@ def find(
     asked = classes.select("rid", "key").join(by_text, "rid").select("key", "open")
     source = texts(docs, id_col, text_col).select(text_key(F.col("text")).alias("key"), "text")
     # One row of each asked text: copies agree, so any will do.
-    cut = source.join(asked, "key").dropDuplicates(["key"]).select("text", "open").mapInArrow(
+    cut = of_keys(source, asked).join(asked, "key").dropDuplicates(["key"]).select("text", "open").mapInArrow(
         _cut_runs(length, anchor), "anchor long, block int, content long, `from` int, bytes binary"
     )
     total = open_.agg(F.sum(F.col("size") + length)).first()[0] or 0
@@ -342,7 +342,9 @@ def find(
     ).unionByName(classes.where("copied").select("key", F.lit(True).alias("copied"), F.array(F.struct(
         F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")
     )).alias("spans")))
-    return rows.select("doc_id", "key", "n_bytes", "sha256"), settle(spans, "removed-spans")
+    spans = settle(spans, "removed-spans")
+    discard(shared, kinds, judged, classes)
+    return rows.select("doc_id", "key", "n_bytes", "sha256"), spans
 
 
 def disjoint(spans: list[dict]) -> list[tuple[int, int]]:
@@ -392,7 +394,8 @@ def removed(
                     pa.array([hashlib.sha256(kept_bytes(r, x)).hexdigest() for r, x in zip(raw, own, strict=True)]),
                 ], names=["key", "n_removed", "n_spans", "kept"])
 
-    parted = source.join(spans.where(~F.col("copied")).select("key", "spans"), "key").mapInArrow(
+    partly = spans.where(~F.col("copied")).select("key", "spans")
+    parted = of_keys(source, partly).join(partly, "key").mapInArrow(
         read, "key binary, n_removed long, n_spans long, kept string"
     )
     gone = spans.where("copied").select(
@@ -412,8 +415,9 @@ def without_repeats(
 
     Bytes of a character of which a part was taken out go as well. Null texts stay null."""
     _, spans = find(docs, length, anchor, id_col, text_col)
-    keyed = docs.withColumn("_key", text_key(F.coalesce(docs[text_col].cast("string"), F.lit(""))))
-    own = spans.select(F.col("key").alias("_key"), F.col("spans").alias("_spans"))
+    key, cuts = unused(docs, "_key"), unused(docs, "_spans")
+    keyed = docs.withColumn(key, text_key(F.coalesce(docs[text_col].cast("string"), F.lit(""))))
+    own = spans.select(F.col("key").alias(key), F.col("spans").alias(cuts))
 
     def take(column: pa.Array, spans_: pa.Array) -> pa.Array:
         return pa.array([
@@ -423,4 +427,5 @@ def without_repeats(
         ], pa.string())
 
     cut = F.arrow_udf(take, T.StringType())
-    return keyed.join(own, "_key", "left").withColumn(text_col, cut(F.col(text_col), F.col("_spans"))).select(docs.columns)
+    joined = keyed.join(own, key, "left").withColumn(text_col, cut(F.col(text_col), F.col(cuts)))
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -10,7 +10,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from txn_risk.llm.words import settle
+from txn_risk.llm.words import settle, unused
 
 # Sampled keys per fine range; a range then holds its share to about 1 / sqrt(KEYS_PER_RANGE).
 KEYS_PER_RANGE = 24
@@ -163,7 +163,8 @@ def write_shards(docs: DataFrame, places: DataFrame, path: str, id_col: str = "d
 
     Needs unique ids. Each shard is written by many tasks; their number follows the input.
     """
-    where = places.select(F.col("doc_id").alias("_id"), F.col("shard"), F.col("slot"))
-    docs.join(where, docs[id_col] == where["_id"]).drop("_id").sortWithinPartitions(
-        "shard", "slot"
-    ).write.partitionBy("shard").parquet(path)
+    name, shard_, slot = (unused(docs, c) for c in ("_id", "shard", "slot"))
+    where = places.select(F.col("doc_id").alias(name), F.col("shard").alias(shard_), F.col("slot").alias(slot))
+    docs.join(where, docs[id_col] == where[name]).drop(name).sortWithinPartitions(
+        shard_, slot
+    ).write.partitionBy(shard_).parquet(path)
