@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import bisect
 import os
+import sys
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -22,7 +24,6 @@ REMEMBERED = 700_000
 # Rows that one window may rank: fewer than this of one length stay together.
 RANKED_TOGETHER = 20_000
 
-_LOOSE_BLANKS = regex.compile(r"\s ")
 # Fixed value: the splitting rule of the byte-level vocabulary.
 _SPLIT = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -53,45 +54,54 @@ class Encoder:
         others = [b for b in range(256) if b not in printable]
         self.characters = {b: chr(256 + n) for n, b in enumerate(others)}
 
-    def _encode(self, strings: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(strings), 10_000):
-            for e in self.tokenizer.encode_batch_fast(strings[at:at + 10_000], add_special_tokens=False):
-                yield np.asarray(e.ids, "<u4").tobytes()
-
-    def _learn(self, known: dict[str, bytes], parts: set[str], lead: str) -> None:
-        new = [p for p in parts if p not in known]
+    def _learn(self, known: dict[str, bytes | None], parts: set[str], lead: str) -> None:
+        """Remember the ids of ``parts``; None marks one whose text must be encoded as a whole."""
+        new = parts.difference(known)
         if len(known) + len(new) > REMEMBERED:
             known.clear()
-            new = list(parts)
-        plain, whole = {}, []
+            new = parts
+        if len(self.pieces) > REMEMBERED:
+            self.pieces.clear()
         for part in new:
-            if "<|" in part or part > "" and max(part) >= "\u0250":
-                whole.append(part)
+            if not part or part[-1].isspace():
+                known[part] = None
+            elif "<|" in part or max(part) >= "\u0250":
+                known[part] = self._whole(lead + part)
+            elif part.isalpha():
+                known[part] = self._piece(lead + part)
             else:
-                plain[part] = _SPLIT.findall(lead + part)
-        unknown = list({x for xs in plain.values() for x in xs if x not in self.pieces})
-        if len(self.pieces) + len(unknown) > REMEMBERED:
-            self.pieces.clear()
-            unknown = list({x for xs in plain.values() for x in xs})
-        for piece in unknown:  # already split: straight to the merges
+                known[part] = b"".join(map(self._piece, _SPLIT.findall(lead + part)))
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:  # already split: straight to the merges
             written = piece.encode().decode("latin-1").translate(self.characters)
-            self.pieces[piece] = np.asarray([t.id for t in self.tokenize(written)], "<u4").tobytes()
-        ids = self.pieces.__getitem__
-        for part, xs in plain.items():
-            known[part] = ids(xs[0]) if len(xs) == 1 else b"".join(map(ids, xs))
-        known.update(zip(whole, self._encode([lead + p for p in whole]), strict=True))
+            ids = self.pieces[piece] = _little_endian(array("I", [t.id for t in self.tokenize(written)]))
+        return ids
+
+    def _whole(self, text: str) -> bytes:
+        return _little_endian(array("I", self.tokenizer.encode(text, add_special_tokens=False).ids))
 
     def encode(self, texts_: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
-        split = [None if _LOOSE_BLANKS.search(t) else t.split(" ") for t in texts_]
-        self._learn(self.first, {s[0] for s in split if s}, "")
-        self._learn(self.later, {p for s in split if s for p in s[1:]}, " ")
+        split = [t.split(" ") for t in texts_]
+        self._learn(self.first, {s[0] for s in split if s[0]}, "")
+        self._learn(self.later, set().union(*split), " ")
+        self.first[""] = b""
         later = self.later.__getitem__
-        return [
-            np.asarray(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if s is None
-            else self.first[s[0]] + b"".join(map(later, s[1:]))
-            for t, s in zip(texts_, split, strict=True)
-        ]
+        out = []
+        for text, parts in zip(texts_, split, strict=True):
+            try:
+                out.append(self.first[parts[0]] + b"".join(map(later, parts[1:])))
+            except TypeError:  # a part without ids of its own
+                out.append(self._whole(text))
+        return out
+
+
+def _little_endian(ids: array) -> bytes:
+    if sys.byteorder == "big":
+        ids.byteswap()
+    return ids.tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
