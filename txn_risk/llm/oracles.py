@@ -1,7 +1,93 @@
-"""SQL for those of the queries that SQL can express."""
+"""SQL for those of the queries that SQL can express, in plain versions without any index."""
 
 from __future__ import annotations
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_BLANK_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+')"
+
+LICENSES = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+at AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+place AS (
+  SELECT doc_id, i - 1 AS start, CASE
+    WHEN w[i] = 'cc' AND w[i + 1] = 'by' THEN 'cc-by'
+    WHEN w[i] = 'general' AND w[i + 1] = 'public' AND w[i + 2] = 'license' THEN 'gpl'
+    WHEN w[i] = 'all' AND w[i + 1] = 'rights' AND w[i + 2] = 'reserved' THEN 'reserved' END AS label FROM at)
+SELECT d.doc_id, len(any_value(w))::BIGINT AS n_words, count(label) AS n_base,
+       min(start) FILTER (label IS NOT NULL) AS first_word, max(start) FILTER (label IS NOT NULL) AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS base_labels
+FROM d LEFT JOIN place ON place.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+VECTORS = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b
+         WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+least AS (SELECT a, min(b) AS m FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id,
+       vec_id <= coalesce(m, vec_id) AS kept
+FROM v LEFT JOIN n ON n.a = vec_id LEFT JOIN least ON least.a = vec_id"""
+
+CONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS g FROM (
+          SELECT item_id, w, least(10, len(w)) AS m, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+          FROM b WHERE len(w) > 0)),
+own AS (SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS g FROM (
+          SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM win)
+          WHERE len(w) >= m)),
+hit AS (SELECT doc_id, i, m, item_id FROM own JOIN win USING (m, g)),
+cov AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM hit)
+        GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items,
+                 string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS names
+          FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+REPEATS = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS g
+        FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM d WHERE length(h) >= 800)),
+again AS (SELECT g FROM win GROUP BY g HAVING count(*) > 1),
+hit AS (SELECT doc_id, i FROM win SEMI JOIN again USING (g)),
+step AS (SELECT doc_id, i, i > coalesce(lag(i) OVER own + 400, -1) AS new FROM hit
+         WINDOW own AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (SELECT doc_id, i, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM step),
+span AS (SELECT doc_id, k, min(i) AS a, max(i) + 400 AS b FROM numbered GROUP BY doc_id, k),
+kept AS (SELECT doc_id, any_value(h) AS h, sum(b - a) AS n_removed, count(*) AS n_spans,
+                string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head, max(b) AS last
+         FROM (SELECT span.*, h, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before
+               FROM span JOIN d USING (doc_id)) GROUP BY doc_id)
+SELECT doc_id, (length(d.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN last IS NULL THEN d.h ELSE head || substr(d.h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+JACCARD = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_BLANK_WORDS} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + m - 1], ' ') AS g FROM (
+        SELECT doc_id, w, least(4, len(w)) AS m, unnest(range(1, len(w) - least(4, len(w)) + 2)) AS i
+        FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b USING (g)
+           WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+         WHERE 100 * k >= 85 * (x.n + y.n - k)),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+least AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.a = d.doc_id"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_embedding_neardup": VECTORS,
+        "op6_benchmark_decontamination": CONTAMINATION,
+        "op7_suffix_array_dedup": REPEATS,
+        "op10_ngram_jaccard_join": JACCARD,
+    }

@@ -197,22 +197,19 @@ def content(root: Node) -> list[Node]:
         at = at.parent
     on_path = set(map(id, path))
 
-    def beside(node: Node) -> None:
-        for part in node.parts:
-            if not isinstance(part, Node) or part.out:
-                continue
-            if part is chosen:
-                out.append(part)
-            elif id(part) in on_path:
-                beside(part)
-            elif part.tag in ("article", "main") or (
-                chosen.tag not in ("article", "main") and part.density > max(threshold, chosen.density)
-            ):
-                out.append(part)
-
     if chosen is root:
         return [root]
-    beside(root)
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node is chosen:
+            out.append(node)
+        elif id(node) in on_path:
+            stack.extend(p for p in reversed(node.parts) if isinstance(p, Node) and not p.out)
+        elif node.tag in ("article", "main") or (
+            chosen.tag not in ("article", "main") and node.density > max(threshold, chosen.density)
+        ):
+            out.append(node)
     return out
 
 
@@ -256,8 +253,8 @@ def extract(
 
     The whole page is read. A null or empty page, or one without content, gives an empty text of 0
     code points; a null id or url is carried on; repeated rows give repeated results; an empty table
-    gives no rows; other columns are ignored. Very deep pages are walked without recursion limits
-    except along the chosen path.
+    gives no rows; other columns are ignored. Pages of any depth are walked
+    without recursion.
     """
     source = pages.select(
         pages[id_col].alias("page_id"), pages[url_col].alias("url"), pages[html_col].cast("string").alias("html")
