@@ -6,19 +6,6 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 _BLANK_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+')"
 
-LICENSES = f"""
-WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-at AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
-place AS (
-  SELECT doc_id, i - 1 AS start, CASE
-    WHEN w[i] = 'cc' AND w[i + 1] = 'by' THEN 'cc-by'
-    WHEN w[i] = 'general' AND w[i + 1] = 'public' AND w[i + 2] = 'license' THEN 'gpl'
-    WHEN w[i] = 'all' AND w[i + 1] = 'rights' AND w[i + 2] = 'reserved' THEN 'reserved' END AS label FROM at)
-SELECT d.doc_id, len(any_value(w))::BIGINT AS n_words, count(label) AS n_base,
-       min(start) FILTER (label IS NOT NULL) AS first_word, max(start) FILTER (label IS NOT NULL) AS last_word,
-       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS base_labels
-FROM d LEFT JOIN place ON place.doc_id = d.doc_id GROUP BY d.doc_id"""
-
 VECTORS = """
 WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
 link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b
