@@ -34,3 +34,20 @@ def test_pages_of_any_kind(spark):
         repr((i, u, main_text(h), len(main_text(h)))) for i, u, h in rows
     )
     assert extract(frame(spark, [], "page_id long, url string, html string")).count() == 0
+
+
+def hundred(first, n):
+    """``n`` paragraphs of 100 characters, and their text."""
+    own = [f"{first}{i} ".ljust(100, "x") for i in range(n)]
+    return "".join(f"<p>{x}</p>" for x in own), own
+
+
+LINKS = "<div>" + "".join(f'<a href=/{i}>{str(i).ljust(20, "k")}</a>' for i in range(10)) + "</div>"
+
+
+def test_sibling_blocks_as_dense_as_the_path_are_content():
+    (a, of_a), (b, of_b) = hundred("a", 5), hundred("b", 4)
+    assert main_text(f"<body><div>{a}</div><div>{b}</div>{LINKS}</body>") == " ".join(of_a + of_b)
+    assert main_text(f"<body><div>{b}</div>{LINKS}<div><div>{a}</div></div></body>") == " ".join(of_b + of_a)
+    three = f"<body><div>{a}</div>{LINKS}<div>{b}</div><section>{b}</section></body>"
+    assert main_text(three) == " ".join(of_a + of_b + of_b)

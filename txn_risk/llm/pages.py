@@ -1,8 +1,9 @@
 """Main text of web pages by composite text density.
 
 Each node of a page's tree gets a density: characters per tag, adjusted by how many of its characters
-and tags are links. The node with the largest sum of its children's densities is the content; the least
-density on its path from the body is the threshold, and other nodes above it are searched in turn.
+and tags are links. The node with the largest sum of its children's densities is content; the least density on
+its path from the root is the threshold. From the root down, of each node as dense as the threshold the
+subtree with the largest sum is content as well, and what it leaves is searched in turn.
 """
 
 from __future__ import annotations
@@ -55,13 +56,14 @@ _NAMES = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parts", "chars", "link_chars", "tags", "link_tags", "out", "parent", "density", "sum")
+    __slots__ = ("tag", "parts", "chars", "link_chars", "tags", "link_tags", "out", "parent", "density", "sum", "peak")
 
     def __init__(self, tag: str, parent: Node | None, out: bool):
         self.tag, self.parent, self.out = tag, parent, out
         self.parts: list = []  # texts and nodes in page order
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.sum = 0.0
+        self.peak = self  # the node of its subtree with the largest sum, the first of equal ones
 
 
 def _unwanted(attributes: str) -> bool:
@@ -154,17 +156,11 @@ def _measure(root: Node) -> None:
             base = math.log(c / max(1, c - lc) * lc + share * c + math.e)
             inner = c / max(1, lc) * t / lt
             node.density = c / t * max(0.0, math.log(max(inner, 1e-9)) / base if base > 0 else 0.0)
-        node.sum = sum(p.density for p in node.parts if isinstance(p, Node) and not p.out)
-
-
-def _largest(node: Node) -> Node:
-    best, stack = node, [node]
-    while stack:
-        one = stack.pop()
-        if one.sum > best.sum:
-            best = one
-        stack.extend(p for p in reversed(one.parts) if isinstance(p, Node) and not p.out)
-    return best
+        own = [p for p in node.parts if isinstance(p, Node) and not p.out]
+        node.sum = sum(p.density for p in own)
+        for part in own:
+            if part.peak.sum > node.peak.sum:
+                node.peak = part.peak
 
 
 def _semantic(node: Node) -> Node:
@@ -180,36 +176,30 @@ def _semantic(node: Node) -> Node:
 def content(root: Node) -> list[Node]:
     """The chosen subtrees in page order."""
     _measure(root)
-    best = _largest(root)
+    best = root.peak
     if not best.sum:
         return [root]
     threshold, at = best.density, best
     while at is not None:
         threshold = min(threshold, at.density)
         at = at.parent
-    chosen = _semantic(best)
+    taken: dict[int, Node] = {}
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node.chars and node.density >= threshold:
+            held = _semantic(node.peak)
+            taken[id(held)] = held
+        if id(node) not in taken:
+            stack.extend(p for p in reversed(node.parts) if isinstance(p, Node) and not p.out)
     out: list[Node] = []
-    # Blocks beside the path that are as dense as the path itself are content as well.
-    path: list[Node] = []
-    at = chosen
-    while at is not None:
-        path.append(at)
-        at = at.parent
-    on_path = set(map(id, path))
-
-    if chosen is root:
-        return [root]
     stack = [root]
     while stack:
         node = stack.pop()
-        if node is chosen:
+        if id(node) in taken:
             out.append(node)
-        elif id(node) in on_path:
+        else:
             stack.extend(p for p in reversed(node.parts) if isinstance(p, Node) and not p.out)
-        elif node.tag in ("article", "main") or (
-            chosen.tag not in ("article", "main") and node.density > max(threshold, chosen.density)
-        ):
-            out.append(node)
     return out
 
 
