@@ -51,3 +51,24 @@ def test_sibling_blocks_as_dense_as_the_path_are_content():
     assert main_text(f"<body><div>{b}</div>{LINKS}<div><div>{a}</div></div></body>") == " ".join(of_b + of_a)
     three = f"<body><div>{a}</div>{LINKS}<div>{b}</div><section>{b}</section></body>"
     assert main_text(three) == " ".join(of_a + of_b + of_b)
+
+
+@pytest.mark.parametrize("mark", [
+    "div style='overflow:hidden'", "div style='visibility:hidden'", "div data-hidden=false", "div title='what is hidden'",
+    "div data-id=related", "div data-role='content-header'", "div class='has-sidebar'", "div class='layout-with-banner'",
+    "div id=no-comments", "div class='page right-sidebar'", "form id=aspnetForm", "div class=sidebar",
+])
+def test_a_wrapper_is_kept_by_what_it_holds(mark):
+    end = f"</{mark.split()[0]}>"
+    assert main_text(f"<body><{mark}><p>{LONG}</p><p>{MORE}</p>{end}</body>") == f"{LONG} {CLEAN}"
+    assert main_text(f"<{mark}><article><p>{LONG}</p></article>{end}<footer>{MORE}</footer>") == LONG
+
+
+@pytest.mark.parametrize("mark", [
+    "div class='x site-footer'", "div id=comment-list", "div role=navigation", "div class='ad-300x250'", "form", "div hidden",
+    "div data-x='>' CLASS = Sidebar", "div aria-hidden='true'",
+])
+def test_what_is_named_noise_is_left_out(mark):
+    end = f"</{mark.split()[0]}>"
+    assert main_text(f"<div><p>{LONG}</p><p>{MORE}</p></div><{mark}><p>{LONG}</p>{end}") == f"{LONG} {CLEAN}"
+    assert main_text(f"<main><p>{LONG}</p></main><{mark}>" + f"<p>{MORE}</p>" * 9 + end) == LONG

@@ -35,48 +35,81 @@ CLOSES = {
 BOUNDS = frozenset("article aside body div html main section table ul ol dl td th blockquote form nav".split())
 # Never part of an article.
 OUT = frozenset(
-    "script style noscript template nav header footer aside form button select option textarea input label "
+    "script style noscript template nav header footer aside button select option textarea input label "
     "iframe object embed svg canvas head title dialog menu xmp noembed noframes".split()
 )
-# Words of a class, id or role that mark what is not the article.
+# Words of a class, id or role that mark what is not the article: a name is made of them alone, or of them
+# and of words that say no more than where or what kind of box.
 OUT_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
     "cookie cookies consent disclaimer discussion footer gdpr header masthead menu modal nav navbar navigation "
     "newsletter notice notices pagination popup promo promotion related replies reply respond share sharing "
     "sidebar social sponsor sponsored subscribe toolbar widget complementary contentinfo search".split()
 )
+BOX_NAMES = frozenset(
+    "area bar bottom box block container global inner item items left links list outer posts primary right "
+    "secondary section site slot top unit wrapper x".split()
+)
+# A form or a node so named is no noise if it holds this share (of 4) of the page's text and every article.
+MOST = 3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
     re.S,
 )
-_MARKS = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _NAMES = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parts", "chars", "link_chars", "tags", "link_tags", "out", "parent", "density", "sum", "peak")
+    __slots__ = (
+        "tag", "parts", "chars", "link_chars", "tags", "link_tags", "out", "marked", "parent", "density", "sum", "peak"
+    )
 
     def __init__(self, tag: str, parent: Node | None, out: bool):
         self.tag, self.parent, self.out = tag, parent, out
+        self.marked = False  # noise by its name, unless it is found to hold the page
         self.parts: list = []  # texts and nodes in page order
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.sum = 0.0
         self.peak = self  # the node of its subtree with the largest sum, the first of equal ones
 
 
-def _unwanted(attributes: str) -> bool:
-    for name, value in _MARKS.findall(attributes):
+def _marks(attributes: str) -> tuple[bool, bool]:
+    """Whether the attributes hide a node, and whether its class, id or role names noise."""
+    named = False
+    for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return True, named
         if name in ("class", "id", "role"):
             for one in value.split():
-                words = _NAMES.findall(one)
-                if OUT_NAMES.intersection(words) and not {"article", "content", "body", "main"} & set(words):
-                    return True
-    return False
+                words = set(_NAMES.findall(one))
+                named = named or bool(words & OUT_NAMES) and words <= OUT_NAMES | BOX_NAMES
+    return False, named
+
+
+def _settle_marked(root: Node) -> None:
+    """Marked nodes are out, but for those that hold most of the page."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(p for p in node.parts if isinstance(p, Node) and not p.out)
+    if not any(node.marked for node in order):
+        return
+    chars: dict[int, int] = {}
+    articles: dict[int, int] = {}  # characters in article and main
+    for node in reversed(order):
+        own = [p for p in node.parts if isinstance(p, Node) and not p.out]
+        k = id(node)
+        chars[k] = sum(chars[id(p)] for p in own) + sum(len(p.strip()) for p in node.parts if isinstance(p, str))
+        articles[k] = chars[k] if node.tag in ("article", "main") else sum(articles[id(p)] for p in own)
+    for node in order:
+        if node.marked:
+            inside = 4 * chars[id(node)] >= MOST * chars[id(root)] and articles[id(node)] == articles[id(root)]
+            node.out = not inside
 
 
 def parse(page: str) -> Node:
@@ -117,13 +150,16 @@ def parse(page: str) -> Node:
                 at = node.parent
         if tag in ("html", "body") and at is root:
             continue
-        node = Node(tag, at, at.out or tag in OUT or bool(found[3]) and _unwanted(found[3]))
+        hidden, named = _marks(found[3]) if found[3] else (False, False)
+        node = Node(tag, at, at.out or tag in OUT or hidden)
+        node.marked = named or tag == "form"
         at.parts.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, position)
             position = page.find(">", end.start()) + 1 or size if end else size
         elif tag not in VOID and not found[3].endswith("/"):
             at = node
+    _settle_marked(root)
     return root
 
 
