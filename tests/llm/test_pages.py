@@ -72,3 +72,15 @@ def test_what_is_named_noise_is_left_out(mark):
     end = f"</{mark.split()[0]}>"
     assert main_text(f"<div><p>{LONG}</p><p>{MORE}</p></div><{mark}><p>{LONG}</p>{end}") == f"{LONG} {CLEAN}"
     assert main_text(f"<main><p>{LONG}</p></main><{mark}>" + f"<p>{MORE}</p>" * 9 + end) == LONG
+
+
+def test_density_decides_with_an_article_too():
+    (a, of_a), (b, of_b) = hundred("a", 5), hundred("b", 4)
+    beside = f"<body><article><h1>T</h1>{a}</article><div>{b}</div>{LINKS}</body>"
+    assert main_text(beside) == " ".join(["T", *of_a, *of_b])
+    teaser = f"<article>{LINKS}</article>"
+    assert main_text(f"<body><article><h1>T</h1>{a}</article>{teaser}{LINKS}</body>") == " ".join(["T", *of_a])
+    inner = f"<body><article><h1>T</h1><div><div>{a}</div></div>{LINKS}<h2>more</h2></article></body>"
+    assert main_text(inner) == " ".join(["T", *of_a])
+    bold = f"<article><h1>T</h1><p><b>{'b' * 900}<br></b></p><p>short one</p><p>of 14 letters.</p></article>"
+    assert main_text(f"<body>{bold}{LINKS}</body>") == f"T {'b' * 900} short one of 14 letters."

@@ -1,9 +1,11 @@
 """Main text of web pages by composite text density.
 
 Each node of a page's tree gets a density: characters per tag, adjusted by how many of its characters
-and tags are links. The node with the largest sum of its children's densities is content; the least density on
+and tags are links. Inline markup belongs to the text of its block: only blocks are summed and chosen. The node
+with the largest sum of its children's densities is content; the least density on
 its path from the root is the threshold. From the root down, of each node as dense as the threshold the
-subtree with the largest sum is content as well, and what it leaves is searched in turn.
+subtree with the largest sum is content as well, and what it leaves is searched in turn. Headings that
+lead content inside its article or main come with it.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ CLOSES = {
     "li": ("li", "p"), "dd": ("dd", "dt", "p"), "dt": ("dd", "dt", "p"), "option": ("option",),
     "tr": ("tr", "td", "th", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p"),
 }
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BOUNDS = frozenset("article aside body div html main section table ul ol dl td th blockquote form nav".split())
 # Never part of an article.
 OUT = frozenset(
@@ -64,7 +67,8 @@ _NAMES = re.compile(r"[a-z]+")
 
 class Node:
     __slots__ = (
-        "tag", "parts", "chars", "link_chars", "tags", "link_tags", "out", "marked", "parent", "density", "sum", "peak"
+        "tag", "parts", "chars", "link_chars", "tags", "link_tags", "out", "marked", "parent", "density", "sum", "peak",
+        "block",
     )
 
     def __init__(self, tag: str, parent: Node | None, out: bool):
@@ -73,6 +77,7 @@ class Node:
         self.parts: list = []  # texts and nodes in page order
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.sum = 0.0
+        self.block = False  # a block, or holds one
         self.peak = self  # the node of its subtree with the largest sum, the first of equal ones
 
 
@@ -192,23 +197,14 @@ def _measure(root: Node) -> None:
             base = math.log(c / max(1, c - lc) * lc + share * c + math.e)
             inner = c / max(1, lc) * t / lt
             node.density = c / t * max(0.0, math.log(max(inner, 1e-9)) / base if base > 0 else 0.0)
-        own = [p for p in node.parts if isinstance(p, Node) and not p.out]
+        own = [p for p in node.parts if isinstance(p, Node) and p.block and not p.out]
+        node.block = bool(own) or node.tag in BLOCKS
         node.sum = sum(p.density for p in own)
         for part in own:
             if part.peak.sum > node.peak.sum:
                 node.peak = part.peak
 
 
-def _semantic(node: Node) -> Node:
-    """The article or main element around ``node``, if any: its headings belong to it."""
-    held, at = node, node
-    while at is not None:
-        if at.tag in ("article", "main"):
-            held = at
-        at = at.parent
-    return held
-
-
 def content(root: Node) -> list[Node]:
     """The chosen subtrees in page order."""
     _measure(root)
@@ -223,20 +219,27 @@ def content(root: Node) -> list[Node]:
     stack = [root]
     while stack:
         node = stack.pop()
-        if node.chars and node.density >= threshold:
-            held = _semantic(node.peak)
-            taken[id(held)] = held
+        if node.chars and node.block and node.density >= threshold:
+            taken[id(node.peak)] = node.peak
         if id(node) not in taken:
             stack.extend(p for p in reversed(node.parts) if isinstance(p, Node) and not p.out)
+    # In page order, each with the nearest article or main around it, and the headings between.
+    found: list[tuple[Node, Node | None]] = []
+    around: list[tuple[Node, Node | None]] = [(root, None)]
+    while around:
+        node, article = around.pop()
+        if id(node) in taken or article and node.tag in HEADINGS:
+            found.append((node, article))
+        else:
+            article = node if node.tag in ("article", "main") else article
+            around.extend((p, article) for p in reversed(node.parts) if isinstance(p, Node) and not p.out)
     out: list[Node] = []
-    stack = [root]
-    while stack:
-        node = stack.pop()
-        if id(node) in taken:
+    led: set[int] = set()  # articles with content after this place
+    for node, article in reversed(found):
+        if id(node) in taken or id(article) in led:
             out.append(node)
-        else:
-            stack.extend(p for p in reversed(node.parts) if isinstance(p, Node) and not p.out)
-    return out
+            led.add(id(article))
+    return out[::-1]
 
 
 def main_text(page: str | None) -> str:
