@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import brute
@@ -79,6 +80,38 @@ def test_tree_keeps_every_pair_within_its_bound():
     assert {(i, j) for i, j in want if j < 140 <= i} <= across
 
 
+def test_first_look_holds_no_more_than_a_batch():
+    rng = random.Random(6)
+    texts = near_family(rng, 300)
+    sets = [neardup_texts.shingles(t, 4) for t in texts]
+    points, sizes = [neardup_texts._point(h) for h in sets], [len(h) for h in sets]
+    pulled = []
+
+    def batches():
+        for at in range(0, 300, 100):
+            pulled.append(at)
+            yield pa.RecordBatch.from_pydict({
+                "shingle": pa.array([7] * 100), "rid": pa.array(range(at, at + 100)),
+                "n": pa.array(sizes[at:at + 100], pa.int32()), "point": pa.array(points[at:at + 100]),
+                "head_rid": pa.array([0] * 100), "head_n": pa.array(sizes[:1] * 100, pa.int32()),
+                "head_point": pa.array(points[:1] * 100), "m": pa.array([300] * 100),
+            })
+
+    pairs, opened = set(), []
+    for k, batch in enumerate(neardup_texts._stars(50)(batches())):
+        assert len(pulled) == k + 1 and batch.num_rows <= 200
+        for row in batch.to_pylist():
+            if row["n"] < 0:
+                pairs.add((row["shingle"], row["rid"]))
+            else:
+                opened.append(row["rid"])
+                assert row["head"] == (row["rid"] == 0)
+    assert len(pulled) == 3 and opened == list(range(300))
+    linked = {j for j in range(1, 300) if len(np.intersect1d(sets[0], sets[j])) >= neardup_texts.needed(
+        sizes[0], sizes[j], 50)}
+    assert linked and {(0, j) for j in linked} <= pairs
+
+
 def vectors():
     rng = np.random.default_rng(8)
     centers = rng.standard_normal((40, 24))

@@ -191,35 +191,31 @@ class CountTree:
 
 
 def _stars(percent: int):
-    """First look at the groups: the least document is paired with the others that its bound allows.
+    """First look at rows that carry their group's least document: that is paired with those its bound allows.
 
-    Emits those pairs, and the rows of groups of three or more, where other pairs are still open.
+    Emits those pairs, and the rows of groups of three or more, where other pairs are still open. Each
+    batch is done with by itself, however large its groups are.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, bounds in grouped(batches, "shingle"):
-            size = np.diff(bounds)
-            several = np.repeat(size >= 2, size)
-            if not several.any():
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            table = table.filter(pa.array(several))
-            size = size[size >= 2]
-            bounds = np.concatenate([[0], np.cumsum(size)])
-            head = np.repeat(bounds[:-1], size)  # rows are sorted by rid inside a group
-            rid = table.column("rid").to_numpy()
-            n = table.column("n").to_numpy().astype(np.int64)
-            points = _points(table.column("point").to_pylist())
-            shared = np.minimum(points, points[head]).sum(axis=1)
-            good = (shared >= needed(n, n[head], percent)) & (rid != rid[head])
-            open_ = np.repeat(size >= 3, size)
+            rid, n, head, n_head, size = (
+                batch.column(c).to_numpy().astype(np.int64) for c in ("rid", "n", "head_rid", "head_n", "m")
+            )
+            point = batch.column("point")
+            shared = np.minimum(
+                _points(point.to_pylist()), _points(batch.column("head_point").to_pylist())
+            ).sum(axis=1)
+            good = (shared >= needed(n, n_head, percent)) & (rid != head)
+            open_ = size >= 3
             yield pa.RecordBatch.from_pydict({
-                "shingle": pa.array(np.concatenate([rid[head][good], table.column("shingle").to_numpy()[open_]])),
+                "shingle": pa.array(np.concatenate([head[good], batch.column("shingle").to_numpy()[open_]])),
                 "rid": pa.array(np.concatenate([rid[good], rid[open_]])),
                 "n": pa.array(np.concatenate([np.full(good.sum(), -1), n[open_]]).astype(np.int32)),
-                "point": pa.array(
-                    [None] * int(good.sum()) + table.column("point").filter(pa.array(open_)).to_pylist(), pa.binary()
-                ),
-                "head": pa.array(np.concatenate([np.zeros(good.sum(), bool), (rid == rid[head])[open_]])),
+                "point": pa.array([None] * int(good.sum()) + point.filter(pa.array(open_)).to_pylist(), pa.binary()),
+                "head": pa.array(np.concatenate([np.zeros(good.sum(), bool), (rid == head)[open_]])),
             })
 
     return read
@@ -297,9 +293,15 @@ def link_classes(
     rows = settle(described.select("doc_id", "key", "n"), "shingle-rows")
     discard(described)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = classes.select(F.explode("prefix").alias("shingle"), "rid", "n", "point")
+    # The least document of a shingle is a minimum combined before the shuffle; rows meet it in a join that
+    # adaptive execution may split, so no task has to hold the documents of a shingle.
+    entries = classes.select(F.explode("prefix").alias("shingle"), "rid")
+    points = classes.select("rid", "n", "point")
+    heads = entries.groupBy("shingle").agg(
+        F.min("rid").alias("head_rid"), F.count(F.lit(1)).alias("m")
+    ).where("m > 1").join(points.toDF("head_rid", "head_n", "head_point"), "head_rid")
     looked = settle(
-        entries.repartition(parts, "shingle").sortWithinPartitions("shingle", "rid").mapInArrow(
+        entries.join(heads, "shingle").join(points, "rid").mapInArrow(
             _stars(percent), "shingle long, rid long, n int, point binary, head boolean"
         ), "first-look",
     )
