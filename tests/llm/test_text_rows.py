@@ -1,6 +1,9 @@
 """Operators that judge each document by itself or count it, against plain versions."""
 
+from collections import Counter
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import brute
@@ -68,6 +71,46 @@ def test_repeats_match_plain_search(spark, monkeypatch, length, anchor, together
     assert as_multiset(tuple(r) for r in got) == as_multiset(want)
 
 
+@pytest.mark.parametrize("shared", [399, 401])
+def test_transforms_stay_small_where_many_runs_share_an_anchor(monkeypatch, shared):
+    rng = np.random.default_rng(5)
+    noise = lambda n: bytes(rng.integers(97, 123, n, np.uint8)).decode()
+    passage = noise(shared)
+    texts = [noise(500) + passage + noise(500) for _ in range(300)]
+    found = [repeats.runs(t.encode(), 400, 64) for t in texts]
+    often = [a for a, n in Counter(a for f in found for a in f["anchor"].tolist()).items() if n == 300]
+    own = [
+        [{"anchor": a, "start": s, "size": z, "at": at, "content": c, "kinds": 2000}
+         for a, s, z, at, c in zip(*(f[k].tolist() for k in ("anchor", "start", "size", "at", "content"))) if a in often]
+        for f in found
+    ]
+    assert often and all(own)
+    sizes, judge = [], repeats.repeated_windows
+    monkeypatch.setattr(repeats, "TRANSFORM_BYTES", 20_000)
+    monkeypatch.setattr(
+        repeats, "repeated_windows", lambda pieces, n: (sizes.append(sum(map(len, pieces))), judge(pieces, n))[1]
+    )
+    rows = [r for b in repeats._cut_runs(400, 64)(iter([pa.RecordBatch.from_pydict({"text": texts, "open": own})]))
+            for r in b.to_pylist()]
+    weight = Counter()
+    for r in rows:
+        weight[r["anchor"], r["block"]] += len(r["bytes"])
+    small = [r for r in rows if weight[r["anchor"], r["block"]] <= 20_000]
+    large = [r for r in rows if weight[r["anchor"], r["block"]] > 20_000]
+    if large:
+        batch = repeats._batch({k: [r[k] for r in large] for k in large[0]})
+        small += [r for b in repeats._single_windows(400)(iter([batch])) for r in b.to_pylist()]
+    small.sort(key=lambda r: (r["anchor"], r["block"]))
+    batch = repeats._batch({k: [r[k] for r in small] for k in small[0]})
+    got = [r for b in repeats._judge(400)(iter([batch])) for r in b.to_pylist()]
+    assert max(sizes) <= 2 * 20_000
+    windows = sum(b - a for r in got for a, b in zip(r["windows"][::2], r["windows"][1::2], strict=True))
+    every = Counter(
+        t[s:s + 400] for t, f in zip(texts, own, strict=True) for r in f for s in range(r["start"], r["start"] + r["size"])
+    )
+    assert windows == sum(n for n in every.values() if n > 1) > 0
+
+
 def test_repeats_of_nothing_and_in_one_text(spark):
     assert repeats.removed(frame(spark, [])).count() == 0
     text = "q" * 30 + "0123456789" * 5 + "w" * 7 + "0123456789" * 5

@@ -25,8 +25,10 @@ LENGTH = 400
 ANCHOR = 64
 # Bytes of runs that one transform is built on.
 TRANSFORM_BYTES = 2 << 20
-# Different runs of one anchor that stay together; more are dealt by the anchor's offset in the window.
+# Different runs of one anchor that stay together; more are dealt by the anchor's offset in the window, so many
+# offsets together, and by the bytes that all windows of such a piece have.
 RUNS_TOGETHER = 1_000
+OFFSETS_TOGETHER = 16
 # Windows looked at together in a long text.
 CHUNK = 1 << 19
 
@@ -183,6 +185,7 @@ def repeated_windows(pieces: list[bytes], length: int = LENGTH) -> list[list[tup
     return out
 
 
+_PIECE = "anchor long, block long, content long, `from` int, bytes binary"
 _RUN = "struct<anchor:long,start:long,size:int,at:int,content:long>"
 
 
@@ -211,9 +214,14 @@ def _describe(docs: DataFrame, id_col: str, text_col: str, length: int, anchor:
     return source.mapInArrow(read, f"doc_id {kind}, key binary, n_bytes long, sha256 string, runs array<{_RUN}>")
 
 
-def _cut_runs(length: int, anchor: int):
+def _name(raw: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), signed=True)
+
+
+def _cut_runs(length: int, anchor: int, together: int = RUNS_TOGETHER):
     """From each text and its open runs, the bytes of the runs, dealt by anchor and, for an anchor with
-    many runs, by its offset in the window; windows of different offsets cannot be equal."""
+    many runs, by its offset in the window and by what all windows of a piece have in common: windows
+    of different offsets cannot be equal, nor can those of pieces that differ there."""
     offsets = length - anchor + 1
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,38 +230,62 @@ def _cut_runs(length: int, anchor: int):
             for text, own in zip(batch.column("text"), batch.column("open"), strict=True):
                 raw = text.as_py().encode("utf-8", "surrogatepass")
                 for run in own.as_py():
-                    blocks = min(offsets, -(-run["kinds"] // RUNS_TOGETHER))
-                    width = -(-offsets // blocks)
-                    deal = -(-run["kinds"] // (RUNS_TOGETHER * offsets)) if width == 1 else 1
+                    many = run["kinds"] > together
+                    width = min(offsets, OFFSETS_TOGETHER) if many else offsets
                     i = 0
                     while i < run["size"]:
                         block = (run["at"] - i) // width
                         end = min(run["size"], run["at"] - block * width + 1)
-                        piece = raw[run["start"] + i:run["start"] + end + length - 1]
-                        part = int.from_bytes(hashlib.blake2b(piece, digest_size=4).digest()) % deal if deal > 1 else 0
-                        for k, v in zip(rows, (run["anchor"], block + offsets * part, run["content"], i, piece), strict=True):
+                        place = run["start"] + i
+                        piece = raw[place:run["start"] + end + length - 1]
+                        if many:
+                            # From the block's last start to its first end, wherever the run begins or ends.
+                            first = run["start"] + run["at"] - block * width
+                            core = raw[first:first - width + 1 + length]
+                            block = _name(block.to_bytes(4) + core)
+                        for k, v in zip(rows, (run["anchor"], block, run["content"], i, piece), strict=True):
                             rows[k].append(v)
                         i = end
-                    if len(rows["bytes"]) >= 2000:
-                        yield _batch(rows)
-                        rows = {k: [] for k in rows}
+                        if len(rows["bytes"]) >= 2000:
+                            yield _batch(rows)
+                            rows = {k: [] for k in rows}
             if rows["bytes"]:
                 yield _batch(rows)
 
     return read
 
 
+def _single_windows(length: int):
+    """Pieces as single windows, dealt by their bytes: where too many agree in what their windows share."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                windows = [row["bytes"][j:j + length] for j in range(len(row["bytes"]) - length + 1)]
+                yield _batch({
+                    "anchor": [row["anchor"]] * len(windows), "block": [_name(w) for w in windows],
+                    "content": [row["content"]] * len(windows),
+                    "from": list(range(row["from"], row["from"] + len(windows))), "bytes": windows,
+                })
+
+    return read
+
+
 def _batch(rows: dict[str, list]) -> pa.RecordBatch:
-    kinds = {"bytes": pa.binary(), "windows": pa.list_(pa.int32()), "block": pa.int32(), "from": pa.int32()}
+    kinds = {"bytes": pa.binary(), "windows": pa.list_(pa.int32()), "from": pa.int32()}
     return pa.RecordBatch.from_pydict({k: pa.array(v, kinds.get(k, pa.int64())) for k, v in rows.items()})
 
 
 def _judge(length: int):
-    """Repeated windows of the runs of whole (anchor, block) groups, about TRANSFORM_BYTES at a time."""
+    """Repeated windows of the runs of whole (anchor, block) groups, about TRANSFORM_BYTES at a time.
+
+    Two copies of a piece are enough for a transform; further ones in the group are repeated as a whole.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size, last = 0, None
+        copies: dict[bytes, int] = {}
 
         def flush() -> pa.RecordBatch:
             found = repeated_windows([b for *_, b in held], length)
@@ -266,15 +298,25 @@ def _judge(length: int):
             return _batch(rows)
 
         for batch in batches:
+            more: dict[str, list] = {"anchor": [], "content": [], "windows": []}
             for name, block, content, first, piece in zip(
                 *(batch.column(k).to_pylist() for k in ("anchor", "block", "content", "from", "bytes")), strict=True
             ):
                 if size >= TRANSFORM_BYTES and (name, block) != last:
                     yield flush()
                     held, size = [], 0
+                if (name, block) != last:
+                    copies = {}
+                last = (name, block)
+                copies[piece] = copies.get(piece, 0) + 1
+                if copies[piece] > 2:
+                    for k, v in zip(more, (name, content, [first, first + len(piece) - length + 1]), strict=True):
+                        more[k].append(v)
+                    continue
                 held.append((name, content, first, piece))
                 size += len(piece)
-                last = (name, block)
+            if more["anchor"]:
+                yield _batch(more)
         if held:
             yield flush()
 
@@ -315,8 +357,17 @@ def find(
     source = texts(docs, id_col, text_col).select(text_key(F.col("text")).alias("key"), "text")
     # One row of each asked text: copies agree, so any will do.
     cut = of_keys(source, asked).join(asked, "key").dropDuplicates(["key"]).select("text", "open").mapInArrow(
-        _cut_runs(length, anchor), "anchor long, block int, content long, `from` int, bytes binary"
+        _cut_runs(length, anchor, RUNS_TOGETHER), _PIECE
     )
+    pieces = None
+    if (sizes.agg(F.max("kinds")).first()[0] or 0) > RUNS_TOGETHER:
+        cut = pieces = settle(cut, "cut-runs")
+        large = cut.groupBy("anchor", "block").agg(F.sum(F.octet_length("bytes")).alias("b")).where(
+            F.col("b") > TRANSFORM_BYTES
+        ).select("anchor", "block")
+        cut = cut.join(large, ["anchor", "block"], "left_anti").unionByName(
+            cut.join(large, ["anchor", "block"], "left_semi").mapInArrow(_single_windows(length), _PIECE)
+        )
     total = open_.agg(F.sum(F.col("size") + length)).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (4 * TRANSFORM_BYTES)))
     judged = settle(
@@ -343,7 +394,7 @@ def find(
         F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")
     )).alias("spans")))
     spans = settle(spans, "removed-spans")
-    discard(shared, kinds, judged, classes)
+    discard(shared, kinds, judged, classes, *([pieces] if pieces is not None else []))
     return rows.select("doc_id", "key", "n_bytes", "sha256"), spans
 
 
