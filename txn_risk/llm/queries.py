@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from txn_risk.llm import (
-    decontamination, licenses, neardup_texts, neardup_vectors, packing, pages, quality, repeats, sharding, toxicity,
+    decontamination, licenses, neardup_texts, neardup_vectors, packing, pages, quality, repeats, sharding, token_counts,
+    toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,5 +66,9 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup_texts.join(_table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(_table(spark, sf_dir, "documents"), vocabulary(), limit=1024)
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
