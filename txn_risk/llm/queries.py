@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from txn_risk.llm import (
-    decontamination, licenses, neardup_texts, neardup_vectors, packing, pages, quality, repeats, sharding, token_counts,
-    toxicity,
+    decontamination, licenses, neardup_texts, neardup_vectors, packing, pages, quality, repeats, sharding, spelling,
+    token_counts, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,5 +70,9 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(_table(spark, sf_dir, "documents"), vocabulary(), limit=1024)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
