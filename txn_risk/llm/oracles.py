@@ -71,10 +71,34 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.a = d.doc_id"""
 
 
+COLLOCATIONS = f"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS t
+               FROM documents),
+p AS (SELECT lang, regexp_extract_all(t, '[^\\x20\\x09]+') AS w FROM piece),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g, count(*) AS f
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, range(1, 5) AS ks(k) WHERE len(w) >= k)
+      GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, g, string_split(g, ' ') AS w, f AS a FROM f WHERE k > 1 AND f >= 30),
+inside AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS g, max(a) AS longer
+           FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS i FROM cand, range(2, 4) AS ms(m) WHERE m < k)
+           GROUP BY ALL),
+kept AS (SELECT cand.* FROM cand LEFT JOIN inside USING (lang, g) WHERE longer IS NULL OR 100 * longer < 80 * a),
+cut AS (SELECT lang, g, a, c, array_to_string(w[1:c], ' ') AS x, array_to_string(w[c + 1:], ' ') AS y
+        FROM kept, range(1, 4) AS cs(c) WHERE c < k),
+scored AS (SELECT cut.lang, cut.g, a, c, x.f AS l, y.f AS r,
+                  ((2000000::HUGEINT * a) // (x.f + y.f))::BIGINT AS score
+           FROM cut JOIN f AS x ON x.lang = cut.lang AND x.g = cut.x JOIN f AS y ON y.lang = cut.lang AND y.g = cut.y),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM best)
+SELECT lang, rank, g AS phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_embedding_neardup": VECTORS,
         "op6_benchmark_decontamination": CONTAMINATION,
         "op7_suffix_array_dedup": REPEATS,
         "op10_ngram_jaccard_join": JACCARD,
+        "op11_phrase_collocations": COLLOCATIONS,
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from txn_risk.llm import (
-    decontamination, licenses, neardup_texts, neardup_vectors, packing, pages, quality, repeats, sharding, spelling,
+    collocations, decontamination, licenses, neardup_texts, neardup_vectors, packing, pages, quality, repeats, sharding, spelling,
     token_counts, toxicity,
 )
 
@@ -66,6 +66,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup_texts.join(_table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(_table(spark, sf_dir, "documents"), vocabulary(), limit=1024)
 
