@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from helpers import TEMPLATE, by_id, transactions
 from txn_risk.plans import decisions, monitoring
 from txn_risk.schemas import CSV_FILE, EVENT, SCORE, TRANSACTION
-from txn_risk.sources import csv_files, lake, score_store, topic
+from txn_risk.sources import csv_files, lake, partitions, score_store, topic
 from txn_risk.streaming import pipelines
 
 NOW = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
@@ -111,13 +111,59 @@ def test_unreadable_file_fails_or_is_named(spark, tmp_path):
     with pytest.raises(Exception, match="broken.parquet"):
         lake.read_lake(spark, path).count()
     assert lake.read_lake(spark, path, skip_unreadable=True).count() == 1
-    (skipped,) = lake.skipped_files(spark, path).collect()
+    (skipped,) = lake.unreadable_files(spark, path, lake.lake_files(spark, path)).collect()
     assert skipped["path"].endswith("broken.parquet")
     summary = lake.load(spark, path, raw, NOW, skip_unreadable=True)
     assert summary == {
         "status": "PARTIAL", "files_loaded": 1, "files_skipped": 1, "rows_loaded": 1, "total_table_rows": 1}
 
 
+def test_sound_files_without_rows_are_loaded_and_broken_ones_left_out_whole(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    path, raw = str(tmp_path / "lake"), str(tmp_path / "raw")
+    lake.write_lake(events(spark, *[{"unix_time": i} for i in range(300)]), path)
+    (good,) = (tmp_path / "lake").rglob("*.parquet")
+    table = pq.read_table(good)
+    pq.write_table(table.slice(0, 0), good.with_name("empty.parquet"))
+    renamed = table.set_column(0, "trans_num", [[f"second{i}" for i in range(300)]])
+    broken = good.with_name("broken.parquet")
+    pq.write_table(renamed, broken, row_group_size=100)
+    content = bytearray(broken.read_bytes())
+    at = pq.ParquetFile(broken).metadata.row_group(2).column(0).data_page_offset
+    content[at:at + 200] = b"\xff" * 200  # the first two groups can be read
+    broken.write_bytes(content)
+    summary = lake.load(spark, path, raw, NOW, skip_unreadable=True, ledger=str(tmp_path / "ledger"))
+    assert summary == {
+        "status": "PARTIAL", "files_loaded": 2, "files_skipped": 1, "rows_loaded": 300, "total_table_rows": 300}
+    # What was left out is asked for again; what was loaded is not.
+    again = lake.load(spark, path, raw, NOW + dt.timedelta(days=1), skip_unreadable=True, ledger=str(tmp_path / "ledger"))
+    assert (again["files_loaded"], again["files_skipped"], again["rows_loaded"]) == (0, 1, 0)
+
+
+def test_ledger_takes_each_file_once(spark, tmp_path):
+    path, raw, ledger = (str(tmp_path / n) for n in ("lake", "raw", "ledger"))
+    assert lake.load(spark, path, raw, NOW, ledger=ledger)["status"] == "EMPTY"
+    lake.write_lake(events(spark, {"trans_date_trans_time": "2019-01-01 02:00:00"}), path)
+    assert lake.load(spark, path, raw, NOW, ledger=ledger)["rows_loaded"] == 1
+    assert lake.load(spark, path, raw, NOW, ledger=ledger)["status"] == "EMPTY"
+    lake.write_lake(events(spark, {"trans_num": "n1"}, {"trans_num": "n2"}), path)
+    later = lake.load(spark, path, raw, NOW + dt.timedelta(hours=1), ledger=ledger)
+    assert (later["files_loaded"], later["rows_loaded"], later["total_table_rows"]) == (1, 2, 3)
+
+
+def test_load_with_a_ledger_scans_touched_days_only(spark, tmp_path):
+    path, ledger = str(tmp_path / "lake"), str(tmp_path / "ledger")
+    lake.write_lake(events(spark, {"trans_date_trans_time": "2019-01-01 02:00:00"}), path)
+    partitions.note(partitions.files(spark, path), ledger)
+    lake.write_lake(events(spark, {"trans_date_trans_time": "2019-03-01 02:00:00"}), path)
+    new = partitions.unread(partitions.files(spark, path), ledger)
+    assert partitions.folder_values(new, "dt") == ["2019-03-01"]
+    rows = lake.read_lake(spark, path).where(F.col("dt").isin(["2019-03-01"]))
+    plan = partitions.of_files(rows, new)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "LeftSemi" in plan
+
+
 def test_a_batch_written_again_replaces_itself(spark, tmp_path):
     path = str(tmp_path / "lake")
     two = events(spark, {}, {"trans_date_trans_time": "2021-06-15 05:00:00"})
@@ -206,7 +252,20 @@ def record(spark, **change):
     return spark.createDataFrame([tuple({**base, **change}[f.name] for f in SCORE.fields)], SCORE)
 
 
-def test_score_table_replaces_and_survives_replay(spark, tmp_path):
+def scores_of(spark, n, **change):
+    return record(spark, **change).drop("trans_num").crossJoin(
+        spark.range(n).select(F.concat(F.lit("k"), "id").alias("trans_num"))
+    ).select(*SCORE.fieldNames())
+
+
+def bucket_files(table):
+    return {
+        p.name: sorted((f.name, f.stat().st_mtime_ns) for f in p.glob("*.parquet"))
+        for p in table.rglob("bucket=*")
+    }
+
+
+def test_upsert_replaces_and_survives_replay(spark, tmp_path):
     log, table = str(tmp_path / "log"), str(tmp_path / "table")
     old = record(spark)
     new = record(spark, fraud_score=0.9, decision="BLOCK", processed_at="2024-01-02T00:00:00+00:00")
@@ -214,21 +273,78 @@ def test_score_table_replaces_and_survives_replay(spark, tmp_path):
     score_store.append_scores(new, log)
     assert by_id(score_store.latest_scores(score_store.read_log(spark, log)), "decision") == {"a": "BLOCK"}
     assert score_store.read_compacted(spark, table).count() == 0
-    assert score_store.compact(new, table) == 1
-    assert score_store.compact(old.unionByName(new), table) == 2  # replay
-    assert score_store.compact(new, table) == 3 and sorted(os.listdir(table))[:1] != ["v=1"]
+    assert score_store.upsert(new, table) == score_store.upsert(old.unionByName(new), table)  # replay
+    assert score_store.upsert(old.limit(0), table) == []
     assert score_store.lookup(spark, table, "a").count() == 1
     assert score_store.lookup(spark, table, "z").count() == 0
     assert by_id(score_store.read_compacted(spark, table), "fraud_score") == {"a": 0.9}
 
 
-def test_unfinished_version_is_not_read(spark, tmp_path):
+def test_upsert_leaves_other_buckets_files_alone(spark, tmp_path):
     table = tmp_path / "table"
-    score_store.compact(record(spark), str(table))
-    (table / "v=2").mkdir()  # a writer died here
-    assert score_store.read_compacted(spark, str(table)).count() == 1
-    assert score_store.compact(record(spark, trans_num="b"), str(table)) == 2
-    assert score_store.read_compacted(spark, str(table)).count() == 2
+    score_store.upsert(scores_of(spark, 400), str(table), buckets=8)
+    before = bucket_files(table)
+    assert len(before) == 8
+    late = scores_of(spark, 400, fraud_score=0.7, processed_at="2024-02-01T00:00:00Z").where("trans_num = 'k7'")
+    (hit,) = score_store.upsert(late, str(table))
+    after = bucket_files(table)
+    assert [b for b in before if before[b] != after[b]] == [f"bucket={hit}"]
+    got = by_id(score_store.read_compacted(spark, str(table)), "fraud_score")
+    assert len(got) == 400 and got["k7"] == 0.7 and sum(v == 0.1 for v in got.values()) == 399
+
+
+def test_table_is_dealt_anew_when_a_bucket_is_full(spark, tmp_path):
+    table = str(tmp_path / "table")
+    score_store.upsert(scores_of(spark, 300), table, buckets=4, bucket_rows=30)
+    names = [n for n in os.listdir(table) if n.startswith("of=")]
+    assert len(names) == 1 and int(names[0][3:]) >= 8
+    assert score_store.read_compacted(spark, table).count() == 300
+    assert score_store.lookup(spark, table, "k123").count() == 1
+    assert len(score_store.upsert(record(spark, trans_num="k1"), table, bucket_rows=30)) == 1
+    assert score_store.read_compacted(spark, table).count() == 300
+
+
+def test_interrupted_upsert_is_finished_by_the_next(spark, tmp_path):
+    table = str(tmp_path / "table")
+    score_store.upsert(scores_of(spark, 50), table, buckets=2)
+    held, n = score_store._current(spark, table)
+    late = scores_of(spark, 50, fraud_score=0.7, processed_at="2024-02-01T00:00:00Z")
+    shaped = late.withColumn("bucket", score_store._bucket(F.col("trans_num"), n))
+    shaped.write.partitionBy("bucket").parquet(held._aside)  # died here, complete
+    partitions.remove(spark, f"{held.path}/bucket=1")  # and in the middle of putting it in place
+    score_store.upsert(record(spark, trans_num="new"), table)
+    got = by_id(score_store.read_compacted(spark, table), "fraud_score")
+    assert len(got) == 51 and sum(v == 0.7 for v in got.values()) == 50
+    shaped.limit(1).write.partitionBy("bucket").parquet(held._aside)
+    partitions.remove(spark, f"{held._aside}/_SUCCESS")  # died while writing aside
+    score_store.upsert(record(spark, trans_num="newer"), table)
+    assert score_store.read_compacted(spark, table).count() == 52
+
+
+def test_second_writer_fails(spark, tmp_path):
+    table = str(tmp_path / "table")
+    score_store.upsert(record(spark), table)
+    with partitions.PartitionedTable(spark, table, SCORE, ("bucket",)).writing():
+        with pytest.raises(RuntimeError, match="another writer"):
+            score_store.upsert(record(spark, trans_num="b"), table)
+    score_store.upsert(record(spark, trans_num="b"), table)
+    assert score_store.read_compacted(spark, table).count() == 2
+
+
+def test_compact_reads_new_log_files_only(spark, tmp_path):
+    log, table = str(tmp_path / "log"), str(tmp_path / "table")
+    for day, score in ((1, 0.2), (2, 0.4)):
+        score_store.append_scores(
+            scores_of(spark, 40, fraud_score=score, processed_at=f"2024-01-0{day}T00:00:00Z"), log)
+    assert score_store.compact(spark, log, table, buckets=4) == [0, 1, 2, 3]
+    assert score_store.compact(spark, log, table) == []
+    score_store.append_scores(record(spark, trans_num="k3", fraud_score=0.9, processed_at="2024-01-02T09:00:00Z"), log)
+    ledger = f"{table}/_log_files"
+    new = partitions.unread(partitions.files(spark, log), ledger)
+    assert partitions.folder_values(new, "processed_date") == ["2024-01-02"]
+    assert len(score_store.compact(spark, log, table)) == 1
+    got = by_id(score_store.read_compacted(spark, table), "fraud_score")
+    assert len(got) == 40 and got["k3"] == 0.9 and sum(v == 0.4 for v in got.values()) == 39
 
 
 def test_first_store_wins_and_dirty_values_are_coerced(spark):

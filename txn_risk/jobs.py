@@ -39,12 +39,16 @@ def ingest(spark: SparkSession, a: Args) -> None:
 
 def load(spark: SparkSession, a: Args) -> None:
     """Lake to raw table."""
-    print(lake.load(spark, a.lake, a.raw, _now(), a.modified_after, a.skip_unreadable))
+    ledger = f"{a.raw}_loaded_files" if a.new_files else None
+    print(lake.load(spark, a.lake, a.raw, _now(), a.modified_after, a.skip_unreadable, ledger))
 
 
 def build(spark: SparkSession, a: Args) -> None:
     """Raw table to staging and marts, then the data tests."""
-    warehouse.build(lake.read_raw(spark, a.raw), a.warehouse)
+    if a.new_loads:
+        warehouse.refresh(spark, a.raw, a.warehouse)
+    else:
+        warehouse.build(lake.read_raw(spark, a.raw), a.warehouse)
     report = warehouse.check(spark, a.warehouse)
     report.show(50, truncate=False)
     if report.where("failures > 0").count():
@@ -94,8 +98,8 @@ def score(spark: SparkSession, a: Args) -> None:
 
 
 def compact(spark: SparkSession, a: Args) -> None:
-    """Score log into the keyed score table."""
-    print(score_store.compact(score_store.read_log(spark, a.scores), a.table))
+    """What the score log has got since the last time into the keyed score table."""
+    print(score_store.compact(spark, a.scores, a.table))
 
 
 def scores(spark: SparkSession, a: Args) -> None:
@@ -135,8 +139,10 @@ def parser() -> argparse.ArgumentParser:
     time = {"type": dt.datetime.fromisoformat}
     job(replay, csv=files, limit={"type": int}, **broker)
     job(ingest, lake=need, rejects=need, **stream)
-    job(load, lake=need, raw=need, modified_after=time, skip_unreadable={"action": "store_true"})
-    job(build, raw=need, warehouse=need)
+    job(load, lake=need, raw=need, modified_after=time, skip_unreadable={"action": "store_true"},
+        new_files={"action": "store_true", "help": "only files that no such load has taken"})
+    job(build, raw=need, warehouse=need,
+        new_loads={"action": "store_true", "help": "stage only loads that no such build has staged"})
     job(export, csv=files, out=need)
     job(profile, csv=files)
     job(train, train=need, test=need, out=need, champion={}, sample={"type": int, "default": 150_000})

@@ -60,9 +60,13 @@ def clean(raw: DataFrame, lenient: bool = False) -> DataFrame:
     return renamed.select(*[out[c].alias(c) for c in STAGED])
 
 
-def stage(raw: DataFrame, lenient: bool = False) -> DataFrame:
-    """Cleaned records, the most recently ingested one per ``trans_num``."""
+def newest_copy(cleaned: DataFrame) -> DataFrame:
+    """The most recently ingested record per ``trans_num``."""
     return latest_per_key(
-        clean(raw, lenient), ["trans_num"],
-        ["ingested_at", "trans_timestamp", "unix_time", "cc_num", "amount"],
+        cleaned, ["trans_num"], ["ingested_at", "trans_timestamp", "unix_time", "cc_num", "amount"],
     )
+
+
+def stage(raw: DataFrame, lenient: bool = False) -> DataFrame:
+    """Cleaned records, the most recently ingested one per ``trans_num``."""
+    return newest_copy(clean(raw, lenient))

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from txn_risk.functions import parse_timestamp_lenient
 from txn_risk.operators.dedup import first_per_key
 from txn_risk.schemas import EVENT, RAW
+from txn_risk.session import settle
+from txn_risk.sources.partitions import files, folder_values, note, of_files, unread
 
 PARTITIONS = ("dt", "hour")
 
@@ -79,7 +82,7 @@ def read_lake(
 ) -> DataFrame:
     """All Parquet files under ``path``, optionally only days ``[start, end]`` (pruned by
     directory). An unreadable file fails the query, unless told otherwise: a transient error would
-    else look like missing rows. :func:`skipped_files` names what a lenient read leaves out."""
+    else look like missing rows. :func:`unreadable_files` names what a lenient read leaves out."""
     rows = (
         spark.read.schema(LAKE)
         .option("pathGlobFilter", "*.parquet")
@@ -93,13 +96,35 @@ def read_lake(
     return rows
 
 
-def skipped_files(spark: SparkSession, path: str, modified_after: dt.datetime | None = None) -> DataFrame:
-    """``path`` of each Parquet file from which a lenient read gets no row."""
-    listed = lake_files(spark, path)
-    if modified_after is not None:
-        listed = listed.where(F.col("modified_at") > F.lit(modified_after))
-    read = read_lake(spark, path, skip_unreadable=True).select(F.col("_metadata.file_path").alias("path")).distinct()
-    return listed.join(read, "path", "left_anti").select("path")
+def unreadable_files(spark: SparkSession, path: str, listed: DataFrame, days: list[str] | None = None) -> DataFrame:
+    """``path`` of each of the listed files of the lake that cannot be read to its end; with ``days``, only
+    those are looked at. A sound file without rows is not among them; one that breaks off after some rows is.
+
+    Each file is read whole in a Python worker, so it is bounded by that worker's memory.
+    """
+    def tried(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from io import BytesIO
+
+        import pyarrow.parquet as pq
+
+        for frame in frames:
+            bad = []
+            for path, content in zip(frame["path"], frame["content"], strict=True):
+                try:
+                    file = pq.ParquetFile(BytesIO(content))
+                    for k in range(file.num_row_groups):
+                        file.read_row_group(k)
+                except Exception:
+                    bad.append(path)
+            yield pd.DataFrame({"path": pd.Series(bad, dtype="object")})
+
+    content = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+        .where(F.lit(True) if days is None else F.col("dt").cast("string").isin(days))
+        .select(F.col("_metadata.file_path").alias("path"), "content")
+        .join(listed.select("path"), "path", "left_semi")
+    )
+    return content.mapInPandas(tried, "path string")
 
 
 def raw_rows(
@@ -136,19 +161,39 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 def load(
     spark: SparkSession, lake_path: str, raw_path: str, ingested_at: dt.datetime,
-    modified_after: dt.datetime | None = None, skip_unreadable: bool = False,
+    modified_after: dt.datetime | None = None, skip_unreadable: bool = False, ledger: str | None = None,
 ) -> dict[str, int | str]:
     """Lake to raw table. Returns ``status``, ``files_loaded``, ``files_skipped``, ``rows_loaded`` and
-    ``total_table_rows``. A file counts as loaded only if it was read."""
-    files = lake_files(spark, lake_path)
+    ``total_table_rows``.
+
+    Every load rescans the lake, unless ``modified_after`` or a ``ledger`` limits it. A ledger is a folder that
+    remembers the files loaded; a load with it scans only the days that hold others, and enters them once
+    their rows are stored. So a load that dies is repeated and none is passed over. A file left out as
+    unreadable is left out whole, and not entered.
+    """
+    listed = lake_files(spark, lake_path)
     if modified_after is not None:
-        files = files.where(F.col("modified_at") > F.lit(modified_after))
-    n_files = files.count()
+        listed = listed.where(F.col("modified_at") > F.lit(modified_after))
+    if ledger is not None:
+        listed = unread(listed, ledger)
+    listed = settle(listed, "lake-files")
+    n_files = listed.count()
     if not n_files:
         return {"status": "EMPTY", "files_loaded": 0, "files_skipped": 0, "rows_loaded": 0}
-    skipped = skipped_files(spark, lake_path, modified_after).count() if skip_unreadable else 0
     rows = read_lake(spark, lake_path, skip_unreadable=skip_unreadable)
+    days = folder_values(listed, "dt") if ledger is not None else None
+    skipped = 0
+    if skip_unreadable:
+        bad = settle(unreadable_files(spark, lake_path, listed, days), "unreadable-files")
+        skipped = bad.count()
+        listed = listed.join(bad, "path", "left_anti")
+    if days is not None:
+        rows = rows.where(F.col("dt").isin(days))
+    if days is not None or skip_unreadable:
+        rows, modified_after = of_files(rows, listed), None
     append_raw(raw_rows(rows, ingested_at, modified_after), raw_path)
+    if ledger is not None:
+        note(listed, ledger)
     table = read_raw(spark, raw_path)
     # One ingest date is scanned for the load, and no column at all for the table's size.
     loaded = table.where(
@@ -162,17 +207,7 @@ def load(
     }
 
 
-def lake_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(path, modified_at, length)`` of every Parquet file, listed without opening any."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
-        .select(
-            F.col("_metadata.file_path").alias("path"), F.col("modificationTime").alias("modified_at"), "length"
-        )
-    )
+lake_files = files
 
 
 def expired_files(

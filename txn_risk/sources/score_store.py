@@ -1,13 +1,12 @@
 """Keyed score table on plain files.
 
-Writers only append to a log, laid out by processing date, so retries and parallel writers never
-overwrite what somebody reads. The latest record per ``trans_num`` wins when the table is read;
-compaction writes that view as a new version and readers move to it once it is complete.
+Scoring appends to a log, laid out by processing date, so retries and parallel writers never overwrite
+what somebody reads; the latest record per ``trans_num`` wins when it is read. A table keyed by
+``trans_num`` lies in buckets of its keys; an upsert replaces those buckets that its records fall into.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -17,6 +16,10 @@ from pyspark.sql import types as T
 from txn_risk.functions import coerce_double, coerce_int
 from txn_risk.operators.dedup import latest_per_key
 from txn_risk.schemas import SCORE
+from txn_risk.session import discard, settle
+from txn_risk.sources.partitions import (
+    PartitionedTable, file_system, files, folder_values, note, of_files, remove, unread,
+)
 
 # Days without a readable processing time.
 NO_DATE = "none"
@@ -52,86 +55,117 @@ def latest_scores(log: DataFrame) -> DataFrame:
 def newest_of_log(spark: SparkSession, path: str, n: int) -> DataFrame:
     """The ``n`` last processed transactions of a log, reading its newest days only.
 
-    A later record of a key lies in a later day, so what older days hold cannot change the answer. The
-    driver sees one count per day, newest first, until they hold ``n`` transactions.
+    A later record of a key lies in a later day, so what older days hold cannot change the answer. Days are
+    listed from their folders and their keys read once each, newest first, until ``n`` are known.
     """
     log = read_log(spark, path)
-    days = [
-        r.processed_date for r in log.select("processed_date").distinct().collect()
-    ]
+    days = folder_values(files(spark, path), "processed_date")
     days.sort(key=lambda d: (d != NO_DATE, d), reverse=True)
     chosen: list[str] = []
+    seen = spark.createDataFrame([], "trans_num string")
     for day in days:
         chosen.append(day)
-        newest_days = log.where(F.col("processed_date").isin(chosen))
-        if newest_days.select("trans_num").distinct().limit(n).count() >= n:
+        own = log.where(F.col("processed_date") == day).select("trans_num").distinct()
+        more = settle(seen.unionByName(own.join(seen, "trans_num", "left_anti").limit(n)), "newest-keys")
+        discard(seen)
+        seen = more
+        if seen.count() >= n:
             break
+    discard(seen)
     return newest(latest_scores(log.where(F.col("processed_date").isin(chosen))), n)
 
 
-def lookup(spark: SparkSession, table: str, trans_num: str) -> DataFrame:
-    """A transaction's record in the compacted table; only its bucket is read."""
-    return read_compacted(spark, table).where(
-        (F.col("bucket") == _bucket(F.lit(trans_num))) & (F.col("trans_num") == trans_num)
-    )
-
-
-# Buckets of a compacted table, by key.
+# Buckets that a new table has, and rows that its fullest bucket may hold before their number doubles.
 BUCKETS = 64
+BUCKET_ROWS = 2_000_000
 _TABLE = T.StructType(SCORE.fields + [T.StructField("bucket", T.IntegerType(), True)])
 
 
-def _bucket(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def _versions(spark: SparkSession, table: str) -> list[int]:
-    """Complete versions of a compacted table, oldest first."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    root = path(table)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(root)]
-    found = [int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()]
-    return sorted(v for v in found if fs.exists(path(f"{table}/v={v}/_SUCCESS")))
+def _layout(spark: SparkSession, table: str, buckets: int) -> PartitionedTable:
+    return PartitionedTable(spark, f"{table}/of={buckets}", _TABLE, ("bucket",))
+
+
+def _layouts(spark: SparkSession, table: str) -> list[int]:
+    """Numbers of buckets for which the table is complete, rising; more than one only while it is dealt anew."""
+    fs, root = file_system(spark, table)
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    found = sorted(int(n[3:]) for n in names if n.startswith("of=") and n[3:].isdigit())
+    return [n for n in found if _layout(spark, table, n).complete()]
+
+
+def _current(spark: SparkSession, table: str, buckets: int = BUCKETS) -> tuple[PartitionedTable, int]:
+    n = max(_layouts(spark, table), default=buckets)
+    return _layout(spark, table, n), n
 
 
 def read_compacted(spark: SparkSession, table: str) -> DataFrame:
-    """The newest complete version, empty before the first."""
-    versions = _versions(spark, table)
-    if not versions:
-        return spark.createDataFrame([], _TABLE)
-    return spark.read.schema(_TABLE).parquet(f"{table}/v={versions[-1]}")
+    """The keyed table, one record per transaction; empty before the first upsert."""
+    return _current(spark, table)[0].read()
+
+
+def lookup(spark: SparkSession, table: str, trans_num: str) -> DataFrame:
+    """A transaction's record in the keyed table; only its bucket is read."""
+    held, n = _current(spark, table)
+    return held.read().where((F.col("bucket") == _bucket(F.lit(trans_num), n)) & (F.col("trans_num") == trans_num))
 
 
-def compact(updates: DataFrame, table: str, keep: int = 2) -> int:
-    """Merge ``updates`` into the table as its next version; returns that version.
+def upsert(updates: DataFrame, table: str, buckets: int = BUCKETS, bucket_rows: int = BUCKET_ROWS) -> list[int]:
+    """Insert or replace by key; returns the buckets rewritten.
 
-    Replaying the same updates leaves the same rows. A version is written aside and takes its number by
-    a rename, which only one of two compactions can win; the other merges again, on top of the winner.
-    All but the last ``keep`` versions are removed.
+    The latest record of a key stays, so the same updates again leave the same rows. Only buckets that the
+    updates hit are read and replaced; the files of all others stay as they are. One that would hold more than
+    ``bucket_rows`` has the table dealt anew into twice as many. A second writer fails. Readers that have
+    listed a bucket's files before it is replaced fail and may ask again.
     """
     spark = updates.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(table).getFileSystem(spark._jsc.hadoopConfiguration())
-    while True:
-        versions = _versions(spark, table)
-        old = read_compacted(spark, table).select(*SCORE.fieldNames())
-        merged = latest_scores(old.unionByName(updates.select(*SCORE.fieldNames())))
-        aside = f"{table}/_aside-{uuid.uuid4().hex}"
-        merged.withColumn("bucket", _bucket(F.col("trans_num"))).write.partitionBy("bucket").parquet(aside)
-        version = versions[-1] + 1 if versions else 1
-        target = hadoop(f"{table}/v={version}")
-        if fs.exists(target) and version not in _versions(spark, table):
-            fs.delete(target, True)  # a writer of an older kind died here
-        # A rename onto a folder that exists would move into it, so the winner is looked for first.
-        if not fs.exists(target) and fs.rename(hadoop(aside), target):
-            break
-        fs.delete(hadoop(aside), True)
-    for v in versions[:max(0, len(versions) + 1 - keep)]:
-        fs.delete(hadoop(f"{table}/v={v}"), True)
-    return version
+    held, n = _current(spark, table, buckets)
+    with PartitionedTable(spark, table, _TABLE, ("bucket",)).writing():
+        held.finish()
+        for old in _layouts(spark, table)[:-1]:  # a run died after it had dealt the table anew
+            remove(spark, f"{table}/of={old}")
+        new = settle(
+            latest_scores(updates.select(*SCORE.fieldNames())).withColumn("bucket", _bucket(F.col("trans_num"), n)),
+            "score-updates",
+        )
+        hit = [r.bucket for r in new.select("bucket").distinct().collect()]
+        if not hit:
+            return []
+        before = held.read().where(F.col("bucket").isin(hit))
+        merged = latest_scores(before.unionByName(new)).withColumn("bucket", _bucket(F.col("trans_num"), n))
+        held.replace(merged)
+        discard(new)
+        fullest = held.read().where(F.col("bucket").isin(hit)).groupBy("bucket").count().agg(F.max("count")).first()[0]
+        wanted = n
+        while fullest > bucket_rows * (wanted // n):
+            wanted *= 2
+        if wanted > n:
+            _layout(spark, table, wanted).replace(held.read().withColumn("bucket", _bucket(F.col("trans_num"), wanted)))
+            remove(spark, held.path)
+        return sorted(hit)
+
+
+def compact(spark: SparkSession, log: str, table: str, **given: int) -> list[int]:
+    """Upsert what the score log has got since the last time; returns the buckets rewritten.
+
+    A ledger beside the table names the log's files already taken in; only the days that hold others are
+    scanned, and of those days only the other files' rows are used. Files are entered once their records are
+    stored: a run that dies takes them again, which changes nothing.
+    """
+    ledger = f"{table}/_log_files"
+    new = settle(unread(files(spark, log), ledger), "new-log-files")
+    days = folder_values(new, "processed_date")
+    if not days:
+        discard(new)
+        return []
+    rows = of_files(read_log(spark, log).where(F.col("processed_date").isin(days)), new)
+    hit = upsert(rows, table, **given)
+    note(new, ledger)
+    discard(new)
+    return hit
 
 
 def newest(scores: DataFrame, n: int) -> DataFrame:

@@ -29,7 +29,7 @@ from txn_risk.plans import (
 )
 from txn_risk.plans.features import Baseline, assembler, batch_features, with_defaults
 from txn_risk.plans.staging import clean, stage
-from txn_risk.schemas import CSV_FILE, EVENT, FEATURES, SCORE, TRANSACTION
+from txn_risk.schemas import CSV_FILE, EVENT, FEATURES, SCORE, TIMESTAMP_TEXT, TRANSACTION
 from txn_risk.session import scratch_path, settle
 from txn_risk.sources import csv_files, lake, score_store, topic
 from txn_risk.streaming import pipelines
@@ -541,6 +541,26 @@ def raw_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_raw(spark, raw).select("trans_num", "cc_num", "amt", "merchant", "ingested_at")
 
 
+@query
+def incremental_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries, each loaded and staged by itself: the second brings the later days, some early
+    transactions again with another amount, and some with a time three days on."""
+    path, raw_path, out = (scratch_path(spark, n) for n in ("fed-lake", "fed-raw", "fed-warehouse"))
+    raw = raw_transactions(spark, sf_dir)
+    number, old = F.col("trans_num").cast("bigint"), F.col("trans_date_trans_time") < CUT
+    again = raw.where(old & (F.pmod(number, F.lit(20)) == 3)).withColumn("amt", F.col("amt") + 1)
+    later = F.to_timestamp("trans_date_trans_time") + F.expr("INTERVAL 3 DAYS")
+    moved = raw.where(old & (F.pmod(number, F.lit(20)) == 4)).withColumn(
+        "trans_date_trans_time", F.date_format(later, TIMESTAMP_TEXT)
+    )
+    deliveries = (raw.where(old), raw.where(~old).unionByName(again).unionByName(moved))
+    for i, rows in enumerate(deliveries):
+        lake.write_lake(_events(rows), path)
+        lake.load(spark, path, raw_path, LOADED_AT + dt.timedelta(hours=i), ledger=f"{raw_path}-files")
+        warehouse.refresh_staging(spark, raw_path, out)
+    return warehouse.staging(spark, out)
+
+
 @query
 def time_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training.time_prefix(raw_transactions(spark, sf_dir), 2500).select(
@@ -690,7 +710,8 @@ def score_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def score_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All records arrive twice, first with another score; the later one stays."""
+    """All records arrive twice, first with another score; the later one stays. The log is compacted after
+    each time, and stale records are put in once more."""
     path, store = scratch_path(spark, "log"), scratch_path(spark, "scores")
     log = score_log(spark, sf_dir)
     first = log.withColumns({
@@ -698,9 +719,10 @@ def score_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         "decision": F.lit("APPROVE"), "is_fraud_predicted": F.lit(0),
     })
     score_store.append_scores(first, path)
+    score_store.compact(spark, path, store)
     score_store.append_scores(log, path)
-    score_store.compact(score_store.read_log(spark, path), store)
-    score_store.compact(first, store)
+    score_store.compact(spark, path, store)
+    score_store.upsert(first.where("trans_num < '5'"), store)
     return score_store.read_compacted(spark, store).select(*SCORE.fieldNames())
 
 
@@ -732,7 +754,7 @@ def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = scratch_path(spark, "scores")
-    score_store.compact(score_log(spark, sf_dir), store)
+    score_store.upsert(score_log(spark, sf_dir), store)
     return score_store.lookup(spark, store, "77").select("trans_num", "decision", "amt")
 
 

@@ -442,6 +442,15 @@ def oracle_sql() -> dict[str, str]:
              count(*) AS n, CAST(sum(CAST(amt AS DECIMAL(18,2))) AS DOUBLE) AS amount
       FROM raw GROUP BY 1, 2""")
     q["raw_load"] = with_(RAW, "SELECT trans_num, cc_num, amt, merchant, TIMESTAMP '2024-02-01 00:00:00' AS ingested_at FROM raw")
+    again = "trans_date_trans_time < '2024-01-23' AND CAST(trans_num AS BIGINT) % 20"
+    q["incremental_build"] = with_(STG, f"""
+      SELECT * EXCLUDE (trans_date_trans_time) REPLACE (
+        CASE WHEN {again} = 4 THEN trans_timestamp + INTERVAL 3 DAY ELSE trans_timestamp END AS trans_timestamp,
+        CASE WHEN {again} = 3 THEN amount + 1 ELSE amount END AS amount,
+        TIMESTAMP '2024-02-01 00:00:00' + CASE WHEN trans_date_trans_time >= '2024-01-23' OR {again} IN (3, 4)
+          THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END AS ingested_at,
+        CAST(date_of_birth AS VARCHAR) AS date_of_birth)
+      FROM stg JOIN (SELECT trans_num, trans_date_trans_time FROM raw) USING (trans_num)""")
     q["time_prefix"] = with_(RAW, "SELECT trans_num, trans_date_trans_time FROM raw ORDER BY trans_date_trans_time, trans_num LIMIT 2500")
     q["json_roundtrip"] = with_(RAW, 'SELECT trans_num, cc_num, amt, category, merch_lat, is_fraud, CAST(cc_num AS VARCHAR) AS "key" FROM raw')
     q["export_fact"] = with_(RAW, f"""
