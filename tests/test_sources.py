@@ -164,14 +164,75 @@ def test_load_with_a_ledger_scans_touched_days_only(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(dt" in plan and "LeftSemi" in plan
 
 
+def batches(path):
+    return sorted(p.name for p in path.rglob("batch=*"))
+
+
 def test_a_batch_written_again_replaces_itself(spark, tmp_path):
     path = str(tmp_path / "lake")
-    two = events(spark, {}, {"trans_date_trans_time": "2021-06-15 05:00:00"})
-    for rows in (two, two.limit(1), two):
-        lake.write_batch(rows, path, "q-7")
-    lake.write_batch(two, path, "q-8")
+    two = lake.with_partition_keys(events(spark, {}, {"trans_date_trans_time": "2021-06-15 05:00:00"}))
+    for name in ("q-7", "q-7", "q-8", "q-7"):
+        lake.write_batch(two, path, name)
     assert lake.read_lake(spark, path).count() == 4
-    assert sorted(os.listdir(path))[-1] == "dt=2021-06-15"
+    assert batches(tmp_path / "lake") == ["batch=q-7", "batch=q-7", "batch=q-8", "batch=q-8"]
+
+
+def test_micro_batch_again_in_another_hour_keeps_its_hours(spark, tmp_path, monkeypatch):
+    """The sink fails after the first micro-batch is written; it runs again from the checkpoint."""
+    path, cp = str(tmp_path / "lake"), str(tmp_path / "cp")
+    events(spark, {}, {"trans_date_trans_time": "?"}).coalesce(1).write.parquet(str(tmp_path / "in"))
+    write, hours = pipelines.write_batch, []
+
+    def failing(rows, *to):
+        write(rows, *to)
+        hours.append(sorted((r["trans_num"], r["dt"], r["hour"]) for r in rows.collect()))
+        if len(hours) == 1:
+            raise OSError("lost")
+
+    monkeypatch.setattr(pipelines, "write_batch", failing)
+    with pytest.raises(Exception, match="lost"):
+        pipelines.ingest_to_lake(
+            pipelines.read_replay(spark, str(tmp_path / "in")), path, cp, interval=None).awaitTermination()
+    pipelines.ingest_to_lake(
+        pipelines.read_replay(spark, str(tmp_path / "in")), path, cp, interval=None).awaitTermination()
+    assert len(hours) == 2 and hours[0] == hours[1]
+    assert lake.read_lake(spark, path).count() == 2
+
+
+def test_closed_hours_are_merged_once(spark, tmp_path):
+    path, raw, ledger = (str(tmp_path / n) for n in ("lake", "raw", "ledger"))
+    for i in range(4):
+        lake.write_lake(events(
+            spark, {"trans_num": f"a{i}", "trans_date_trans_time": "2024-01-01 02:00:00"},
+            {"trans_num": f"b{i}", "trans_date_trans_time": "2024-01-01 03:30:00"},
+        ), path)
+    at = dt.datetime(2024, 1, 1, 3, tzinfo=dt.timezone.utc)
+    before = sorted(map(tuple, lake.read_lake(spark, path).collect()))
+    assert lake.merge_hours(spark, path, at, ledger) == 0  # nothing is loaded yet
+    assert lake.load(spark, path, raw, NOW, ledger=ledger)["rows_loaded"] == 8
+    assert lake.merge_hours(spark, path, at, ledger) == 1
+    assert lake.merge_hours(spark, path, at, ledger) == 0
+    assert len(list((tmp_path / "lake" / "dt=2024-01-01" / "hour=02").glob("batch=*"))) == 1
+    assert len(list((tmp_path / "lake" / "dt=2024-01-01" / "hour=03").glob("batch=*"))) == 4
+    assert sorted(map(tuple, lake.read_lake(spark, path).collect())) == before
+    assert lake.load(spark, path, raw, NOW, ledger=ledger)["status"] == "EMPTY"
+
+
+def test_a_merge_that_died_is_made_good_and_late_rows_join(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "lake")
+    for i in range(3):
+        lake.write_lake(events(spark, {"trans_num": f"a{i}", "trans_date_trans_time": "2024-01-01 02:00:00"}), path)
+    before = sorted(map(tuple, lake.read_lake(spark, path).collect()))
+    monkeypatch.setattr(lake, "remove", lambda *_: (_ for _ in ()).throw(OSError("died")))
+    with pytest.raises(OSError):
+        lake.merge_hours(spark, path, NOW)
+    monkeypatch.undo()
+    assert lake.read_lake(spark, path).count() == 6  # twice, until the next run
+    assert lake.merge_hours(spark, path, NOW) == 1
+    assert sorted(map(tuple, lake.read_lake(spark, path).collect())) == before
+    lake.write_lake(events(spark, {"trans_num": "late", "trans_date_trans_time": "2024-01-01 02:00:00"}), path)
+    assert lake.merge_hours(spark, path, NOW) == 1
+    assert lake.read_lake(spark, path).count() == 4 and len(batches(tmp_path / "lake")) == 1
 
 
 def test_messages_that_are_no_records(spark):
@@ -195,6 +256,16 @@ def test_header_of_other_names_is_refused(spark, tmp_path):
         csv_files.read_transactions(spark, str(tmp_path / "bad.csv"))
 
 
+def test_header_of_every_file_is_checked(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    write_csv(tmp_path / "in" / "a.csv", [TEMPLATE])
+    text = (tmp_path / "in" / "a.csv").read_text().replace("first,last", "last,first")
+    (tmp_path / "in" / "b.csv").write_text(text)
+    rows = csv_files.read_transactions(spark, str(tmp_path / "in"))
+    with pytest.raises(Exception, match="(?i)header"):
+        rows.select("first", "amt").collect()
+
+
 def test_newest_of_a_log_reads_newest_days_only(spark, tmp_path):
     log = str(tmp_path / "log")
     for day in range(1, 6):
@@ -214,12 +285,12 @@ def test_retention_deletes_only_expired_files(spark, tmp_path):
     path = str(tmp_path / "lake")
     lake.write_lake(events(spark, {}, {"trans_date_trans_time": "2019-01-01 05:00:00"}), path)
     old_dir = tmp_path / "lake" / "dt=2019-01-01" / "hour=05"
-    (old,) = old_dir.glob("*.parquet")
+    (old,) = old_dir.rglob("*.parquet")
     eight_days = NOW.timestamp() - 8 * 86400
     for f in (tmp_path / "lake").rglob("*.parquet"):
         os.utime(f, (NOW.timestamp(), NOW.timestamp()))
     os.utime(old, (eight_days, eight_days))
-    (old_dir / f".{old.name}.crc").unlink(missing_ok=True)
+    (old.parent / f".{old.name}.crc").unlink(missing_ok=True)
     assert lake.remove_expired(spark, path, NOW) == 1 and old.exists()  # dry run
     assert lake.remove_expired(spark, path, NOW, dry_run=False) == 1
     assert not old_dir.exists()

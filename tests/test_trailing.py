@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from helpers import by_id, transactions
 from txn_risk.operators import trailing
-from txn_risk.streaming.pipelines import read_replay, write_replay_files
+from txn_risk.streaming.pipelines import read_replay, without_repeats, write_replay_files
 from txn_risk.streaming.trailing_state import with_trailing_count as stream_count
 
 SCHEMA = "trans_num string, cc_num bigint, unix_time bigint"
@@ -159,17 +159,41 @@ def test_missing_unix_time_is_read_from_the_text(spark, changes):
     assert rows[1]["unix_time"] == 1623764700  # kept although it differs
 
 
-def test_repeats_go_and_nothing_else(spark, tmp_path):
-    from txn_risk.streaming.repeats_state import without_seen
+def _arrivals(spark, tmp_path, *batches):
+    stream = _batches(spark, tmp_path, *batches)
+    return without_repeats(stream, "1 day", arrived=F.timestamp_seconds("unix_time"))
 
-    stream = _batches(
+
+def test_repeats_go_and_nothing_else(spark, tmp_path):
+    day = 86_400
+    out = _run(_arrivals(
         spark, tmp_path,
-        [("bad", 1, None), ("a", 1, 10_000), ("a", 1, 10_000)],
-        [("b", 1, 500_000), ("a", 1, 10_000)],  # the repeat comes late, but is still held
-        [("c", 1, 20_000), ("bad", 1, None), ("b", 1, 500_000)],  # c is far behind, and new
+        [(None, 1, 10 * day), ("a", 1, 10 * day), ("a", 2, 10 * day)],
+        [("b", 1, 10 * day + 3600), ("a", 1, 10 * day + 3600), (None, 1, 10 * day + 3600)],
+        [("c", 1, 10 * day + 7200), ("b", 1, 10 * day + 7200)],
+    ), spark, tmp_path)
+    assert sorted(str(r["trans_num"]) for r in out.collect()) == ["None", "None", "a", "b", "c"]
+
+
+def test_repeats_by_the_clock_of_the_micro_batch(spark, tmp_path):
+    stream = _batches(spark, tmp_path, [("a", 1, 5), ("b", 1, None)], [("a", 1, 5), ("c", 1, 1)], [("b", 1, None)])
+    out = _run(without_repeats(stream, "1 day"), spark, tmp_path)
+    assert sorted(r["trans_num"] for r in out.collect()) == ["a", "b", "c"]
+
+
+def test_state_of_repeats_shrinks_as_time_moves_on(spark, tmp_path):
+    day = 86_400
+    stream = _arrivals(
+        spark, tmp_path, [(f"k{i}", 1, 10 * day) for i in range(500)], [("x", 1, 11 * day)], [("y", 1, 13 * day)],
+        [("z", 1, 16 * day)],
     )
-    out = _run(without_seen(stream, "trans_num", F.col("unix_time"), 86_400), spark, tmp_path)
-    assert sorted(r["trans_num"] for r in out.collect()) == ["a", "b", "bad", "bad", "c"]
+    query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "cp")
+    ).trigger(availableNow=True).start()
+    query.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["numInputRows"]]
+    assert held[:2] == [500, 501] and held[-1] <= 2
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 503
 
 
 def test_skewed_join_is_split(spark):

@@ -111,6 +111,12 @@ def scores(spark: SparkSession, a: Args) -> None:
     monitoring.display_table(rows).show(a.rows, truncate=False)
 
 
+def merge(spark: SparkSession, a: Args) -> None:
+    """Bring the small files of each closed hour of the lake together."""
+    ledger = f"{a.raw}_loaded_files" if a.raw else None
+    print(lake.merge_hours(spark, a.lake, _now() - dt.timedelta(hours=a.hours), ledger))
+
+
 def retain(spark: SparkSession, a: Args) -> None:
     """Delete lake files past their days; only counts them without --delete."""
     print(lake.remove_expired(spark, a.lake, _now(), a.days, dry_run=not a.delete))
@@ -149,6 +155,8 @@ def parser() -> argparse.ArgumentParser:
     job(score, model=need, scores=need, **stream)
     job(compact, scores=need, table=need)
     job(scores, scores=need, table=need, rows={"type": int, "default": 500})
+    job(merge, lake=need, raw={"help": "raw table whose load by --new-files must have taken them"},
+        hours={"type": int, "default": 1, "help": "since an hour ended"})
     job(retain, lake=need, days={"type": int, "default": 7}, delete={"action": "store_true"})
     return top
 

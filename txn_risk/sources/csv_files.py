@@ -33,13 +33,15 @@ from txn_risk.schemas import (
 
 def read_transactions(spark: SparkSession, *paths: str) -> DataFrame:
     """Files with a header and a leading row index, which is dropped. Several paths are one union
-    that keeps duplicates. A header of other names, or in another order, fails: columns go by place."""
+    that keeps duplicates. A header of other names, or in another order, fails: columns go by place. The
+    first file of each path is looked at here; the reader holds every file's header against the columns
+    that a query uses."""
     names = CSV_FILE.fieldNames()[1:]
     for path in paths:
         head = spark.read.option("header", False).csv(path).limit(1).first()
         if head is not None and list(head)[1:] != names:
             raise ValueError(f"the header of {path} is {list(head)[1:]}, not {names}")
-    rows = spark.read.schema(CSV_FILE).option("header", True).csv(list(paths))
+    rows = spark.read.schema(CSV_FILE).option("header", True).option("enforceSchema", False).csv(list(paths))
     return rows.drop(CSV_INDEX).select(*TRANSACTION.fieldNames())
 
 

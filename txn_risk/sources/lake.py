@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Iterator
+import uuid
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,10 +13,15 @@ from pyspark.sql import types as T
 from txn_risk.functions import parse_timestamp_lenient
 from txn_risk.operators.dedup import first_per_key
 from txn_risk.schemas import EVENT, RAW
-from txn_risk.session import settle
-from txn_risk.sources.partitions import files, folder_values, note, of_files, unread
+from txn_risk.session import discard, settle
+from txn_risk.sources.partitions import (
+    file_system, files, folder_values, note, of_files, remove, unread,
+)
 
 PARTITIONS = ("dt", "hour")
+# The level below the hour, one folder per write, and in merged files the write a row came with.
+BATCH = "batch"
+SOURCE = "_source"
 
 # Declared, so that "02" stays text and is not read back as a number.
 LAKE = T.StructType(
@@ -32,48 +38,64 @@ def with_partition_keys(rows: DataFrame) -> DataFrame:
 
 
 def write_lake(rows: DataFrame, path: str) -> None:
-    """Append as Snappy Parquet under ``dt=…/hour=…``.
+    """Append as Snappy Parquet under ``dt=…/hour=…/batch=…``, as a batch of its own name."""
+    write_batch(with_partition_keys(rows), path, uuid.uuid4().hex)
+
+
+def write_batch(keyed: DataFrame, path: str, batch: str) -> None:
+    """Write rows with their ``dt`` and ``hour`` as one batch, once however often it is repeated: the folders
+    of a batch of the same name are replaced by the writer's commit, and no others.
 
     Rows are first brought together by hour, so an hour gets few files instead of one per task.
     The rebalance splits an hour that outgrows the advisory partition size over several tasks and
     merges small ones, so one busy hour is not one task.
     """
     (
-        with_partition_keys(rows).hint("rebalance", *PARTITIONS)
-        .write.mode("append").partitionBy(*PARTITIONS).option("compression", "snappy")
-        .parquet(path)
+        keyed.select(*EVENT.fieldNames(), *PARTITIONS).withColumn(BATCH, F.lit(batch)).hint("rebalance", *PARTITIONS)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS, BATCH)
+        .option("compression", "snappy").parquet(path)
     )
 
 
-def write_batch(rows: DataFrame, path: str, batch: str) -> None:
-    """Write a micro-batch into the plain ``dt=…/hour=…`` folders, once however often it is repeated.
+def merge_hours(spark: SparkSession, path: str, closed_before: dt.datetime, ledger: str | None = None) -> int:
+    """Bring the batches of each closed hour together into one; returns the number of hours merged.
 
-    The files are written aside, then moved under names that begin with ``batch``; those that an
-    earlier attempt moved are replaced. A listing of the folders is the truth: batch appends,
-    retention and readers need no log. The driver moves the files of one batch, about one per hour
-    touched.
+    An hour counts if it ended before ``closed_before`` and has several files, and with the ``ledger`` of a
+    load only if all of them are in it; the merged files are entered there, so they are not loaded again.
+    Merged rows carry the batch they came from. A run that dies between writing and removing leaves rows
+    twice in the lake, never fewer (staging keeps one of each); the next run leaves out what was merged.
     """
-    spark = rows.sparkSession
-    aside = f"{path}/_incoming/{batch}"
-    (
-        with_partition_keys(rows).select(*EVENT.fieldNames(), *PARTITIONS).hint("rebalance", *PARTITIONS)
-        .write.mode("overwrite").partitionBy(*PARTITIONS).option("compression", "snappy").parquet(aside)
-    )
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    root = hadoop(aside)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for day in [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]:
-        for hour in [s.getPath() for s in fs.listStatus(day)]:
-            target = hadoop(f"{path}/{day.getName()}/{hour.getName()}")
-            fs.mkdirs(target)
-            for old in fs.listStatus(target):
-                if old.getPath().getName().startswith(f"{batch}-"):
-                    fs.delete(old.getPath(), False)
-            new = [s.getPath() for s in fs.listStatus(hour) if s.getPath().getName().endswith(".parquet")]
-            for i, file in enumerate(new):
-                if not fs.rename(file, hadoop(f"{target.toString()}/{batch}-{i:05d}.parquet")):
-                    raise OSError(f"{file.toString()} could not be moved into {target.toString()}")
-    fs.delete(root, True)
+    listed = files(spark, path).withColumns({
+        c: F.regexp_extract("path", f"/{c}=([^/]+)/", 1) for c in (*PARTITIONS, BATCH)
+    })
+    ends = F.try_to_timestamp(F.concat_ws(" ", *PARTITIONS), F.lit("yyyy-MM-dd HH")) + F.expr("INTERVAL 1 HOUR")
+    listed = settle(listed.where((ends <= F.lit(closed_before)) & (F.col(BATCH) != "")), "closed-files")
+    hours = listed.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    if ledger is not None:
+        hours = hours.join(unread(listed.select("path", "modified_at", "length", *PARTITIONS), ledger), [*PARTITIONS], "left_anti")
+    hours = settle(hours, "closed-hours")
+    days = sorted(r.dt for r in hours.select("dt").distinct().collect())
+    n_hours = hours.count()
+    if n_hours:
+        schema = T.StructType(LAKE.fields + [T.StructField(c, T.StringType(), True) for c in (SOURCE, BATCH)])
+        rows = spark.read.schema(schema).parquet(path).where(F.col("dt").isin(days)).join(
+            hours, [*PARTITIONS], "left_semi"
+        )
+        merged_before = rows.where(F.col(SOURCE).isNotNull()).select(*PARTITIONS, F.col(SOURCE).alias(BATCH)).distinct()
+        own = rows.join(merged_before, [*PARTITIONS, BATCH], "left_anti")
+        name = f"merged-{uuid.uuid4().hex}"
+        (
+            own.withColumn(SOURCE, F.coalesce(SOURCE, BATCH)).withColumn(BATCH, F.lit(name))
+            .select(*EVENT.fieldNames(), SOURCE, *PARTITIONS, BATCH).hint("rebalance", *PARTITIONS)
+            .write.mode("append").partitionBy(*PARTITIONS, BATCH).option("compression", "snappy").parquet(path)
+        )
+        if ledger is not None:
+            note(files(spark, path).where(F.col("path").contains(f"/{BATCH}={name}/")), ledger)
+        # Names of folders stream to the driver, which alone can call the file system.
+        for old in listed.join(hours, [*PARTITIONS], "left_semi").select(*PARTITIONS, BATCH).distinct().toLocalIterator():
+            remove(spark, f"{path}/dt={old.dt}/hour={old.hour}/{BATCH}={old.batch}")
+    discard(listed, hours)
+    return n_hours
 
 
 def read_lake(
@@ -89,6 +111,7 @@ def read_lake(
         .option("ignoreCorruptFiles", skip_unreadable)
         .parquet(path)
     )
+    rows = rows.select(*LAKE.fieldNames()) if BATCH in rows.columns else rows
     if start is not None:
         rows = rows.where(F.col("dt") >= start)
     if end is not None:
@@ -223,21 +246,30 @@ def remove_expired(
 ) -> int:
     """Delete exactly the expired files and directories left empty; returns the number of files.
 
-    File names stream to the driver one partition at a time, since only it can call the file
-    system; the data is not read.
+    The folder of a batch whose files have all expired goes in one call. Names stream to the driver one
+    partition at a time, since only it can call the file system; the data is not read.
     """
+    cutoff = now - dt.timedelta(days=keep_days)
+    old = F.col("modified_at") < F.lit(cutoff)
+    folders = lake_files(spark, path).groupBy(F.regexp_replace("path", "/[^/]+$", "").alias("folder")).agg(
+        F.count_if(old).alias("n_old"), F.count_if(~old).alias("n_kept"),
+        F.collect_list(F.when(old, F.col("path"))).alias("files"),  # of one folder, hence of one write
+    ).where("n_old > 0")
     removed = 0
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    top = fs.makeQualified(root)
-    expired: Iterable = expired_files(spark, path, now, keep_days).select("path").toLocalIterator()
-    for row in expired:
-        removed += 1
+    fs, top = file_system(spark, path)
+    top = fs.makeQualified(top)
+    for row in folders.toLocalIterator():
+        removed += row.n_old
         if dry_run:
             continue
-        file = spark._jvm.org.apache.hadoop.fs.Path(row["path"])
-        fs.delete(file, False)
-        folder = file.getParent()
+        # Listed paths are URIs.
+        folder = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row.folder))
+        if f"/{BATCH}=" in row.folder and not row.n_kept:
+            fs.delete(folder, True)
+            folder = folder.getParent()
+        else:
+            for file in row.files:
+                fs.delete(spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file)), False)
         while not folder.equals(top) and not fs.listStatus(folder):
             parent = folder.getParent()
             fs.delete(folder, False)

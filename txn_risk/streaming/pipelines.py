@@ -5,9 +5,8 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.ml.base import Model
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -22,10 +21,9 @@ from txn_risk.plans.features import (
     with_defaults,
 )
 from txn_risk.plans.training import score_column, time_prefix
-from txn_risk.schemas import ALERT_THRESHOLD, BLOCK_THRESHOLD, EVENT, TIMESTAMP_TEXT
-from txn_risk.sources.lake import write_batch
+from txn_risk.schemas import ALERT_THRESHOLD, BLOCK_THRESHOLD, EVENT
+from txn_risk.sources.lake import with_partition_keys, write_batch
 from txn_risk.sources.score_store import append_scores
-from txn_risk.streaming.repeats_state import without_seen
 from txn_risk.streaming.trailing_state import with_trailing_count
 
 # The topic's options hold the flush rule; a micro-batch may start as soon as they allow.
@@ -69,16 +67,22 @@ def read_replay(
     )
 
 
-def without_repeats(stream: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Drop repeats of a ``trans_num`` whose first copy came with an event time at most ``delay``
-    before the newest seen.
+def without_repeats(
+    stream: DataFrame, delay: str = "1 day", key: str = "trans_num", arrived: Column | None = None,
+) -> DataFrame:
+    """Drop a row whose ``key`` has arrived before, at most ``delay`` earlier.
 
-    Optional, since the score table and staging resolve repeats by key anyway. No transaction is ever
-    lost: one without a readable time, or later than ``delay``, passes (and so may a repeat of it).
+    Optional, since the score table and staging resolve repeats by key anyway. The engine's own operator
+    keeps one state row per key and lets it expire. Its clock is the time of arrival (that of the micro-batch,
+    unless a column ``arrived`` has it), so nothing is ever behind it: a transaction passes however late its
+    event is and whether its time can be read or not. A repeat passes if it arrives later than ``delay``, or
+    without a key. The state holds the keys of twice ``delay`` at most.
     """
-    at = F.try_to_timestamp("trans_date_trans_time", F.lit(TIMESTAMP_TEXT))
-    seconds = int(pd.Timedelta(delay).total_seconds())
-    return without_seen(stream, "trans_num", F.unix_timestamp(at), seconds)
+    timed = stream.withColumns({
+        "_arrived": F.current_timestamp() if arrived is None else arrived,
+        "_key": F.coalesce(F.col(key).cast("string"), F.expr("uuid()")),
+    })
+    return timed.withWatermark("_arrived", delay).dropDuplicatesWithinWatermark(["_key"]).drop("_arrived", "_key")
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, interval: str | None) -> StreamingQuery:
@@ -95,9 +99,10 @@ def ingest_to_lake(
 ) -> StreamingQuery:
     """Transactions to the date/hour lake, once per checkpoint.
 
-    A micro-batch that runs again after a failure replaces its own files, so the lake needs no log of
-    the sink: batch appends are seen, and expired files may go. A repeat sent by the producer is still
-    a second record, which staging removes. Rows with a ``_corrupt`` text (see
+    The hour of a row without a readable time is that of its micro-batch, which the checkpoint keeps: a
+    micro-batch that runs again after a failure has the same rows in the same hours, and replaces its own
+    folders, so the lake needs no log of the sink. Batch appends are seen, and expired files may go. A repeat
+    sent by the producer is still a second record, which staging removes. Rows with a ``_corrupt`` text (see
     :func:`txn_risk.sources.topic.decode`) go to ``rejects`` as JSON lines, or fail the query if that
     is not given: none is dropped.
     """
@@ -105,7 +110,6 @@ def ingest_to_lake(
     routed = "_corrupt" in stream.columns
 
     def put(rows: DataFrame, number: int) -> None:
-        rows = rows.persist() if routed else rows
         good = rows.where("_corrupt is null").drop("_corrupt") if routed else rows
         if routed:
             bad = rows.where("_corrupt is not null").select(F.col("_corrupt").alias("message"))
@@ -114,10 +118,8 @@ def ingest_to_lake(
             elif not bad.isEmpty():
                 raise ValueError("messages that are no records, and no folder for rejects")
         write_batch(good, path, f"{query}-{number}")
-        if routed:
-            rows.unpersist()
 
-    return _start(stream.writeStream.foreachBatch(put), checkpoint, interval)
+    return _start(with_partition_keys(stream).writeStream.foreachBatch(put), checkpoint, interval)
 
 
 def stop_after(query: StreamingQuery, messages: int | None) -> None:

@@ -556,6 +556,7 @@ def oracle_sql() -> dict[str, str]:
     q["stream_freq_24h"] = q["txn_freq_24h"]
     q["stream_dedup"] = with_(RAW, "SELECT trans_num, cc_num, amt FROM raw")
     q["stream_lake"] = q["lake_roundtrip"]
+    q["lake_merged"] = f"SELECT *, TRUE AS as_told FROM ({q['lake_roundtrip']}) AS merged"
     q["stream_features"] = q["feature_matrix"]
     q["stream_scores"] = with_(RAW, "SELECT trans_num, TRUE AS same FROM raw")
     q["lake_retention"] = with_(RAW, """
