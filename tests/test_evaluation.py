@@ -9,8 +9,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from txn_risk.operators.folds import stratified_folds
-from txn_risk.operators.ordering import quantiles
-from txn_risk.plans import evaluation as ev
+from txn_risk.operators.ordering import distribution, quantiles
+from txn_risk.plans import evaluation as ev, profiling
 
 SCHEMA = "score double, label bigint"
 
@@ -174,3 +174,58 @@ def test_infinite_scores_are_ends_of_the_order(spark):
     same = ev.ranking_metrics(spark.createDataFrame(
         [(finite.get(s, s), y) for s, y in rows], "score double, label int")).first()
     assert got["roc_auc"] == same["roc_auc"] and got["average_precision"] == same["average_precision"]
+
+
+def _nodes(df):
+    """Lines of the plan that ran, without what is only an earlier version of it."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("== Initial Plan ==")[0].splitlines()
+
+
+@pytest.fixture
+def stored_scores(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(round(rng.random() ** 3, 4), int(rng.random() < 0.1), round(rng.gauss(50, 20), 2)) for _ in range(3000)]
+    path = str(tmp_path / "scores")
+    spark.createDataFrame(rows, "score double, label int, amt double").withColumn(
+        "is_fraud", F.col("label").cast("bigint")).repartition(3).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("query", [
+    lambda df: ev.ranking_metrics(df), lambda df: ev.precision_recall_curve(df),
+    lambda df: profiling.amount_summary(df), lambda df: profiling.amount_box(df),
+    lambda df: distribution(df, "amt", {"m": 0.5}, ["is_fraud"], deviation=True),
+])
+def test_one_scan_and_no_job_before_the_query_runs(spark, stored_scores, query):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    planned = query(stored_scores)
+    assert list(tracker.getJobIdsForGroup("planning")) == []
+    spark.sparkContext.setJobGroup("running", "running")
+    planned.collect()
+    assert sum("FileScan parquet" in line for line in _nodes(planned)) == 1
+
+
+def test_distribution_equals_plain_aggregates(spark, stored_scores):
+    points = {"q1": 0.25, "m": 0.5, "q9": 0.9}
+    got = distribution(stored_scores, "amt", points, ["is_fraud"], deviation=True).orderBy("is_fraud").collect()
+    want = stored_scores.groupBy("is_fraud").agg(
+        F.count("amt"), F.avg("amt"), F.min("amt"), F.max("amt"), F.percentile("amt", 0.25), F.percentile("amt", 0.5),
+        F.percentile("amt", 0.9), F.stddev_samp("amt"),
+    ).orderBy("is_fraud").collect()
+    for a, b in zip(got, want, strict=True):
+        assert tuple(a) == pytest.approx(tuple(b))
+
+
+def test_pieces_of_the_order(spark):
+    """Every piece number is used once values are many, and they rise with the value."""
+    from txn_risk.operators import ordering
+
+    rows = [(float(i),) for i in range(5000)] + [(float("inf"),), (float("-inf"),), (float("nan"),)]
+    counted = ordering.counted_values(spark.createDataFrame(rows, "v double"), "v")
+    pieces = ordering._with_pieces(counted, "_value", ["n"], []).orderBy("_value").collect()
+    numbers = [r["_piece"] for r in pieces]
+    assert numbers == sorted(numbers) and len(set(numbers)) > 900 and pieces[0]["all_n"] == 5003
+    totals = ordering.running_totals(counted, "_value", ["n"]).orderBy("_value").collect()
+    assert [r["before_n"] for r in totals] == list(range(5003))

@@ -12,7 +12,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from txn_risk.functions import ratio
-from txn_risk.operators.ordering import running_totals, split_points
+from txn_risk.operators.ordering import running_totals
 from txn_risk.schemas import COST_FALSE_ALARM, COST_MISSED_FRAUD
 
 # 99 evenly spaced thresholds. They differ from k / 100 in the last bit for some k.
@@ -123,11 +123,10 @@ def ranked_scores(
     rows = scored.where(F.col(score).isNotNull()).select(
         *by, F.col(score).cast("double").alias("_score"), F.col(label).alias("_label")
     )
-    splits = split_points(rows, "_score")
     tied = rows.groupBy(*by, F.col("_score").alias("score")).agg(
         F.count_if(F.col("_label") == 1).alias("p"), F.count_if(F.col("_label") == 0).alias("n")
     )
-    return running_totals(tied, "score", ["p", "n"], splits, by, descending=True)
+    return running_totals(tied, "score", ["p", "n"], by, descending=True)
 
 
 def precision_recall_curve(

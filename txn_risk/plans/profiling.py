@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from txn_risk.functions import exact_avg, haversine_km, parse_timestamp, ratio
 from txn_risk.operators.histogram import histogram
-from txn_risk.operators.ordering import quantiles
+from txn_risk.operators.ordering import distribution
 
 
 def _fraud() -> Column:
@@ -71,14 +71,7 @@ def distinct_entities(
 
 def _summary(rows: DataFrame, value: str, points: Mapping[str, float]) -> DataFrame:
     """Mean, maximum and the named quantiles of a two-decimal value per class."""
-    edges = rows.groupBy("is_fraud").agg(
-        exact_avg(F.col(value)).alias("mean"), F.max(value).alias("max")
-    )
-    ranked = quantiles(rows, value, list(points.values()), ["is_fraud"])
-    named = ranked.groupBy("is_fraud").agg(*[
-        F.max(F.when(F.col("quantile") == p, F.col("value"))).alias(n) for n, p in points.items()
-    ])
-    return edges.join(named, "is_fraud").select("is_fraud", "mean", *points, "max")
+    return distribution(rows, value, points, ["is_fraud"]).select("is_fraud", "mean", *points, "max")
 
 
 def amount_summary(rows: DataFrame) -> DataFrame:
@@ -93,13 +86,10 @@ def distance_summary(rows: DataFrame) -> DataFrame:
 
 def distance_describe(rows: DataFrame) -> DataFrame:
     """Count, mean, deviation, minimum, quartiles and maximum of distance per class."""
-    measured = with_distance(rows)
-    spread = measured.groupBy("is_fraud").agg(
-        F.count("distance_km").alias("n"), F.stddev_samp("distance_km").alias("std"),
-        F.min("distance_km").alias("min"),
+    quartiles = {"p25": 0.25, "median": 0.5, "p75": 0.75}
+    return distribution(with_distance(rows), "distance_km", quartiles, ["is_fraud"], deviation=True).select(
+        "is_fraud", "n", "std", "min", "mean", *quartiles, "max"
     )
-    summary = _summary(measured, "distance_km", {"p25": 0.25, "median": 0.5, "p75": 0.75})
-    return spread.join(summary, "is_fraud")
 
 
 def _rates(rows: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -159,7 +149,5 @@ def distance_histogram(rows: DataFrame, width: float = 5.0) -> DataFrame:
 
 def amount_box(rows: DataFrame) -> DataFrame:
     """Box-plot figures of the amount per class."""
-    edges = rows.groupBy("is_fraud").agg(F.min("amt").alias("min"))
-    return edges.join(
-        _summary(rows, "amt", {"q1": 0.25, "median": 0.5, "q3": 0.75}), "is_fraud"
-    )
+    quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    return distribution(rows, "amt", quartiles, ["is_fraud"]).select("is_fraud", "min", "mean", *quartiles, "max")

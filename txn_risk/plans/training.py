@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from txn_risk.functions import ratio
 from txn_risk.operators.folds import stratified_folds
-from txn_risk.operators.ordering import running_totals, split_points
+from txn_risk.operators.ordering import running_totals
 from txn_risk.plans.evaluation import (
     cheapest,
     cost_sweep,
@@ -54,7 +54,7 @@ def time_prefix(rows: DataFrame, n: int | None) -> DataFrame:
     at = F.unix_timestamp(F.try_to_timestamp("trans_date_trans_time", F.lit(TIMESTAMP_TEXT)))
     timed = rows.withColumn("_second", F.coalesce(at.cast("double"), F.lit(float("inf"))))
     per_second = timed.groupBy("_second").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(per_second, "_second", ["n"], split_points(timed, "_second"))
+    ranked = running_totals(per_second, "_second", ["n"])
     last = ranked.where(
         (F.col("before_n") < n) & (F.col("before_n") + F.col("n") >= n)
     ).select("_second", "before_n").first()
