@@ -124,7 +124,8 @@ def test_save_load_and_score(spark, trained, split, tmp_path):
     store.save_trained(trained, str(tmp_path))
     model, fitted, threshold = store.load_model(spark, str(tmp_path))
     assert threshold == trained.threshold
-    assert "| Model | PR-AUC |" in store.report(trained)
+    text = store.report(trained.card.first())
+    assert "| mean_pr_auc |" in text and trained.name in text and "cost_savings_pct" in text
     assert spark.read.text(str(tmp_path / "report")).count() > 10
 
     test = split[1].withColumn("produced_at", F.lit(None).cast("string"))
@@ -146,6 +147,38 @@ def test_save_load_and_score(spark, trained, split, tmp_path):
     assert log.where("latency_ms IS NULL").count() == 0
 
 
+def test_gradient_vanishes_only_at_the_optimum(split):
+    frame = training.training_frame(batch_features(split[1], Baseline.fit(split[0]))).cache()
+    n = frame.count()
+    best = training.candidates(n, names=[training.LOGISTIC])[training.LOGISTIC].fit(frame)
+    early = training.candidates(n, training.Settings(iterations=2), [training.LOGISTIC])[training.LOGISTIC].fit(frame)
+    largest = [max(abs(r.gradient) for r in training.penalised_gradient(m, frame).collect()) for m in (best, early)]
+    assert largest[0] < 1e-3 < 1e-2 < largest[1]
+    frame.unpersist()
+
+
+def test_run_summary_counts_each_micro_batch_once(spark, tmp_path):
+    from txn_risk.streaming.run_summary import METRICS, RunSummary
+
+    class Event:
+        def __init__(self, number, n):
+            from types import SimpleNamespace
+
+            row = {"processed": n, "flagged": 1, "timed": n, "latency_ms": 2.0 * n, "slowest_ms": 3.0}
+            self.progress = SimpleNamespace(
+                id="q", batchId=number, observedMetrics={METRICS: row}, durationMs={"triggerExecution": 500})
+
+    class Query:
+        id = "q"
+
+    summary = RunSummary()
+    for number in [*range(250), 249]:  # the last runs again
+        summary.onQueryProgress(Event(number, 4))
+    got = summary.totals(Query)
+    assert (got.processed, got.flagged, got.avg_latency_ms, got.slowest_ms) == (1000, 250, 2.0, 3.0)
+    assert got.rows_per_second == 8.0 and len(summary._open["q"]) == 100
+
+
 def test_what_if(spark, trained):
     rows = transactions(spark, {"cc_num": 999111222, "amt": 850.0})
     row = training.what_if(trained.model, trained.baseline, rows, trained.threshold).first()

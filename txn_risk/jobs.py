@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from txn_risk.plans import monitoring, profiling, training, warehouse
 from txn_risk.session import build_session
 from txn_risk.sources import csv_files, lake, models, score_store, topic
-from txn_risk.streaming import pipelines
+from txn_risk.streaming import pipelines, run_summary
 
 Args = argparse.Namespace
 
@@ -78,7 +78,7 @@ def train(spark: SparkSession, a: Args) -> None:
         csv_files.read_transactions(spark, a.train), csv_files.read_transactions(spark, a.test),
         a.sample,
     )
-    print(models.report(trained))
+    print(models.report(trained.card.first()))
     champion = models.read_card(spark, a.champion) if a.champion else None
     if not training.promotion_gate(trained.card, champion=champion):
         raise SystemExit("below the promotion gate, not saved")
@@ -92,8 +92,14 @@ def score(spark: SparkSession, a: Args) -> None:
     records = pipelines.scored_stream(
         topic.well_formed(_messages(spark, a, "latest")), model, baseline, threshold
     )
-    pipelines.stop_after(
-        pipelines.write_scores(records, a.scores, a.checkpoint, a.interval), a.max_messages
+    summary = run_summary.RunSummary()
+    spark.streams.addListener(summary)
+    query = pipelines.write_scores(run_summary.observed(records), a.scores, a.checkpoint, a.interval)
+    pipelines.stop_after(query, a.max_messages)
+    done = summary.totals(query)
+    print(
+        f"processed {done.processed}, flagged {done.flagged} ({done.flagged_pct:.2f} %), "
+        f"latency {done.avg_latency_ms:.1f} ms, {done.rows_per_second:.0f} rows a second"
     )
 
 

@@ -232,6 +232,32 @@ def feature_importance(model: Model) -> list[tuple[str, float]]:
     return sorted(pairs, key=lambda p: (-p[1], p[0]))
 
 
+def penalised_gradient(model: PipelineModel, frame: DataFrame, weight: str = "w_balanced") -> DataFrame:
+    """``(feature, gradient)`` of the logistic model's own objective at its weights, the intercept included.
+
+    The objective is the weighted mean loss plus half the penalty times the squared coefficients of the scaled
+    features. It is convex: a gradient of 0 says that no other weights are better, whoever found them. One
+    pass over the training rows.
+    """
+    fitted = model.stages[-1]
+    rows = model.transform(frame).select(
+        vector_to_array("scaled").alias("x"),
+        (F.col(weight) * (vector_to_array("probability")[1] - F.col("label"))).alias("r"), F.col(weight).alias("w"),
+    )
+    sums = rows.agg(
+        F.sum("w").alias("w"), F.sum("r").alias("r"),
+        *[F.sum(F.col("r") * F.col("x")[i]).alias(f"g{i}") for i in range(len(FEATURES))],
+    )
+    penalty = fitted.getRegParam()
+    cells = [F.struct(F.lit("intercept").alias("feature"), (F.col("r") / F.col("w")).alias("gradient"))]
+    cells += [
+        F.struct(F.lit(n).alias("feature"), (F.col(f"g{i}") / F.col("w") + F.lit(penalty * float(b))).alias("gradient"))
+        for i, (n, b) in enumerate(zip(FEATURES, fitted.coefficients.toArray(), strict=True))
+    ]
+    return sums.select(F.inline(F.array(*cells)))
+
+
+# The names and nesting of the model card.
 CARD = T.StructType([
     T.StructField("model_name", T.StringType()),
     T.StructField("trained_at", T.StringType()),
@@ -265,6 +291,7 @@ class Trained:
     model: Model
     baseline: Baseline
     threshold: float
+    per_fold: DataFrame
     cv: DataFrame
     holdout: DataFrame
     ranking: DataFrame
@@ -293,7 +320,8 @@ def train(
     def models(rows: int) -> dict[str, Estimator]:
         return candidates(rows, settings, names)
 
-    cv = settle(cv_summary(cross_validate(frame, models, folds=folds)), "cv")
+    per_fold = settle(cross_validate(frame, models, folds=folds), "per-fold")
+    cv = settle(cv_summary(per_fold), "cv")
     name = select_model(cv)
     model = models(frame.count())[name].fit(frame)
 
@@ -308,7 +336,7 @@ def train(
     holdout = holdout_comparison(test_scored, threshold)
     importance = feature_importance(model)
     card = model_card(spark, name, threshold, cv, holdout, ranking, importance)
-    return Trained(name, model, kept, threshold, cv, holdout, ranking, importance, card)
+    return Trained(name, model, kept, threshold, per_fold, cv, holdout, ranking, importance, card)
 
 
 def model_card(

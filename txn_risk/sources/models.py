@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Model
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from txn_risk.plans.features import Baseline
 from txn_risk.plans.training import CARD, Trained
@@ -20,7 +22,7 @@ def save_trained(trained: Trained, path: str) -> None:
     trained.baseline.save(f"{path}/baseline")
     trained.card.write.mode("overwrite").json(f"{path}/card")
     spark = trained.card.sparkSession
-    lines = spark.createDataFrame([(report(trained),)], "value string")
+    lines = spark.createDataFrame([(report(trained.card.first()),)], "value string")
     lines.coalesce(1).write.mode("overwrite").text(f"{path}/report")
 
 
@@ -38,32 +40,26 @@ def read_card(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CARD).json(f"{path}/card")
 
 
-def report(trained: Trained) -> str:
-    """Markdown tables: cross-validation, hold-out at both thresholds, top ten features."""
-    out = [
-        "# Model evaluation", "",
-        f"Selected model: {trained.name}", f"Decision threshold: {trained.threshold:.4f}", "",
-        "| Model | PR-AUC | ROC-AUC | Cost per fold | Seconds |", "|---|---|---|---|---|",
-    ]
-    for r in trained.cv.orderBy("model").collect():
-        out.append(
-            f"| {r['model']} | {r['mean_pr_auc']:.4f} ± {r['std_pr_auc']:.4f} "
-            f"| {r['mean_roc_auc'] or 0:.4f} | ${r['mean_cost_per_fold']:,.0f} "
-            f"| {r['training_time_sec']:.1f} |"
-        )
-    out += [
-        "", "| Threshold | Recall | Precision | F1 | Missed | False alarms | Cost | Saving |",
-        "|---|---|---|---|---|---|---|---|",
-    ]
-    for r in trained.holdout.orderBy("threshold").collect():
-        out.append(
-            f"| {r['threshold']:.2f} | {r['recall']:.2%} | {r['precision']:.2%} | {r['f1']:.4f} "
-            f"| {r['fn']:,} | {r['fp']:,} | ${r['total_cost']:,.2f} "
-            f"| ${r['cost_savings']:,.2f} ({r['cost_savings_pct']:.1f}%) |"
-        )
-    out += ["", "| Rank | Feature | Importance |", "|---|---|---|"]
-    out += [
-        f"| {i} | {name} | {weight:.4f} |"
-        for i, (name, weight) in enumerate(trained.importance[:10], start=1)
-    ]
+def _table(rows: Sequence[Sequence[object]]) -> list[str]:
+    """Markdown of a table whose first row is its header."""
+    def line(cells: Iterable[object]) -> str:
+        return "| " + " | ".join("–" if c is None else f"{c:g}" if isinstance(c, float) else str(c) for c in cells) + " |"
+
+    return [line(rows[0]), line(["---"] * len(rows[0])), *map(line, rows[1:]), ""]
+
+
+def report(card: Row) -> str:
+    """The model card as text: every field of it, by the card's own names."""
+    plain = [(k, v) for k, v in card.asDict().items() if not isinstance(v, (dict, list, Row))]
+    out = [f"# {card['model_name']}", "", *_table([("field", "value"), *plain])]
+    for name, value in card.asDict().items():
+        if isinstance(value, Row):
+            out += [f"## {name}", "", *_table([("field", "value"), *value.asDict().items()])]
+        elif isinstance(value, dict):
+            models = sorted(value)
+            fields = value[models[0]].asDict() if models else {}
+            rows = [(f, *(value[m][f] for m in models)) for f in fields]
+            out += [f"## {name}", "", *_table([("field", *models), *rows])]
+        elif isinstance(value, list):
+            out += [f"## {name}", "", ", ".join(value), ""]
     return "\n".join(out)

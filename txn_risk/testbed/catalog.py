@@ -31,8 +31,8 @@ from txn_risk.plans.features import Baseline, assembler, batch_features, with_de
 from txn_risk.plans.staging import clean, stage
 from txn_risk.schemas import CSV_FILE, EVENT, FEATURES, SCORE, TIMESTAMP_TEXT, TRANSACTION
 from txn_risk.session import scratch_path, settle
-from txn_risk.sources import csv_files, lake, score_store, topic
-from txn_risk.streaming import pipelines
+from txn_risk.sources import csv_files, lake, models, score_store, topic
+from txn_risk.streaming import pipelines, run_summary
 from txn_risk.testbed.adapter import as_transactions, raw_transactions, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -682,6 +682,103 @@ def ml_logistic_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training.cv_summary(training.cross_validate(frame, models)).drop("training_time_sec")
 
 
+@query
+def ml_logistic_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At the returned weights the penalised loss of the training days has no slope in any direction."""
+    raw = early(raw_transactions(spark, sf_dir))
+    frame = settle(training.training_frame(settle(batch_features(raw, Baseline.fit(raw)), "features")), "frame")
+    model = training.candidates(frame.count(), names=[training.LOGISTIC])[training.LOGISTIC].fit(frame)
+    return training.penalised_gradient(model, frame).select(
+        "feature", (F.abs("gradient") < 1e-3).alias("at_optimum")
+    )
+
+
+# Small models: the entry asks what holds whatever the size.
+_SMALL = training.Settings(iterations=50, trees=8, tree_depth=5, leaf_rows=5, rounds=4, boost_depth=3)
+
+
+@query
+def ml_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One training run over three models: what must hold of its comparison, choice, card, gate and files."""
+    raw = raw_transactions(spark, sf_dir)
+    late = raw.where(F.col("trans_date_trans_time") >= CUT)
+    trained = training.train(early(raw), late, settings=_SMALL, folds=2)
+    fitted, card = trained.baseline, trained.card.first()
+    frame = settle(training.training_frame(batch_features(early(raw), fitted)), "frame")
+    summary = {r["model"]: r for r in trained.cv.collect()}
+    folds: dict[str, list[float]] = {}
+    for r in trained.per_fold.collect():
+        folds.setdefault(r["model"], []).append(r["average_precision"])
+    share = frame.agg(F.avg("label")).first()[0]
+    trees = training.candidates(frame.count(), _SMALL, [training.FOREST, training.BOOSTED])
+    made = {n: e.fit(frame) for n, e in trees.items()}
+    forest, boosted = made[training.FOREST], made[training.BOOSTED]
+    loss = boosted.evaluateEachIteration(frame)
+
+    path = scratch_path(spark, "model")
+    models.save_trained(trained, path)
+    again, baseline_again, threshold = models.load_model(spark, path)
+    hypothetical = settle(late.orderBy("trans_num").limit(200), "hypothetical")
+    asked = training.what_if(trained.model, fitted, hypothetical, trained.threshold)
+    known = training.score_column(again, assembler().transform(
+        batch_features(hypothetical, baseline_again, keep=("trans_num",))
+    )).select("trans_num", F.col("score").alias("known"))
+    differing = asked.join(known, "trans_num", "full").where("not (abs(score - known) < 1e-9)").count()
+    ranked = trained.importance
+    precise = trained.ranking.first()["average_precision"]
+
+    def mean(values: list[float]) -> float:
+        return sum(values) / len(values)
+
+    def deviation(values: list[float]) -> float:
+        return mean([(v - mean(values)) ** 2 for v in values]) ** 0.5
+
+    holds = {
+        "ML3 forest has its trees, none deeper": forest.getNumTrees == 8 and max(t.depth for t in forest.trees) <= 5,
+        "ML3 forest weights sum to one": abs(sum(forest.featureImportances.toArray()) - 1) < 1e-9,
+        "ML4 boosting lowers the loss": all(a >= b for a, b in zip(loss, loss[1:])),
+        "ML4 boosting has its rounds": len(boosted.trees) == 4 and max(t.depth for t in boosted.trees) <= 3,
+        "ML2-4 every model beats no skill": all(min(v) > share for v in folds.values()),
+        "ML13 mean and deviation over folds": all(
+            abs(summary[m]["mean_pr_auc"] - mean(v)) < 1e-9 and abs(summary[m]["std_pr_auc"] - deviation(v)) < 1e-9
+            and len(v) == 2 for m, v in folds.items()
+        ) and len(folds) == 3,
+        "ML14 highest mean is chosen": trained.name == max(
+            card["cv_results"], key=lambda m: (card["cv_results"][m]["mean_pr_auc"], [-ord(c) for c in m])
+        ),
+        "ML17 features by falling weight": [w for _, w in ranked] == sorted((w for _, w in ranked), reverse=True)
+        and sorted(n for n, _ in ranked) == sorted(FEATURES),
+        "T5 ten leading features": card["top_features"] == [n for n, _ in ranked[:10]],
+        "ML19 gate at the floor": training.promotion_gate(trained.card, floor=round(precise, 4))
+        and not training.promotion_gate(trained.card, floor=precise + 0.001),
+        "ML19 no gate for an equal champion": not training.promotion_gate(trained.card, 0.0, trained.card),
+        "ML20 made-up rows score like known ones": differing == 0 and asked.count() == 200,
+        "S19 card reads back": models.read_card(spark, path).first() == card,
+        "S19 report names every model": all(m in models.report(card) for m in card["cv_results"]),
+        "S20 threshold reads back": threshold == trained.threshold,
+    }
+    return spark.createDataFrame([(k, bool(v)) for k, v in holds.items()], "invariant string, holds boolean")
+
+
+@query
+def raw_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loaded raw table keeps its declared fields; tables that lack or mistype some are told."""
+    path, raw_path = scratch_path(spark, "lake"), scratch_path(spark, "raw")
+    lake.write_lake(_events(raw_transactions(spark, sf_dir)), path)
+    lake.load(spark, path, raw_path, LOADED_AT)
+    found = spark.read.parquet(raw_path).drop("ingest_date")
+    told = [("field", f.name) for f in found.schema.fields]
+    for kind, table_ in (
+        ("as loaded", found), ("lacking", found.drop("amt", "dob")),
+        ("mistyped", found.withColumn("zip", F.col("zip").cast("string"))),
+    ):
+        told += [(kind, p) for p in quality.schema_problems(table_.schema)]
+    rows = found.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("rows").alias("kind"), F.col("n").cast("string").alias("told")
+    )
+    return rows.unionByName(spark.createDataFrame(told, "kind string, told string"))
+
+
 # --- scores ------------------------------------------------------------------------------------
 
 
@@ -982,6 +1079,40 @@ def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out, "amt_log", "city_pop_log", "amt_zscore_by_customer")
 
 
+@query
+def stream_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures that the micro-batches of a scoring stream report, held against the log they wrote."""
+    raw = settle(scored(spark, sf_dir), "scored")
+    path = scratch_path(spark, "summary")
+    pipelines.write_replay_files(raw, path, REPLAY_FILES)
+    share = F.least(F.col("amt") / 500.0, F.lit(1.0))
+    made = pipelines.read_replay(spark, path).withColumns({
+        "score": share, "geo_distance_km": F.lit(0.0), "txn_freq_24h": F.lit(0), "amt_zscore_by_customer": F.lit(0.0),
+    })
+    summary = run_summary.RunSummary()
+    spark.streams.addListener(summary)
+    try:
+        query_ = pipelines.write_scores(
+            run_summary.observed(decisions.score_records(made)), f"{path}-log", f"{path}-checkpoint", interval=None
+        )
+        query_.awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        for _ in range(100):  # reports come a little after the end
+            if summary.totals(query_).processed >= raw.count():
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(summary)
+    got = summary.totals(query_)
+    told = monitoring.scoring_summary(score_store.read_log(spark, f"{path}-log"))
+    return told.select(
+        F.lit(got.processed).cast("bigint").alias("processed"), F.lit(got.flagged).cast("bigint").alias("flagged"),
+        F.lit(got.flagged_pct).alias("flagged_pct"),
+        ((F.abs(F.col("avg_latency_ms") - got.avg_latency_ms) < 0.01) & (F.col("avg_latency_ms") > 0)).alias("same_latency"),
+        F.lit(got.slowest_ms >= got.avg_latency_ms and got.rows_per_second > 0).alias("timed"),
+    )
+
+
 @query
 def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A logistic model fitted on the training days gives each transaction of the stream the score that

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from txn_risk.plans.evaluation import THRESHOLDS
-from txn_risk.schemas import CATEGORIES
+from txn_risk.schemas import CATEGORIES, FEATURES, RAW as RAW_TABLE
 
 RAW = """
 raw AS (
@@ -188,6 +188,15 @@ def _summary(source: str, value: str, points: dict[str, float]) -> str:
     return f"SELECT is_fraud, {mean(value)} AS mean, {named}, max({value}) AS max FROM {source} GROUP BY is_fraud"
 
 
+# What a training run must satisfy, by the names that its entry gives.
+INVARIANTS = (
+    "ML3 forest has its trees, none deeper", "ML3 forest weights sum to one", "ML4 boosting lowers the loss",
+    "ML4 boosting has its rounds", "ML2-4 every model beats no skill", "ML13 mean and deviation over folds",
+    "ML14 highest mean is chosen", "ML17 features by falling weight", "T5 ten leading features", "ML19 gate at the floor",
+    "ML19 no gate for an equal champion", "ML20 made-up rows score like known ones", "S19 card reads back",
+    "S19 report names every model", "S20 threshold reads back",
+)
+
 GRID = "(VALUES " + ", ".join(f"({t!r}::DOUBLE)" for t in THRESHOLDS) + ") AS g(threshold)"
 
 SWEEP = f"""
@@ -451,6 +460,15 @@ def oracle_sql() -> dict[str, str]:
           THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END AS ingested_at,
         CAST(date_of_birth AS VARCHAR) AS date_of_birth)
       FROM stg JOIN (SELECT trans_num, trans_date_trans_time FROM raw) USING (trans_num)""")
+    fields = " UNION ALL ".join(f"SELECT 'field', '{f.name}'" for f in RAW_TABLE.fields)
+    q["raw_contract"] = with_(RAW, f"""
+      SELECT 'rows' AS kind, CAST(count(*) AS VARCHAR) AS told FROM raw UNION ALL {fields}
+      UNION ALL SELECT * FROM (VALUES ('lacking', 'missing amt'), ('lacking', 'missing dob'),
+        ('mistyped', 'zip is string, expected bigint')) AS faults""")
+    features = ", ".join(f"('{f}')" for f in ("intercept", *FEATURES))
+    q["ml_logistic_optimum"] = f"SELECT feature, TRUE AS at_optimum FROM (VALUES {features}) AS f(feature)"
+    held = ", ".join(f"('{i}')" for i in INVARIANTS)
+    q["ml_training"] = f"SELECT invariant, TRUE AS holds FROM (VALUES {held}) AS i(invariant)"
     q["time_prefix"] = with_(RAW, "SELECT trans_num, trans_date_trans_time FROM raw ORDER BY trans_date_trans_time, trans_num LIMIT 2500")
     q["json_roundtrip"] = with_(RAW, 'SELECT trans_num, cc_num, amt, category, merch_lat, is_fraud, CAST(cc_num AS VARCHAR) AS "key" FROM raw')
     q["export_fact"] = with_(RAW, f"""
@@ -558,6 +576,10 @@ def oracle_sql() -> dict[str, str]:
     q["stream_lake"] = q["lake_roundtrip"]
     q["lake_merged"] = f"SELECT *, TRUE AS as_told FROM ({q['lake_roundtrip']}) AS merged"
     q["stream_features"] = q["feature_matrix"]
+    q["stream_run_summary"] = with_(records, """
+      SELECT count(*) AS processed, count(*) FILTER (is_fraud_predicted = 1) AS flagged,
+             100.0::DOUBLE * count(*) FILTER (is_fraud_predicted = 1) / count(*) AS flagged_pct,
+             TRUE AS same_latency, TRUE AS timed FROM records""")
     q["stream_scores"] = with_(RAW, "SELECT trans_num, TRUE AS same FROM raw")
     q["lake_retention"] = with_(RAW, """
       SELECT trans_date_trans_time[:10] AS day, count(*) AS n FROM raw
