@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -155,6 +156,32 @@ def test_folds_are_balanced(spark):
     assert again == {tuple(r) for r in dealt.collect()}
 
 
+@pytest.mark.parametrize("rows", [3000, 30_000])
+def test_ranges_of_folds_keep_their_size(spark, rows):
+    df = spark.range(rows).select("id", (F.col("id") % 20 == 0).cast("int").alias("y"))
+    dealt = stratified_folds(df, "id", "y", 5, range_rows=100)
+    sizes = {(r["y"], r["fold"]): r["count"] for r in dealt.groupBy("y", "fold").count().collect()}
+    for y, n in ((0, rows * 19 // 20), (1, rows // 20)):
+        assert {sizes[y, f] for f in range(5)} <= {n // 5, n // 5 + 1} and sum(sizes[y, f] for f in range(5)) == n
+    # One numbering whatever the ranges.
+    by_other = stratified_folds(df, "id", "y", 5, range_rows=10_000)
+    assert dealt.join(by_other.withColumnRenamed("fold", "other"), ["id", "y"]).where("fold <> other").isEmpty()
+
+
+def test_ranges_follow_the_rows(spark):
+    from pyspark.sql import Window
+
+    largest = []
+    for rows in (2000, 20_000):
+        df = spark.range(rows).select("id", F.lit(0).alias("y"))
+        plan = stratified_folds(df, "id", "y", range_rows=100)._jdf.queryExecution().optimizedPlan().toString()
+        assert "substring(_digest" in plan
+        digits = max(1, math.ceil(math.log(rows / 100, 16)))
+        dealt = df.withColumn("d", F.substring(F.md5(F.concat_ws(":", F.col("id").cast("string"), F.lit("42"))), 1, digits))
+        largest.append(dealt.withColumn("n", F.count("*").over(Window.partitionBy("d"))).agg(F.max("n")).first()[0])
+    assert max(largest) <= 200
+
+
 def test_quantiles_interpolate(spark):
     df = spark.createDataFrame([(v,) for v in (1.0, 2.0, 4.0, 8.0)], "v double")
     got = {r["quantile"]: r["value"] for r in quantiles(df, "v", [0.0, 0.5, 0.95, 1.0]).collect()}
