@@ -14,7 +14,9 @@ import __spark_entry__ as entry_module
 ORACLE = entry_module.oracle_sql()
 QUERIES = entry_module.queries()
 # Many small files; the operators behind them have tests of their own.
-SLOW = {"ml_logistic_cv", "stream_lake", "raw_load", "stream_scores"}
+SLOW = {
+    "ml_logistic_cv", "ml_training", "stream_lake", "stream_stop", "lake_merged", "raw_load", "raw_contract", "stream_scores",
+}
 
 
 @pytest.fixture(scope="module")

@@ -199,6 +199,14 @@ def test_micro_batch_again_in_another_hour_keeps_its_hours(spark, tmp_path, monk
     assert lake.read_lake(spark, path).count() == 2
 
 
+def test_a_total_is_met_exactly_and_again_when_repeated(spark, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    batch = events(spark, *[{"trans_date_trans_time": f"2024-01-01 00:00:{59 - i:02d}"} for i in range(8)])
+    passed = [pipelines.admitted(batch, k, ledger, 20).count() for k in (0, 1, 2, 2, 1, 3)]
+    assert passed == [8, 8, 4, 4, 8, 0]
+    assert set(by_id(pipelines.admitted(batch, 2, ledger, 20), "amt")) == {"t7", "t6", "t5", "t4"}
+
+
 def test_closed_hours_are_merged_once(spark, tmp_path):
     path, raw, ledger = (str(tmp_path / n) for n in ("lake", "raw", "ledger"))
     for i in range(4):

@@ -33,7 +33,7 @@ def replay(spark: SparkSession, a: Args) -> None:
 def ingest(spark: SparkSession, a: Args) -> None:
     """Topic to lake, until stopped or a total of messages; what is no record goes to the rejects."""
     pipelines.stop_after(pipelines.ingest_to_lake(
-        _messages(spark, a, "earliest"), a.lake, a.checkpoint, a.interval, a.rejects
+        _messages(spark, a, "earliest"), a.lake, a.checkpoint, a.interval, a.rejects, a.max_messages
     ), a.max_messages)
 
 

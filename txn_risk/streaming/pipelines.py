@@ -23,6 +23,7 @@ from txn_risk.plans.features import (
 from txn_risk.plans.training import score_column, time_prefix
 from txn_risk.schemas import ALERT_THRESHOLD, BLOCK_THRESHOLD, EVENT
 from txn_risk.sources.lake import with_partition_keys, write_batch
+from txn_risk.sources.partitions import exists
 from txn_risk.sources.score_store import append_scores
 from txn_risk.streaming.trailing_state import with_trailing_count
 
@@ -93,9 +94,28 @@ def _start(writer: DataStreamWriter, checkpoint: str, interval: str | None) -> S
     return writer.trigger(processingTime=interval).start()
 
 
+def admitted(rows: DataFrame, number: int, ledger: str, total: int) -> DataFrame:
+    """What a micro-batch may pass so that all of them together pass ``total`` rows: exactly, and the same
+    again if it is repeated. The micro-batch that reaches the total passes its earliest rows.
+
+    The ledger keeps a row per micro-batch.
+    """
+    spark = rows.sparkSession
+    before = 0
+    if exists(spark, ledger):
+        known = spark.read.schema("n long, batch long").parquet(ledger)
+        before = known.where(F.col("batch") < number).agg(F.sum("n")).first()[0] or 0
+    left = max(0, total - before)
+    n = rows.count()
+    spark.createDataFrame([(min(n, left),)], "n long").coalesce(1).write.mode("overwrite").parquet(
+        f"{ledger}/batch={number}"
+    )
+    return rows if n <= left else time_prefix(rows, left)
+
+
 def ingest_to_lake(
     stream: DataFrame, path: str, checkpoint: str, interval: str | None = FLUSH_INTERVAL,
-    rejects: str | None = None,
+    rejects: str | None = None, total: int | None = None,
 ) -> StreamingQuery:
     """Transactions to the date/hour lake, once per checkpoint.
 
@@ -104,12 +124,15 @@ def ingest_to_lake(
     folders, so the lake needs no log of the sink. Batch appends are seen, and expired files may go. A repeat
     sent by the producer is still a second record, which staging removes. Rows with a ``_corrupt`` text (see
     :func:`txn_risk.sources.topic.decode`) go to ``rejects`` as JSON lines, or fail the query if that
-    is not given: none is dropped.
+    is not given: none is dropped. With ``total``, exactly so many messages are taken in, rejects included;
+    :func:`stop_after` ends the query then.
     """
     query = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
     routed = "_corrupt" in stream.columns
 
     def put(rows: DataFrame, number: int) -> None:
+        if total is not None:
+            rows = admitted(rows, number, f"{checkpoint}-admitted", total)
         good = rows.where("_corrupt is null").drop("_corrupt") if routed else rows
         if routed:
             bad = rows.where("_corrupt is not null").select(F.col("_corrupt").alias("message"))
@@ -123,7 +146,8 @@ def ingest_to_lake(
 
 
 def stop_after(query: StreamingQuery, messages: int | None) -> None:
-    """Wait for a query; with ``messages``, stop it after the micro-batch that reaches that total."""
+    """Wait for a query; with ``messages``, stop it after the micro-batch that reaches that total. That one
+    may hold more; a sink with the same total passes no more (:func:`admitted`)."""
     if messages is None:
         query.awaitTermination()
         return

@@ -991,6 +991,16 @@ def stream_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_hour(lake.read_lake(spark, path))
 
 
+@query
+def stream_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of five micro-batches that ends at exactly 2,500 messages, in the middle of one."""
+    path = scratch_path(spark, "stopped-lake")
+    pipelines.ingest_to_lake(
+        _events(event_stream(spark, sf_dir)), path, f"{path}-checkpoint", interval=None, total=2500
+    ).awaitTermination()
+    return _per_hour(lake.read_lake(spark, path))
+
+
 @query
 def lake_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries in micro-batches; then the closed hours, all but the last days', are one batch each."""

@@ -574,6 +574,10 @@ def oracle_sql() -> dict[str, str]:
     q["stream_freq_24h"] = q["txn_freq_24h"]
     q["stream_dedup"] = with_(RAW, "SELECT trans_num, cc_num, amt FROM raw")
     q["stream_lake"] = q["lake_roundtrip"]
+    first = "SELECT * FROM raw ORDER BY trans_date_trans_time, trans_num LIMIT 2500"
+    q["stream_stop"] = with_(RAW, f"""
+      SELECT trans_date_trans_time[:10] AS dt, trans_date_trans_time[12:13] AS hour, count(*) AS n, {money('amt')} AS amount
+      FROM ({first}) GROUP BY ALL""")
     q["lake_merged"] = f"SELECT *, TRUE AS as_told FROM ({q['lake_roundtrip']}) AS merged"
     q["stream_features"] = q["feature_matrix"]
     q["stream_run_summary"] = with_(records, """
