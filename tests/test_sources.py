@@ -86,6 +86,7 @@ def test_lake_layout_pruning_and_load(spark, tmp_path):
     )
     lake.write_lake(three, path)
     assert sorted(os.listdir(f"{path}/dt=2019-01-01")) == ["hour=02", "hour=05"]
+    assert len(list((tmp_path / "lake").rglob("batch=*/*.parquet"))) == 2
     back = lake.read_lake(spark, path)
     assert {(r["hour"], r["n"]) for r in back.groupBy("hour").agg(F.count("*").alias("n")).collect()} == {
         ("02", 2), ("05", 1)}
@@ -105,7 +106,7 @@ def test_lake_layout_pruning_and_load(spark, tmp_path):
 def test_unreadable_file_fails_or_is_named(spark, tmp_path):
     path, raw = str(tmp_path / "lake"), str(tmp_path / "raw")
     lake.write_lake(events(spark, {}), path)
-    bad = tmp_path / "lake" / "dt=2021-06-15" / "hour=13"
+    (bad,) = (tmp_path / "lake" / "dt=2021-06-15" / "hour=13").glob("batch=*")
     (bad / "broken.parquet").write_bytes(b"PAR1 not really")
     (bad / "notes.txt").write_text("ignored")
     with pytest.raises(Exception, match="broken.parquet"):

@@ -1047,7 +1047,7 @@ def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
     for i in range(3):
-        out = fs.create(hadoop(f"{path}/dt=2024-01-01/hour=00/damaged-{i}.parquet"))
+        out = fs.create(hadoop(f"{path}/dt=2024-01-01/hour=00/batch=damaged/{i}.parquet"))
         out.writeBytes("PAR1 and no more")
         out.close()
     summary = lake.load(spark, path, raw_path, LOADED_AT, skip_unreadable=True)
