@@ -9,6 +9,9 @@ A tree over all documents would sit in one task. So documents are dealt first, w
 in one order of all shingles, two sets of similarity t share a shingle among the first
 n - ceil(t n) + 1 of each, so each of those leads to a small tree of the documents that have it.
 Shingles found often in a bounded sample come last in that order; any order keeps every link.
+
+Pairs never leave a task. Trees first tell which documents of a group have a partner left; those bring
+their sets, are verified there, and a group gives the links that join its components, no more.
 """
 
 from __future__ import annotations
@@ -31,8 +34,9 @@ LEAF = 24
 SAMPLE_DOCS = 20_000
 FREQUENT = 8
 LOOKED_AT = 40
-# A group of more documents is dealt over several tasks.
+# A group of more documents, or of more shingles in their sets, is dealt over several tasks.
 GROUP_LIMIT = 4_096
+GROUP_SHINGLES = 1 << 22
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xD6E8FEB86659FD93)
@@ -221,40 +225,126 @@ def _stars(percent: int):
     return read
 
 
+def _met(values: np.ndarray, weights: np.ndarray, starts: np.ndarray, a: np.ndarray, b: np.ndarray, low: np.ndarray):
+    """Per pair of rows: whether they meet in a group before ``low``, and how many leading shingles they share.
+
+    Row k's groups are ``values[starts[k]:starts[k + 1]]``, with the number of shingles each stands for.
+    """
+    def held(rows):
+        at = np.concatenate([np.arange(starts[k], starts[k + 1]) for k in rows.tolist()])
+        return np.repeat(np.arange(len(rows)), starts[rows + 1] - starts[rows]), at
+
+    one, i = np.unique(a, return_inverse=True)
+    two, j = np.unique(b, return_inverse=True)
+    (row_x, x), (row_y, y) = held(one), held(two)
+    both = np.intersect1d(values[x], values[y])
+    if not len(both):
+        return np.zeros(len(a), bool), np.zeros(len(a), np.int64)
+
+    def matrix(n_rows, row, at, number):
+        column = np.minimum(np.searchsorted(both, values[at]), len(both) - 1)
+        good = both[column] == values[at]
+        table = np.zeros((n_rows, len(both)))
+        table[row[good], column[good]] = number[at[good]]
+        return table
+
+    left, right = matrix(len(one), row_x, x, weights), matrix(len(two), row_y, y, np.ones_like(weights))
+    earlier = np.zeros(len(a), bool)
+    for value in np.unique(low).tolist():
+        k = int(np.searchsorted(both, value))
+        own = low == value
+        earlier[own] = ((left[:, :k] @ right[:, :k].T)[i, j] > 0)[own]
+    return earlier, (left @ right.T)[i, j].astype(np.int64)
+
+
+class _Rows:
+    """Columns of rows that meet in trees, and the pairs of a task that are to be verified in it."""
+
+    def __init__(self, table: pa.Table):
+        self.rid, self.root, self.head, self.side, self.group = (
+            table.column(c).to_numpy() for c in ("rid", "root", "head", "side", "shingle")
+        )
+        self.points = _points(table.column("point").to_pylist())
+        self.sizes = table.column("n").to_numpy().astype(np.int64)
+        meets, weights = (table.column(c).combine_chunks() for c in ("meets", "weights"))
+        self.meets, self.weights = meets.flatten().to_numpy(), weights.flatten().to_numpy().astype(np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(meets.value_lengths().to_numpy())])
+
+    def candidates(
+        self, start: int, end: int, percent: int, label: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of different ``label`` that the trees let pass, neither of them the head.
+
+        A pair is left to the least of the groups that it meets in. What two documents share is shared by
+        their leading shingles or lies beyond those of one of them, so few shared leading ones rule it out.
+        The caller may join labels between two yields.
+        """
+        own = np.arange(start, end)
+        left, right = own[self.side[own] != 1], own[self.side[own] != 0]
+        if not len(left) or not len(right):
+            return
+        tree = CountTree(self.points[left], self.sizes[left])
+        alone = bool((self.side[own] == 2).all())
+        other = None if alone else CountTree(self.points[right], self.sizes[right])
+        for i, j in tree.pairs(percent, other):
+            a, b = left[i], (left if alone else right)[j]
+            good = (label[a] != label[b]) & ~self.head[a] & ~self.head[b]
+            a, b = a[good], b[good]
+            if not len(a):
+                continue
+            earlier, shared = _met(
+                self.meets, self.weights, self.starts, a, b, np.minimum(self.group[a], self.group[b])
+            )
+            beyond = -((-percent * np.maximum(self.sizes[a], self.sizes[b])) // 100) - 1
+            good = ~earlier & (shared + beyond >= needed(self.sizes[a], self.sizes[b], percent))
+            if good.any():
+                yield a[good], b[good]
+
+
+def _live(percent: int):
+    """Rows of each task that some pair of it still needs: those alone have to bring their sets."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in grouped(batches, "task"):
+            rows, live = _Rows(table), np.zeros(table.num_rows, bool)
+            for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                for a, b in rows.candidates(start, end, percent, rows.root):
+                    live[a] = live[b] = True
+            yield from table.filter(pa.array(live)).to_batches()
+
+    return read
+
+
 def _trees(percent: int):
-    """The open pairs of each task: documents of different components that the tree lets pass."""
+    """Links that join what is not joined yet, verified on the sets in the task: per group of m rows at most m - 1."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in grouped(batches, "task"):
-            rid, root, head, side = (table.column(c).to_numpy() for c in ("rid", "root", "head", "side"))
-            points = _points(table.column("point").to_pylist())
-            sizes = table.column("n").to_numpy().astype(np.int64)
-            found = []
+            rows, label, sets = _Rows(table), table.column("root").to_numpy().copy(), table.column("shingles")
             for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                if root[start:end].min() == root[start:end].max():
-                    continue
-                own = np.arange(start, end)
-                left, right = own[side[own] != 1], own[side[own] != 0]
-                if not len(left) or not len(right):
-                    continue
-                tree = CountTree(points[left], sizes[left])
-                alone = bool((side[own] == 2).all())
-                other = None if alone else CountTree(points[right], sizes[right])
-                for i, j in tree.pairs(percent, other):
-                    a, b = left[i], (left if alone else right)[j]
-                    good = (root[a] != root[b]) & ~head[a] & ~head[b]
-                    a, b = a[good], b[good]
-                    a, b = np.where(rid[a] < rid[b], a, b), np.where(rid[a] < rid[b], b, a)
-                    found.append(np.stack([rid[a], rid[b], sizes[a], sizes[b]]))
-            if found:
-                pairs, times = np.unique(np.concatenate(found, axis=1), axis=1, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [*map(pa.array, pairs), pa.array(times.astype(np.int64))], names=["a", "b", "n_a", "n_b", "times"]
-                )
+                own = [np.frombuffer(x.as_buffer(), np.uint64) for x in sets.slice(start, end - start)]
+                part, found = label[start:end], []
+                for a, b in rows.candidates(start, end, percent, label):
+                    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                        if label[x] != label[y] and _linked(own[x - start], own[y - start], percent):
+                            part[part == label[x]] = label[y]
+                            found.append((rows.rid[x], rows.rid[y]))
+                if found:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.array(x, np.int64)) for x in zip(*found, strict=True)], names=["a", "b"]
+                    )
 
     return read
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether 100 * shared >= percent * union for two sets, both rising and not empty."""
+    if len(x) > len(y):
+        x, y = y, x
+    shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` that link, by their sets."""
     one = sets.select(F.col("rid").alias("a"), F.col("shingles").alias("x"))
@@ -262,13 +352,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                good.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            good = [
+                _linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
+                for x, y in zip(batch.column("x"), batch.column("y"), strict=True)
+            ]
             kept = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a").filter(kept), batch.column("b").filter(kept)], names=["a", "b"]
@@ -320,48 +407,62 @@ def link_classes(
                     pa.array([shingles(t, width).tobytes() for t in part.column(1).to_pylist()], pa.binary()),
                 ], names=["rid", "shingles"])
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        """The sets of the documents in ``pairs``, made anew from their texts: few texts, not all sets."""
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-        names = classes.select("rid", "key").join(asked, "rid", "left_semi")
+    def sets_of(asked: DataFrame) -> DataFrame:
+        """The sets of the documents in ``asked(rid)``, made anew from their texts: few texts, not all sets."""
+        names = classes.select("rid", "key").join(asked.distinct(), "rid", "left_semi")
         found = of_keys(source, names).join(names, "key").dropDuplicates(["key"]).select("rid", "text")
         return settle(found.mapInArrow(read, "rid long, shingles binary"), "shingle-sets")
 
-    sets = sets_of(stars)
+    sets = sets_of(stars.select(F.col("a").alias("rid")).union(stars.select(F.col("b").alias("rid"))))
     edges = settle(_verified(stars, sets, percent), "star-links")
     roots = components(edges).withColumnRenamed("node", "rid")
     labelled = open_rows.join(roots, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     labelled = settle(labelled, "open-rows")
     discard(looked)
+    # Pairs of one component are done with, so groups of one component are. Of groups with the same members
+    # the one of the least shingle stays for all of them.
+    chunks = F.greatest(F.ceil(F.col("m") / F.lit(GROUP_LIMIT)), F.ceil(F.col("volume") / F.lit(GROUP_SHINGLES)))
     sizes = labelled.groupBy("shingle").agg(
-        F.count(F.lit(1)).alias("m"), F.min("root").alias("low_root"), F.max("root").alias("high_root")
-    ).where("low_root <> high_root").select(
-        "shingle", F.ceil(F.col("m") / F.lit(GROUP_LIMIT)).cast("int").alias("chunks")
+        F.count(F.lit(1)).alias("m"), F.min("root").alias("low_root"), F.max("root").alias("high_root"),
+        F.sum("n").alias("volume"), F.bit_xor(F.xxhash64("rid")).alias("x"),
+        F.bit_xor(F.xxhash64("rid", F.lit("members"))).alias("y"),
+    ).where("low_root <> high_root").groupBy("m", "x", "y").agg(
+        F.min("shingle").alias("shingle"), F.count(F.lit(1)).cast("int").alias("weight"),
+        F.first("volume").alias("volume"),
+    ).select("shingle", "weight", chunks.cast("int").alias("chunks"))
+    still = settle(labelled.join(sizes, "shingle"), "open-groups")
+    lists = still.groupBy("rid").agg(F.collect_list(F.struct("shingle", "weight")).alias("_met")).select(
+        "rid", F.col("_met.shingle").alias("meets"), F.col("_met.weight").alias("weights")
     )
     own = F.pmod(F.xxhash64("rid"), F.col("chunks")).cast("int")
-    tasks = labelled.join(sizes, "shingle").withColumn("own", own).withColumn(
+    tasks = still.join(lists, "rid").withColumn("own", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     ).select(
-        "shingle", "rid", "n", "point", "head", "root",
+        "shingle", "rid", "n", "point", "head", "root", "meets", "weights",
         # Tasks of equal hash are looked at together, which adds pairs to verify and loses none.
         F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")).alias("task"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
     )
-    found = tasks.drop("shingle").repartition(parts, "task").sortWithinPartitions("task", "rid").mapInArrow(
-        _trees(percent), "a long, b long, n_a long, n_b long, times long"
-    ).groupBy("a", "b", "n_a", "n_b").agg(F.sum("times").alias("times"))
-    # What two documents share is shared by their leading shingles, each of which has brought them together
-    # once here, or lies beyond them in one of the two.
-    beyond = F.ceil(F.greatest("n_a", "n_b") * F.lit(percent) / 100) - 1
-    reach = (F.col("times") + beyond) * (100 + percent) >= F.lit(percent) * (F.col("n_a") + F.col("n_b"))
-    more = settle(found.where(reach).select("a", "b"), "tree-pairs")
+    shape = (
+        "shingle long, rid long, n int, point binary, head boolean, root long, meets array<long>, "
+        "weights array<int>, task long, side int"
+    )
+    live = settle(
+        tasks.repartition(parts, "task").sortWithinPartitions("task", "rid").mapInArrow(_live(percent), shape),
+        "live-rows",
+    )
     discard(sets)
-    sets = sets_of(more)
-    roots = components(edges.unionByName(_verified(more, sets, percent))).withColumnRenamed("node", "rid")
+    sets = sets_of(live.select("rid"))
+    more = settle(
+        live.join(sets, "rid").repartition(parts, "task").sortWithinPartitions("task", "rid").mapInArrow(
+            _trees(percent), "a long, b long"
+        ), "tree-links",
+    )
+    roots = components(edges.unionByName(more)).withColumnRenamed("node", "rid")
     linked = settle(classes.select("key", "rid", "least_id").join(roots, "rid", "left").withColumn(
         "root", F.coalesce("root", "rid")
     ), "linked-classes")
-    discard(classes, stars, sets, edges, labelled, more)
+    discard(classes, stars, sets, edges, labelled, still, live, more)
     return rows, linked
 
 
