@@ -161,3 +161,38 @@ def test_vector_links_match_all_pairs(spark, monkeypatch, limit):
 def test_plan_grows_with_the_table():
     few, many = (neardup_vectors.Plan.of(n, 0.95) for n in (1_000, 10 ** 8))
     assert few.cells < many.cells and few.tables < many.tables and few.least_count == many.least_count > 8
+
+
+@pytest.mark.parametrize("size", [40, 80, 160])
+def test_trees_emit_joining_links_only(size):
+    """A dense family leaves at most one link per joined row, and those links give all components."""
+    texts = near_family(random.Random(size), size)
+    sets = [neardup_texts.shingles(t, 4) for t in texts]
+    batch = pa.RecordBatch.from_pydict({
+        "shingle": pa.array([7] * size), "rid": pa.array(range(size)),
+        "n": pa.array([len(h) for h in sets], pa.int32()), "point": pa.array(list(map(neardup_texts._point, sets))),
+        "head": pa.array([False] * size), "root": pa.array(range(size)),
+        "meets": pa.array([[7]] * size, pa.list_(pa.int64())),
+        "weights": pa.array([[10 ** 6]] * size, pa.list_(pa.int32())),
+        "task": pa.array([1] * size), "side": pa.array([2] * size, pa.int32()),
+        "shingles": pa.array([h.tobytes() for h in sets], pa.binary()),
+    })
+    edges = [
+        pair for out in neardup_texts._trees(85)(iter([batch]))
+        for pair in zip(out.column("a").to_pylist(), out.column("b").to_pylist(), strict=True)
+    ]
+    held = [set(h.tolist()) for h in sets]
+
+    def linked(i, j):
+        return 100 * len(held[i] & held[j]) >= 85 * len(held[i] | held[j])
+
+    assert all(linked(i, j) for i, j in edges)
+    want = brute.grouped(range(size), linked)
+    # Links that join and never close a circle: as many as rows less components.
+    assert len(edges) == size - len(set(want))
+    root = list(range(size))
+    for i, j in edges:
+        root = [root[i] if r == root[j] else r for r in root]
+    assert all((root[i] == root[j]) == (want[i] == want[j]) for i in range(size) for j in range(i))
+    live = sum(out.num_rows for out in neardup_texts._live(85)(iter([batch])))
+    assert live >= sum(any(linked(i, j) for j in range(size) if j != i) for i in range(size))
