@@ -58,6 +58,25 @@ def repeats(texts, length):
     return out
 
 
+def passages(texts, length, least):
+    """Per text the stretches covered by repeated strings of ``length`` bytes that hold ``least`` whole words."""
+    raws = [(t or "").encode() for t in texts]
+    count = Counter(r[i:i + length] for r in raws for i in range(len(r) - length + 1))
+    out = []
+    for raw in raws:
+        covered = set()
+        for i in range(len(raw) - length + 1):
+            if count[raw[i:i + length]] > 1:
+                covered.update(range(i, i + length))
+        starts = sorted(i for i in covered if i - 1 not in covered)
+        ends = sorted(i + 1 for i in covered if i + 1 not in covered)
+        words = [m.span() for m in re.finditer(rb"[^ \t-\r]+", raw)]
+        out.append([
+            (a, b) for a, b in zip(starts, ends, strict=True) if sum(a <= x and y <= b for x, y in words) >= least
+        ])
+    return out
+
+
 def shingle_set(text, width):
     own = (text or "").encode().lower().split()
     size = min(width, len(own))

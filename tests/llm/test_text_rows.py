@@ -112,6 +112,55 @@ def test_transforms_stay_small_where_many_runs_share_an_anchor(monkeypatch, shar
     assert windows == sum(n for n in every.values() if n > 1) > 0
 
 
+def passage_rows():
+    """Shared passages with fewer, just as many and more bytes than the longer length; at edges, cut short, copied."""
+    rng = np.random.default_rng(8)
+    noise = lambda n: " ".join(f"w{x}" for x in rng.integers(10 ** 6, 10 ** 7, n))
+    short, long_ = " ".join(f"a{i}" for i in range(9)), " ".join(f"bcde{i}" for i in range(12))
+    rows = [noise(6) + " " + p + " " + noise(k) for p in (short, long_, "x" * 60, "ä" * 30) for k in (0, 1, 9)]
+    rows += [short, short + " " + noise(5), short + "q " + noise(3), long_[:50], long_[20:], None, "", long_, long_]
+    rows += [noise(9) + " " + short + " " + noise(2) + " " + short] * 3 + [rows[0][:-2] + noise(1), "k" * 35, "k" * 35]
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("passage,length,together", [(24, 40, 1000), (24, 64, 1), (30, 31, 1000), (40, 40, 1)])
+def test_two_lengths_from_one_expansion(spark, monkeypatch, passage, length, together):
+    monkeypatch.setattr(repeats, "RUNS_TOGETHER", together)
+    monkeypatch.setattr(repeats, "PASSAGE_WORDS", 5)
+    read_over = repeats.passages
+    monkeypatch.setattr(repeats, "passages", lambda raw, stretches: read_over(raw, stretches, 5))
+    docs = documents() + [(5000 + i, t) for i, t in passage_rows()]
+    texts = [t for _, t in docs]
+    got = repeats.removed(frame(spark, docs), length, 10, passage=passage).collect()
+    near = brute.passages(texts, passage, 5)
+    want = [
+        (i, *x, len(p), sum(b - a for a, b in p))
+        for (i, _), x, p in zip(docs, brute.repeats(texts, length), near, strict=True)
+    ]
+    assert any(n and not gone for _, _, gone, _, _, n, _ in want) or length - passage < 2
+    assert as_multiset(tuple(r) for r in got) == as_multiset(want)
+
+
+def test_runs_grow_to_the_longer_length(monkeypatch):
+    rng = np.random.default_rng(1)
+    raw = bytes(rng.integers(97, 100, 900, dtype=np.uint8))
+    whole = repeats.runs(raw, 40, 8, 70)
+    assert whole["size"].sum() == len(raw) - 39 and whole["fit"].sum() == len(raw) - 69
+    monkeypatch.setattr(repeats, "CHUNK", 64)
+    cut = repeats.runs(raw, 40, 8, 70)
+    assert cut["size"].sum() == len(raw) - 39 and cut["fit"].sum() == len(raw) - 69
+    # A run that the text's end cuts short is not the same kind as one that goes on.
+    assert repeats.runs(raw[:-20], 40, 8, 70)["content"][-1] not in whole["content"]
+
+
+def test_passages_hold_whole_words():
+    raw = b"one two three four"
+    assert repeats.passages(raw, [(0, 18)], 4) == [(0, 18)]
+    assert repeats.passages(raw, [(1, 18)], 4) == [] and repeats.passages(raw, [(1, 18)], 3) == [(1, 18)]
+    assert repeats.passages(raw, [(3, 14)], 2) == [(3, 14)] and repeats.passages(raw, [(3, 13)], 2) == [(3, 13)]
+    assert repeats.passages(raw, [(4, 6)], 1) == []
+
+
 def test_repeats_of_nothing_and_in_one_text(spark):
     assert repeats.removed(frame(spark, [])).count() == 0
     text = "q" * 30 + "0123456789" * 5 + "w" * 7 + "0123456789" * 5
@@ -135,6 +184,15 @@ def test_shortened_texts(spark):
     assert got == {1: lead, 2: "x", 3: None}
 
 
+def test_passages_are_cut_from_texts(spark):
+    passage = " ".join(f"word{i}" for i in range(60))[:380]
+    docs = [(1, "first " + passage + " end"), (2, "other " + passage + " stop"), (3, "alone"), (4, None)]
+    got = {r.doc_id: r.text for r in repeats.without_repeats(frame(spark, docs), passage=255).collect()}
+    assert got == {1: "firstend", 2: "otherstop", 3: "alone", 4: None}
+    got = {r.doc_id: r.text for r in repeats.without_repeats(frame(spark, docs)).collect()}
+    assert got == dict(docs)
+
+
 def test_pieces_are_the_tokenizer_s_ids(spark):
     from tokenizers import Tokenizer
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from txn_risk.llm.repeats import PASSAGE, PASSAGE_WORDS
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 _BLANK_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+')"
@@ -36,24 +38,44 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
-REPEATS = """
-WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-win AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS g
-        FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM d WHERE length(h) >= 800)),
-again AS (SELECT g FROM win GROUP BY g HAVING count(*) > 1),
-hit AS (SELECT doc_id, i FROM win SEMI JOIN again USING (g)),
-step AS (SELECT doc_id, i, i > coalesce(lag(i) OVER own + 400, -1) AS new FROM hit
-         WINDOW own AS (PARTITION BY doc_id ORDER BY i)),
-numbered AS (SELECT doc_id, i, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM step),
-span AS (SELECT doc_id, k, min(i) AS a, max(i) + 400 AS b FROM numbered GROUP BY doc_id, k),
+
+
+def _stretches(name: str, length: int) -> str:
+    """Common table ``name(doc_id, a, b)``: maximal stretches covered by repeated strings of ``length`` bytes."""
+    return f"""
+{name}_win AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, {2 * length})) AS g FROM (
+        SELECT doc_id, h, unnest(range(0, length(h) // 2 - {length - 1})) AS i FROM d WHERE length(h) >= {2 * length})),
+{name}_hit AS (SELECT doc_id, i FROM {name}_win
+        SEMI JOIN (SELECT g FROM {name}_win GROUP BY g HAVING count(*) > 1) USING (g)),
+{name}_step AS (SELECT doc_id, i, i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {length}, -1) AS new
+        FROM {name}_hit),
+{name}_run AS (SELECT doc_id, i, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM {name}_step),
+{name} AS (SELECT doc_id, min(i) AS a, max(i) + {length} AS b FROM {name}_run GROUP BY doc_id, k)"""
+
+
+# Bytes are read as two hexadecimal digits each. A word begins after white space or the text's start, and lies whole
+# in a stretch if it ends there as well.
+REPEATS = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),{_stretches("span", 400)},
 kept AS (SELECT doc_id, any_value(h) AS h, sum(b - a) AS n_removed, count(*) AS n_spans,
                 string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head, max(b) AS last
          FROM (SELECT span.*, h, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before
-               FROM span JOIN d USING (doc_id)) GROUP BY doc_id)
+               FROM span JOIN d USING (doc_id)) GROUP BY doc_id),{_stretches("near", PASSAGE)},
+byte AS (SELECT doc_id, p, substr(h, 2 * p + 1, 2) IN ('20', '09', '0A', '0B', '0C', '0D') AS blank FROM (
+        SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS p FROM d SEMI JOIN near USING (doc_id))),
+edge AS (SELECT doc_id, p, blank, coalesce(lag(blank) OVER own, true) AS first, coalesce(lead(blank) OVER own, true) AS last
+         FROM byte WINDOW own AS (PARTITION BY doc_id ORDER BY p)),
+starts AS (SELECT doc_id, p AS s, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS k FROM edge WHERE first AND NOT blank),
+ends AS (SELECT doc_id, p + 1 AS e, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS k FROM edge WHERE last AND NOT blank),
+passage AS (SELECT near.doc_id, a, b FROM near JOIN starts ON near.doc_id = starts.doc_id AND s >= a
+            JOIN ends ON ends.doc_id = starts.doc_id AND ends.k = starts.k AND e <= b
+            GROUP BY ALL HAVING count(*) >= {PASSAGE_WORDS}),
+read_over AS (SELECT doc_id, count(*) AS n, sum(b - a) AS bytes FROM passage GROUP BY doc_id)
 SELECT doc_id, (length(d.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
        coalesce(n_spans, 0) AS n_spans,
-       sha256(unhex(CASE WHEN last IS NULL THEN d.h ELSE head || substr(d.h, 2 * last + 1) END)) AS kept_sha256
-FROM d LEFT JOIN kept USING (doc_id)"""
+       sha256(unhex(CASE WHEN last IS NULL THEN d.h ELSE head || substr(d.h, 2 * last + 1) END)) AS kept_sha256,
+       coalesce(n, 0) AS n_passages, coalesce(bytes, 0)::BIGINT AS n_passage_bytes
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN read_over USING (doc_id)"""
 
 JACCARD = f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_BLANK_WORDS} AS w FROM documents),

@@ -50,7 +50,7 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.removed(_table(spark, sf_dir, "documents"), length=400)
+    return repeats.removed(_table(spark, sf_dir, "documents"), length=400, passage=repeats.PASSAGE)
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
