@@ -31,8 +31,10 @@ ANCHOR = 64
 # four letters with a blank each. A passage of shorter words has fewer bytes and is not seen.
 PASSAGE_WORDS = 51
 PASSAGE = PASSAGE_WORDS * 5
-# Bytes of runs that one transform is built on.
+# Bytes of runs of one (anchor, block) group that a transform is built on; groups with more are dealt on.
 TRANSFORM_BYTES = 2 << 20
+# Bytes from which on groups are not gathered further: the arrays of a small transform stay in a core's cache.
+GATHER_BYTES = 1 << 18
 # Different runs of one anchor that stay together; more are dealt by the anchor's offset in the window, so many
 # offsets together, and by the bytes that all windows of such a piece have.
 RUNS_TOGETHER = 1_000
@@ -316,12 +318,12 @@ def _batch(rows: dict[str, list]) -> pa.RecordBatch:
 
 
 def _judge(length: int, reach: int = 0):
-    """Repeated windows of the runs of whole (anchor, block) groups, about TRANSFORM_BYTES at a time.
+    """Repeated windows of the runs of whole (anchor, block) groups, about GATHER_BYTES at a time.
 
     ``windows`` for ``length``, ``grown`` for ``reach``. Two copies of a piece are enough for a transform;
     further ones in the group are repeated as a whole.
     """
-    reach = max(length, reach)
+    reach, enough = max(length, reach), min(GATHER_BYTES, TRANSFORM_BYTES)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -349,7 +351,7 @@ def _judge(length: int, reach: int = 0):
                 *(batch.column(k).to_pylist() for k in ("anchor", "block", "content", "from", "starts", "bytes")),
                 strict=True,
             ):
-                if size >= TRANSFORM_BYTES and (name, block) != last:
+                if size >= enough and (name, block) != last:
                     yield flush()
                     held, size = [], 0
                 if (name, block) != last:
