@@ -31,8 +31,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the byte strings of 400 or more that occur elsewhere as well; every row stays."""
-    cut = repeats.without_repeats(docs, length=400)
+    """Texts without what occurs elsewhere as well: byte strings of 400 or more, and passages of over 50 words.
+
+    Every row stays; a null text stays null, and an empty table gives no rows.
+    """
+    cut = repeats.without_repeats(docs, length=400, passage=repeats.PASSAGE)
     return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
 
