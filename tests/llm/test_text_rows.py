@@ -2,6 +2,7 @@
 
 import bisect
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,24 @@ def test_contamination_in_several_blocks(spark, monkeypatch):
     assert as_multiset(tuple(r) for r in got) == as_multiset((i, *brute.contamination(t, BENCHMARK)) for i, t in docs)
 
 
+@pytest.mark.parametrize("kept,compiled", [(3, 3), (2, 12)])
+def test_blocks_are_compiled_once_while_they_are_kept(monkeypatch, kept, compiled):
+    monkeypatch.setattr(decontamination, "KEPT_BLOCKS", kept)
+    monkeypatch.setattr(decontamination, "HELD_BYTES", 1)
+    monkeypatch.setattr(decontamination, "_COMPILED", {})
+    made, tables = [], decontamination.tables
+    monkeypatch.setattr(decontamination, "tables", lambda rows, window: (made.append(rows), tables(rows, window))[1])
+    blocks = [SimpleNamespace(value=BENCHMARK[i::3]) for i in range(3)]
+    docs = documents()
+    batches = [pa.RecordBatch.from_pydict({"text": [t for _, t in docs[i::4]]}) for i in range(4)]
+    got = [x for part in decontamination._held(iter(batches))
+           for x in decontamination._search_each(blocks, 10, part.column(0).to_pylist())]
+    want = [brute.contamination(t, BENCHMARK) for i in range(4) for _, t in docs[i::4]]
+    assert [(n, h, len({i for i in f if i is not None})) for n, h, f in got] == [x[:3] for x in want]
+    assert len(made) == compiled
+    assert len(decontamination._COMPILED) == kept
+
+
 def test_clean_documents_stay(spark):
     docs = documents()
     kept = decontamination.without_contaminated(

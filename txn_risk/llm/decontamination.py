@@ -18,6 +18,10 @@ from txn_risk.llm.words import split_words, texts
 WINDOW = 10
 # Benchmark words that one broadcast table may stand for (about 100 MB in a worker).
 BLOCK_WORDS = 200_000
+# Blocks whose search tables a worker keeps, and bytes of texts that each block passes over at a time: a benchmark of
+# more blocks is compiled anew once for so much text, which takes less time than searching it.
+KEPT_BLOCKS = 3
+HELD_BYTES = 64 << 20
 
 _RESULT = "doc_id {id}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
@@ -70,19 +74,24 @@ def tables(items: Iterable[tuple[object, str | None]], window: int = WINDOW) ->
     return [WuManber(n, p) for n, p in sorted(by_length.items())]
 
 
-def find(words: list[bytes], searches: Iterable[WuManber]) -> tuple[int, set]:
-    """Number of words inside any occurrence, and the items that occur."""
+def _occurrences(words: list[bytes], searches: Iterable[WuManber]) -> tuple[list[tuple[int, int]], set]:
+    """Start and end, in words, of every occurrence, and the items that occur."""
     found: set = set()
     spans = []
     for search in searches:
         for start, items in search.search(words):
             spans.append((start, start + search.length))
             found |= items
+    return spans, found
+
+
+def _covered(spans: list[tuple[int, int]]) -> int:
+    """Number of words inside any of the spans."""
     hit = reach = 0
     for start, end in sorted(spans):
         hit += max(0, end - max(start, reach))
         reach = max(reach, end)
-    return hit, found
+    return hit
 
 
 def _broadcast_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> list:
@@ -102,31 +111,51 @@ def _broadcast_blocks(benchmark: DataFrame, id_col: str, text_col: str, window:
     return out
 
 
-def _search_each(blocks: list, window: int, texts_: list[str]) -> list[tuple[int, int, set]]:
-    words = [split_words(t) for t in texts_]
-    if len(blocks) == 1:
-        return [(len(w), *find(w, _compiled(blocks[0], window))) for w in words]
-    # Occurrences of several blocks may overlap, so spans are merged over blocks.
-    found = [set() for _ in words]
-    masks: list[set] = [set() for _ in words]
+def _search_each(blocks: list, window: int, texts_: list[str | None]) -> list[tuple[int, int, set]]:
+    """Number of words, of words hit, and the items found, per text.
+
+    Blocks pass over all texts one after the other; what they find in a text is put together, as occurrences of
+    several blocks may overlap.
+    """
+    sizes = [0] * len(texts_)
+    spans: list[list] = [[] for _ in texts_]
+    found: list[set] = [set() for _ in texts_]
     for block in blocks:
-        searches = tables(block.value, window)
-        for k, w in enumerate(words):
-            for search in searches:
-                for start, items in search.search(w):
-                    masks[k].update(range(start, start + search.length))
-                    found[k] |= items
-    return [(len(w), len(m), f) for w, m, f in zip(words, masks, found, strict=True)]
+        searches = _compiled(block, window)
+        for k, text in enumerate(texts_):
+            words = split_words(text)
+            own, items = _occurrences(words, searches)
+            sizes[k] = len(words)
+            spans[k] += own
+            found[k] |= items
+    return [(n, _covered(s), f) for n, s, f in zip(sizes, spans, found, strict=True)]
 
 
-_COMPILED: dict = {}  # per window, the last block's rows and its tables
+_COMPILED: dict = {}  # by the identity of a block's rows and the window: the rows and their tables, latest use last
 
 
 def _compiled(block, window: int) -> list[WuManber]:
     rows = block.value
-    if window not in _COMPILED or _COMPILED[window][0] is not rows:
-        _COMPILED[window] = (rows, tables(rows, window))
-    return _COMPILED[window][1]
+    kept = _COMPILED.pop((id(rows), window), None)
+    if kept is None:
+        while len(_COMPILED) >= KEPT_BLOCKS:
+            del _COMPILED[next(iter(_COMPILED))]
+        kept = (rows, tables(rows, window))
+    _COMPILED[id(rows), window] = kept
+    return kept[1]
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches put together up to HELD_BYTES, or as they come where one has more."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= HELD_BYTES:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def scan(
@@ -146,19 +175,17 @@ def scan(
     kind = source.schema["doc_id"].dataType
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                rows = _search_each(blocks, window, part.column(1).to_pylist())
-                names = [sorted({str(i) for i in f if i is not None}) for _, _, f in rows]
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0),
-                    pa.array([n for n, _, _ in rows], pa.int64()),
-                    pa.array([h for _, h, _ in rows], pa.int64()),
-                    pa.array([len(n) for n in names], pa.int64()),
-                    pa.array([hashlib.sha256(",".join(n).encode()).hexdigest() for n in names]),
-                    pa.array([h > 0 for _, h, _ in rows]),
-                ], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+        for part in _held(batches):
+            rows = _search_each(blocks, window, part.column(1).to_pylist())
+            names = [sorted({str(i) for i in f if i is not None}) for _, _, f in rows]
+            yield pa.RecordBatch.from_arrays([
+                part.column(0).combine_chunks(),
+                pa.array([n for n, _, _ in rows], pa.int64()),
+                pa.array([h for _, h, _ in rows], pa.int64()),
+                pa.array([len(n) for n in names], pa.int64()),
+                pa.array([hashlib.sha256(",".join(n).encode()).hexdigest() for n in names], pa.string()),
+                pa.array([h > 0 for _, h, _ in rows], pa.bool_()),
+            ], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
     return source.mapInArrow(judge, _RESULT.format(id=kind.simpleString()))
 
@@ -166,16 +193,17 @@ def scan(
 def without_contaminated(
     docs: DataFrame, benchmark: DataFrame, least_words: int = WINDOW, text_col: str = "text", **names: str
 ) -> DataFrame:
-    """The rows of ``docs`` in which fewer than ``least_words`` words are hit; all columns stay."""
+    """The rows of ``docs`` in which fewer than ``least_words`` words are hit; all columns stay.
+
+    A row with a null or empty text has no hits and stays, null ids and repeated rows are judged by their text
+    alone, ties do not arise, an empty benchmark keeps all rows, and an empty table gives none.
+    """
     blocks = _broadcast_blocks(
         benchmark, names.get("item_col", "item_id"), names.get("item_text_col", "text"), WINDOW
     )
 
     def hits(column: pa.Array) -> pa.Array:
-        return pa.array([
-            h for at in range(0, len(column), 512)
-            for _, h, _ in _search_each(blocks, WINDOW, column.slice(at, 512).to_pylist())
-        ], pa.int64())
+        return pa.array([h for _, h, _ in _search_each(blocks, WINDOW, column.to_pylist())], pa.int64())
 
     count = F.arrow_udf(hits, T.LongType())
     return docs.where(count(docs[text_col].cast("string")) < least_words)
