@@ -256,3 +256,18 @@ def test_pieces_of_the_order(spark):
     assert numbers == sorted(numbers) and len(set(numbers)) > 900 and pieces[0]["all_n"] == 5003
     totals = ordering.running_totals(counted, "_value", ["n"]).orderBy("_value").collect()
     assert [r["before_n"] for r in totals] == list(range(5003))
+
+
+def test_cuts_follow_from_the_values_alone(spark):
+    """However the rows lie, the pieces are the same: two uses may read a shuffle in different orders."""
+    from txn_risk.operators import ordering
+
+    rows = spark.range(60_000).select(((F.col("id") * 7919) % 1_000_003 / 100).alias("_value"), F.lit(1).alias("n"))
+
+    def pieces(counted):
+        out = ordering._with_pieces(counted, "_value", ["n"], []).groupBy("_piece").agg(F.count("*"), F.max("_value"))
+        return sorted(map(tuple, out.collect()))
+
+    got = pieces(rows.repartition(7))
+    assert got == pieces(rows.repartition(3).sortWithinPartitions(F.desc("_value")))
+    assert len(got) > ordering.PIECES // 2 and max(n for _, n, _ in got) < 60_000 / ordering.PIECES * 20

@@ -32,17 +32,24 @@ def _renamed(by: Sequence[str], suffix: str) -> list[Column]:
 def _with_pieces(counted: DataFrame, column: str, sums: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Add ``_piece``, which rises with the value, and ``all_<s>``.
 
-    Cuts come from a quantile sketch per group. Where they fall moves work between tasks, never a result.
-    Infinite values and NaN are the order's own ends and need no cut.
+    Cuts are a sample of the group's values, the one of least hash in each of ``PIECES`` hash buckets. Where they
+    fall moves work between tasks, never a result; but all uses must have the same cuts, so these follow from the
+    values alone. A quantile sketch would depend on the order in which parts are merged, and differ if a shuffle
+    is read in another order or made again. Infinite values and NaN are the order's own ends and need no cut.
     """
     finite = F.when(~F.isnan(column) & (F.abs(F.col(column)) < float("inf")), F.col(column))
-    shares = F.array(*[F.lit(i / PIECES) for i in range(1, PIECES)])
-    sketch = F.percentile_approx(finite, shares, F.lit(4 * PIECES))
+    hashed = F.xxhash64(column)
+    # The hash settles to which bucket a value goes and whether it stands for it; -0.0 and 0.0 are one value.
+    picked = F.min(F.when(finite.isNotNull(), F.struct(hashed.alias("hash"), (finite + 0.0).alias("value"))))
+    sampled = counted.groupBy(*by, F.pmod(hashed, F.lit(PIECES)).alias("_bucket")).agg(
+        picked.alias("_picked"), *[F.sum(s).alias(f"_sum_{s}") for s in sums],
+    )
     # The condition makes each use of the cuts ask for all columns, so that all of them read one shuffle.
-    counts = reduce(lambda a, b: a & b, [F.sum(s).isNotNull() for s in sums])
-    cuts = counted.groupBy(*by).agg(
-        F.coalesce(F.when(counts, sketch), F.array().cast("array<double>")).alias("_cuts"),
-        *[F.sum(s).alias(f"all_{s}") for s in sums],
+    counts = reduce(lambda a, b: a & b, [F.sum(f"_sum_{s}").isNotNull() for s in sums])
+    values = F.array_sort(F.collect_list("_picked.value"))  # at most PIECES by construction
+    cuts = sampled.groupBy(*by).agg(
+        F.coalesce(F.when(counts, values), F.array().cast("array<double>")).alias("_cuts"),
+        *[F.sum(f"_sum_{s}").alias(f"all_{s}") for s in sums],
     ).withColumn("_coarse", F.filter("_cuts", lambda _, i: i % STEP == 0))
     held = cuts.select(*_renamed(by, "_of"), "_cuts", "_coarse", *[f"all_{s}" for s in sums])
     value = F.col(column)
