@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from helpers import by_id, transactions
-from txn_risk.operators.dedup import first_per_key, latest_per_key
+from txn_risk.operators.dedup import first_per_key, latest_per_key, one_per_seldom_repeated
 from txn_risk.plans import marts, measures, quality, reports
 from txn_risk.plans.staging import clean, stage
 from txn_risk.schemas import DIM_CUSTOMERS, DIM_MERCHANTS, FCT_FEATURES, RAW
@@ -159,3 +159,23 @@ def test_measures_compute_only_what_is_asked(spark):
 )
 def test_distance_band_edges(spark, km, band):
     assert spark.range(1).select(reports.distance_band(F.lit(km)).alias("b")).first()["b"] == band
+
+
+@pytest.mark.parametrize("few_keys, few_copies", [(100, 100), (1, 100), (1, 1)])
+def test_seldom_repeated_keys_are_resolved_alike(spark, few_keys, few_copies):
+    """Repeated and missing keys give one row each, whichever way the rows take."""
+    rows = [(str(i), i) for i in range(50)] + [("3", 99), ("4", 98), ("4", 97), (None, 1), (None, 2)]
+    df = spark.createDataFrame(rows, "k string, v int").repartition(3)
+    got = one_per_seldom_repeated(df, "k", lambda r: latest_per_key(r, ["k"], ["v"]), few_keys, few_copies)
+    want = {**{str(i): i for i in range(50)}, "3": 99, "4": 98, None: 2}
+    assert got.count() == len(want) and dict(map(tuple, got.collect())) == want
+
+
+def test_unrepeated_rows_are_neither_sorted_nor_shuffled(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    raw(spark, *[{"trans_num": f"t{i}"} for i in range(5)], {"trans_num": "t3", "amt": 7.0}).write.parquet(path)
+    out = stage(spark.read.parquet(path))
+    assert out.count() == 5 and by_id(out, "amount")["t3"] in (7.0, 42.25)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    alone = plan[:plan.index("LeftSemi")]
+    assert "LeftAnti" in alone and "RepartitionByExpression" not in plan

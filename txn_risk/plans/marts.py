@@ -28,6 +28,11 @@ _CUSTOMER = (
     "cc_num", "first_name", "last_name", "gender", "street", "city", "state", "zip_code",
     "customer_lat", "customer_long", "city_population", "job_title", "date_of_birth",
 )
+# What the fact is made of.
+_FACT = (
+    "trans_num", "cc_num", "merchant_name", "category", "trans_timestamp", "unix_time", "amount", "is_fraud",
+    "customer_lat", "customer_long", "merchant_lat", "merchant_long", "ingested_at",
+)
 
 
 def customers(stg: DataFrame, as_of: dt.date | None = None) -> DataFrame:
@@ -86,13 +91,19 @@ def card_behaviour(rows: DataFrame, amount: str = "amount") -> DataFrame:
 
 
 def enrich(
-    stg: DataFrame, cust: DataFrame | None = None, merch: DataFrame | None = None
+    stg: DataFrame, cust: DataFrame | None = None, merch: DataFrame | None = None, by_day: bool = False,
 ) -> DataFrame:
-    """Staged rows with keys, distance, 24-hour count, z-score and calendar features."""
+    """Staged rows with keys, distance, 24-hour count, z-score and calendar features.
+
+    ``by_day`` brings the rows of a day together, for a table that is stored by day.
+    """
     rows = in_star(stg, cust, merch)
     ts: Column = F.col("trans_timestamp")
-    # Surrogate keys are made after the shuffle: two digests are wider than what they hash.
-    return attach_by_second(rows, card_behaviour(rows), "cc_num", "unix_time").select(
+    used = attach_by_second(rows.select(*_FACT), card_behaviour(rows), "cc_num", "unix_time")
+    if by_day:
+        used = used.withColumn("_day", F.to_date(ts)).hint("rebalance", "_day")
+    # Surrogate keys are made after the shuffles: two digests are wider than what they hash.
+    return used.select(
         "trans_num", customer_key(F.col("cc_num")).alias("customer_id"),
         merchant_key(F.col("merchant_name"), F.col("category")).alias("merchant_id"),
         "trans_timestamp", "unix_time", "amount",
@@ -129,9 +140,9 @@ def dim_merchants(stg: DataFrame) -> DataFrame:
 
 
 def fct_features(
-    stg: DataFrame, cust: DataFrame | None = None, merch: DataFrame | None = None
+    stg: DataFrame, cust: DataFrame | None = None, merch: DataFrame | None = None, by_day: bool = False,
 ) -> DataFrame:
-    return _audited(enrich(stg, cust, merch), FCT_FEATURES)
+    return _audited(enrich(stg, cust, merch, by_day), FCT_FEATURES)
 
 
 @dataclass(frozen=True)
@@ -149,6 +160,6 @@ class Star:
         self.fact.createOrReplaceTempView("fct_transactions_fraud_features")
 
 
-def star(stg: DataFrame, as_of: dt.date | None = None) -> Star:
+def star(stg: DataFrame, as_of: dt.date | None = None, by_day: bool = False) -> Star:
     """Marts over one staging table. Settle ``stg`` first when it is costly: three marts read it."""
-    return Star(dim_customers(stg, as_of), dim_merchants(stg), fct_features(stg))
+    return Star(dim_customers(stg, as_of), dim_merchants(stg), fct_features(stg, by_day=by_day))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from txn_risk.functions import clean_category, parse_date, parse_timestamp, parse_timestamp_lenient
-from txn_risk.operators.dedup import latest_per_key
+from txn_risk.operators.dedup import latest_per_key, one_per_seldom_repeated
 
 # Source name to staging name.
 RENAMES = {
@@ -62,9 +62,10 @@ def clean(raw: DataFrame, lenient: bool = False) -> DataFrame:
 
 def newest_copy(cleaned: DataFrame) -> DataFrame:
     """The most recently ingested record per ``trans_num``."""
-    return latest_per_key(
-        cleaned, ["trans_num"], ["ingested_at", "trans_timestamp", "unix_time", "cc_num", "amount"],
-    )
+    def newest(rows: DataFrame) -> DataFrame:
+        return latest_per_key(rows, ["trans_num"], ["ingested_at", "trans_timestamp", "unix_time", "cc_num", "amount"])
+
+    return one_per_seldom_repeated(cleaned, "trans_num", newest)
 
 
 def stage(raw: DataFrame, lenient: bool = False) -> DataFrame:

@@ -48,21 +48,25 @@ def build(
     Always from the whole raw table: counts, statistics and latest records of a slice would be those
     of the slice. Staging is stored first because every mart reads it, each only some of its columns.
     """
-    spark = raw.sparkSession
+    build_staging(raw, out_dir)
+    return build_marts(raw.sparkSession, out_dir, as_of)
+
+
+def build_staging(raw: DataFrame, out_dir: str) -> None:
+    """Write staging of the whole raw table."""
     (
         _by_day(stage(raw)).hint("rebalance", EVENT_DAY)
         .write.mode("overwrite").partitionBy(EVENT_DAY).parquet(f"{out_dir}/{quality.STAGING}")
     )
-    return build_marts(spark, out_dir, as_of)
 
 
 def build_marts(spark: SparkSession, out_dir: str, as_of: dt.date | None = None) -> marts.Star:
     """The three marts from stored staging; returns them as stored."""
-    made = marts.star(staging(spark, out_dir), as_of)
+    made = marts.star(staging(spark, out_dir), as_of, by_day=True)
     made.customers.write.mode("overwrite").parquet(f"{out_dir}/{quality.CUSTOMERS}")
     made.merchants.write.mode("overwrite").parquet(f"{out_dir}/{quality.MERCHANTS}")
     (
-        made.fact.withColumn(DAY, F.to_date("trans_timestamp")).hint("rebalance", DAY)
+        made.fact.withColumn(DAY, F.to_date("trans_timestamp"))
         .write.mode("overwrite").partitionBy(DAY).parquet(f"{out_dir}/{quality.FACT}")
     )
     return read(spark, out_dir)

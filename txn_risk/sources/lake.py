@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from txn_risk.functions import parse_timestamp_lenient
-from txn_risk.operators.dedup import first_per_key
+from txn_risk.operators.dedup import first_per_key, one_per_seldom_repeated
 from txn_risk.schemas import EVENT, RAW
 from txn_risk.session import discard, settle
 from txn_risk.sources.partitions import (
@@ -162,7 +162,9 @@ def raw_rows(
     if modified_after is not None:
         rows = rows.where(F.col("_metadata.file_modification_time") > F.lit(modified_after))
     # Repeats of a transaction are replays of one record; the earliest sent is kept.
-    kept = first_per_key(rows.select(*EVENT.fieldNames()), ["trans_num"], ["produced_at"])
+    kept = one_per_seldom_repeated(
+        rows.select(*EVENT.fieldNames()), "trans_num", lambda r: first_per_key(r, ["trans_num"], ["produced_at"]),
+    )
     key = F.coalesce("trans_num", F.raise_error(F.lit("trans_num is required")))
     return kept.withColumns({
         "trans_num": key, "ingested_at": F.lit(ingested_at).cast("timestamp"),
