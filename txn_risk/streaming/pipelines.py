@@ -106,10 +106,12 @@ def admitted(rows: DataFrame, number: int, ledger: str, total: int) -> DataFrame
         known = spark.read.schema("n long, batch long").parquet(ledger)
         before = known.where(F.col("batch") < number).agg(F.sum("n")).first()[0] or 0
     left = max(0, total - before)
-    n = rows.count()
+    n = rows.count() if left else 0  # nothing more may pass, however many these are
     spark.createDataFrame([(min(n, left),)], "n long").coalesce(1).write.mode("overwrite").parquet(
         f"{ledger}/batch={number}"
     )
+    if not left:
+        return rows.limit(0)
     return rows if n <= left else time_prefix(rows, left)
 
 
