@@ -18,7 +18,7 @@ from txn_risk.operators.dedup import latest_per_key
 from txn_risk.schemas import SCORE
 from txn_risk.session import discard, settle
 from txn_risk.sources.partitions import (
-    PartitionedTable, file_system, files, folder_values, note, of_files, remove, unread,
+    PartitionedTable, exists, file_system, files, folder_values, note, of_files, remove, unread,
 )
 
 # Days without a readable processing time.
@@ -134,9 +134,11 @@ def upsert(updates: DataFrame, table: str, buckets: int = BUCKETS, bucket_rows:
         hit = [r.bucket for r in new.select("bucket").distinct().collect()]
         if not hit:
             return []
-        before = held.read().where(F.col("bucket").isin(hit))
-        merged = latest_scores(before.unionByName(new)).withColumn("bucket", _bucket(F.col("trans_num"), n))
-        held.replace(merged)
+        if exists(spark, held.path):
+            before = held.read().where(F.col("bucket").isin(hit))
+            held.replace(latest_scores(before.unionByName(new)).withColumn("bucket", _bucket(F.col("trans_num"), n)))
+        else:
+            held.replace(new)  # one record per transaction already
         discard(new)
         fullest = held.read().where(F.col("bucket").isin(hit)).groupBy("bucket").count().agg(F.max("count")).first()[0]
         wanted = n
