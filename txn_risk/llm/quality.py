@@ -7,6 +7,7 @@ number and a document's logit is an average of numbers.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +25,8 @@ RATE = 0.4
 # Labelled rows that a fit reads at most, chosen by a hash of the id; and of their bytes.
 FIT_ROWS = 5_000
 FIT_BYTES = 24_000_000
+# Characters of texts whose features are made at once in a fit, which bounds the arrays on the way.
+SPARSE_CHARS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -43,22 +46,39 @@ class Model:
         return 1 / (1 + np.exp(-(total / np.maximum(count, 1) + self.bias)))
 
 
-def sparse(texts_: list[str | None], bits: int, **kinds) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each text its features and how often each occurs."""
-    out: list = [(np.zeros(0, np.int64), np.zeros(0))] * len(texts_)
-    for where, what in features(texts_, bits, **kinds):
-        key = where.astype(np.int64) << bits | what
-        key, n = np.unique(key, return_counts=True)
-        cuts = np.searchsorted(key, np.arange(len(texts_) + 1, dtype=np.int64) << bits)
-        for k in np.unique(key >> bits):
-            own = slice(cuts[k], cuts[k + 1])
-            ids, times = key[own] & ((1 << bits) - 1), n[own].astype(float)
-            if len(out[k][0]):  # a long text comes in parts
-                ids = np.concatenate([out[k][0], ids])
-                times = np.concatenate([out[k][1], times])
-                ids, inverse = np.unique(ids, return_inverse=True)
-                times = np.bincount(inverse, times)
-            out[k] = (ids, times)
+def _together(texts_: list[str | None], size: int) -> Iterator[slice]:
+    """Neighbouring texts of about ``size`` characters."""
+    first = held = 0
+    for k, text in enumerate(texts_, 1):
+        held += len(text or "")
+        if held >= size or k == len(texts_):
+            yield slice(first, k)
+            first, held = k, 0
+
+
+def sparse(
+    texts_: list[str | None], bits: int, together: int = SPARSE_CHARS, **kinds
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each text its features, rising, and how often each occurs.
+
+    Neighbours share one array of either kind, as narrow as its numbers allow: a fit holds all of them at
+    once, and many small arrays would leave gaps that the process does not give back.
+    """
+    out: list = [(np.zeros(0, np.int32), np.zeros(0, np.uint8))] * len(texts_)
+    for group in _together(texts_, together):
+        for where, what in features(texts_[group], bits, **kinds):
+            key = where.astype(np.int64) << bits | what
+            key, n = np.unique(key, return_counts=True)
+            present = np.unique(key >> bits)
+            cuts = np.append(np.searchsorted(key, present << bits), len(key))
+            all_ids = (key & ((1 << bits) - 1)).astype(np.int32)
+            all_times = n.astype(np.min_scalar_type(n.max()))
+            for k, start, end in zip((present + group.start).tolist(), cuts[:-1], cuts[1:], strict=True):
+                ids, times = all_ids[start:end], all_times[start:end]
+                if len(out[k][0]):  # a long text comes in parts
+                    ids, inverse = np.unique(np.concatenate([out[k][0], ids]), return_inverse=True)
+                    times = np.bincount(inverse, np.concatenate([out[k][1], times])).astype(np.int64)
+                out[k] = (ids, times)
     return out
 
 
@@ -75,7 +95,7 @@ def fit_rows(texts_: list[str | None], labels: list[int], seed: int = 7) -> Mode
             ids, times = docs[k]
             rate = RATE * (1 - done / steps)
             done += 1
-            share = (times / max(times.sum(), 1)).astype(np.float32)
+            share = (times.astype(float) / max(int(times.sum()), 1)).astype(np.float32)
             hidden = share @ table[ids] if len(ids) else np.zeros(DIMENSION, np.float32)
             logits = output @ hidden + bias
             p = np.exp(logits - logits.max())
