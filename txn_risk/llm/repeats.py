@@ -50,6 +50,9 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 _P_BACK = np.uint64(pow(int(_P), -1, 1 << 64))
 _Q = np.uint64(0xBF58476D1CE4E5B9)
 _LOW = np.uint64((1 << 20) - 1)
+# Letters that one number holds, and from which number on so many of its bytes are in use.
+HEAD = 8
+_HEAD_LIMITS = np.array([1 << 8 * i for i in range(HEAD)], np.uint64)
 _POWERS: list[np.ndarray] = []
 
 
@@ -106,75 +109,100 @@ def runs(raw: bytes, length: int = LENGTH, anchor: int = ANCHOR, reach: int = 0)
     return {k: np.concatenate(v).astype(np.int64, casting="unsafe") if v else np.zeros(0, np.int64) for k, v in out.items()}
 
 
+def _heads(data: np.ndarray) -> np.ndarray:
+    """The first HEAD letters of each rotation as a number."""
+    key = data.astype(np.uint64)
+    for step in (1, 2, 4):
+        key = (key << np.uint64(8 * step)) | np.roll(key, -step)
+    return key
+
+
 def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
     """Rotations of ``data`` in the order of their first ``depth`` letters or more, ties by place."""
     n = len(data)
-    key = np.zeros(n, np.uint64)
-    for i in range(8):
-        key = (key << np.uint64(8)) | np.roll(data, -i).astype(np.uint64)
+    key = _heads(data)
     order = np.argsort(key, kind="stable")
-    step, sorted_ = 8, key[order]
-    while True:
-        first = np.concatenate([[True], sorted_[1:] != sorted_[:-1]])
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(first) - 1
-        if step >= depth or first.all():
-            return order
-        pair = rank * n + np.roll(rank, -step)
+    sorted_, place, step = key[order], np.arange(n), HEAD
+    first = np.append(True, sorted_[1:] != sorted_[:-1])
+    # A rotation's rank is the place of the first that ties with it.
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(first, place, 0))
+    tied = np.flatnonzero(~(first & np.append(first[1:], True)))
+    while step < depth and len(tied):
         # Only rotations that still tie with a neighbour are sorted again.
-        tied = np.flatnonzero(~(first & np.append(first[1:], True)))
         own = order[tied]
-        order[tied] = own[np.lexsort((own, pair[own]))] if n >= 1 << 31 else own[np.argsort(pair[own], kind="stable")]
-        sorted_ = pair[order]
+        pair = rank[own] * n + rank[(own + step) % n]
+        again = np.argsort(pair, kind="stable")  # its keys are sorted by rank already
+        own, pair = own[again], pair[again]
+        order[tied] = own
+        first = np.append(True, pair[1:] != pair[:-1])
+        rank[own] = tied[np.maximum.accumulate(np.where(first, place[:len(tied)], 0))]
+        tied = tied[~(first & np.append(first[1:], True))]
         step *= 2
+    return order
 
 
 def boundaries(data: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     """For neighbours in ``order`` (k - 1, k) the length of their common prefix, or -1 from ``length`` on.
 
     Backward extension of all intervals, level by level: an interval's boundary that has no value yet
-    gets the level, and only then is the interval extended further.
+    gets the level, and only then is the interval extended further. The first HEAD levels are read off the
+    sorted heads.
     """
     n = len(data)
+    heads = _heads(data)[order]
+    known = HEAD - np.searchsorted(_HEAD_LIMITS, heads[1:] ^ heads[:-1], side="right")
+    prefix = np.full(n + 1, -1, np.int32)
+    prefix[1:n] = np.where(known < min(HEAD, length), known, -1)
+    prefix[0] = prefix[n] = 0
+    if length <= HEAD:
+        return prefix[:n]
+    low, high = (np.flatnonzero(prefix >= 0)[own] for own in (slice(-1), slice(1, None)))
+    new = (prefix[high] == HEAD - 1) & (high < n)
+    low, high = low[new], high[new]
+
     before = data[order - 1]
     by_letter = np.argsort(before, kind="stable")  # places sorted by (letter, place)
     occurrences = before[by_letter].astype(np.int64) * n + by_letter
     letters = np.unique(before).astype(np.int64)
     # Extending the suffix at a place backwards leads to ``to``; the next and the last place with the
     # same letter bound an interval of equal letters.
-    to = np.empty(n, np.int32)
-    to[by_letter] = np.arange(n, dtype=np.int32)
+    to = np.empty(n, np.int64)
+    to[by_letter] = np.arange(n)
     same = np.diff(before[by_letter]) == 0
     following, preceding = np.full(n, n, np.int32), np.full(n, -1, np.int32)
     following[by_letter[:-1][same]] = by_letter[1:][same]
     preceding[by_letter[1:][same]] = by_letter[:-1][same]
+    # Where the stretch of one letter ends that each place is in.
+    ends = np.append(np.flatnonzero(before[1:] != before[:-1]) + 1, n)
+    one_letter = np.repeat(ends, np.diff(ends, prepend=0))
 
-    prefix = np.full(n + 1, -1, np.int32)
-    prefix[0] = prefix[n] = 0
-    low, high = np.array([0], np.int64), np.array([n], np.int64)
-    for level in range(length):
+    for level in range(HEAD, length):
         if not len(low):
             break
-        size = high - low
-        wide = size > 2 * len(letters)
-        # Before a wide interval try all letters; before a narrow one look at those that stand there.
-        a, b = low[wide], high[wide]
-        letter = np.tile(letters, len(a)) * n
-        wide_low = np.searchsorted(occurrences, letter + np.repeat(a, len(letters)))
-        wide_high = np.searchsorted(occurrences, letter + np.repeat(b, len(letters)))
-        a, count = low[~wide], size[~wide]
-        at = np.repeat(a - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        if len(at) > len(a):
+        # Before an interval of one letter there is one interval, as wide.
+        one = one_letter[low] >= high
+        a = low[one]
+        new_lows = [to[a]]
+        new_highs = [new_lows[0] + (high[one] - a)]
+        if len(a) < len(low):
+            a, b = low[~one], high[~one]
+            size = b - a
+            wide = size > 2 * len(letters)
+            if wide.any():
+                # Before a wide interval try all letters; before a narrow one look at those that stand there.
+                letter = np.tile(letters * n, np.count_nonzero(wide))
+                new_lows.append(np.searchsorted(occurrences, letter + np.repeat(a[wide], len(letters))))
+                new_highs.append(np.searchsorted(occurrences, letter + np.repeat(b[wide], len(letters))))
+                a, b, size = a[~wide], b[~wide], size[~wide]
+            past = np.cumsum(size)
+            at = np.arange(past[-1] if len(past) else 0) + np.repeat(a - past + size, size)
             # Intervals of one level are disjoint and stay so: firsts and lasts pair up in order.
-            new_low = np.sort(to[at[preceding[at] < np.repeat(a, count)]])
-            new_high = np.sort(to[at[following[at] >= np.repeat(a + count, count)]]) + 1
-        else:
-            new_low = to[at]
-            new_high = new_low + 1
-        new_low = np.concatenate([wide_low, new_low])
-        new_high = np.concatenate([wide_high, new_high])
-        new = (new_low < new_high) & (prefix[new_high] < 0)
-        low, high = new_low[new].astype(np.int64), new_high[new].astype(np.int64)
+            new_lows.append(np.sort(to[at[preceding[at] < np.repeat(a, size)]]))
+            new_highs.append(np.sort(to[at[following[at] >= np.repeat(b, size)]]) + 1)
+        low, high = np.concatenate(new_lows), np.concatenate(new_highs)
+        new = (low < high) & (prefix[high] < 0)
+        low, high = low[new], high[new]
         prefix[high] = level
     return prefix[:n]
 
