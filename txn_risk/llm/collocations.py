@@ -14,8 +14,8 @@ by its words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Iterable, Iterator
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,8 @@ TRIGGER = 16
 STRETCH = 64
 # Bytes handled at once; a longer text is handled in parts that overlap like chunks.
 BYTES = 1 << 20
+# Rows of counted phrases that a task holds at most before they leave it.
+GATHER_ROWS = 1 << 19
 # Bits of the bitmap for each frequent phrase, and bits of the largest one (64 MB).
 BITS_EACH = 64
 MOST_BITS = 1 << 29
@@ -44,6 +46,7 @@ _PLAIN = bytes(
 )
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
+_INVERSE = pow(int(_BASE), -1, 1 << 64)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -52,8 +55,13 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-_UP = _powers(int(_BASE), 1 << 16)
-_DOWN = _powers(pow(int(_BASE), -1, 1 << 64), 1 << 16)
+# So many powers are kept, of those of the base and of its inverse: as many as parts of texts have bytes.
+KEPT_POWERS = 1 << 21
+
+
+@cache
+def _kept(base: int) -> np.ndarray:
+    return _powers(base, KEPT_POWERS)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -64,13 +72,17 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _power(table: np.ndarray, base: int, at: np.ndarray) -> np.ndarray:
-    """``base ** at`` modulo 2 ** 64 by two steps of the table of the low powers."""
-    low = table[at & 0xFFFF]
-    high = at >> 16
-    if not high.any():
-        return low
-    return low * _powers(pow(base, 1 << 16, 1 << 64), int(high.max()) + 1)[high]
+def _power(base: int, at: np.ndarray | slice) -> np.ndarray:
+    """``base ** at`` modulo 2 ** 64 for rising ``at``; what lies beyond the kept powers by two steps."""
+    table = _kept(base)
+    if isinstance(at, slice):
+        if at.stop <= len(table):
+            return table[at]
+        at = np.arange(at.stop)
+    if not len(at) or at[-1] < len(table):
+        return table[at]
+    steps = _powers(pow(base, len(table), 1 << 64), int(at[-1]) // len(table) + 1)
+    return table[at % len(table)] * steps[at // len(table)]
 
 
 class Words:
@@ -78,15 +90,16 @@ class Words:
     ends, and a hash of each."""
 
     def __init__(self, data: np.ndarray):
-        solid = (data != 32) & (data != 10)
-        edge = np.diff(solid.astype(np.int8), prepend=0, append=0)
-        self.starts = np.flatnonzero(edge == 1)
-        self.ends = np.flatnonzero(edge == -1)
-        at = np.arange(len(data), dtype=np.int64)
-        inverse = pow(int(_BASE), -1, 1 << 64)
+        solid = np.zeros(len(data) + 2, bool)
+        np.not_equal(data, 32, out=solid[1:-1])
+        solid[1:-1] &= data != 10
+        edge = np.flatnonzero(solid[1:] != solid[:-1])
+        self.starts, self.ends = edge[::2].copy(), edge[1::2].copy()
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(_UP, int(_BASE), at), out=sums[1:])
-        own = (sums[self.ends] - sums[self.starts]) * _power(_DOWN, inverse, self.starts)
+        codes = np.add(data, 1, dtype=np.uint64)
+        codes *= _power(int(_BASE), slice(len(data)))
+        np.cumsum(codes, out=sums[1:])
+        own = (sums[self.ends] - sums[self.starts]) * _power(_INVERSE, self.starts)
         self.hashes = _mixed(own + (self.ends - self.starts).astype(np.uint64) * _STEP)
 
 
@@ -253,10 +266,13 @@ class Grams:
         self.data = np.insert(held, offsets[1:] - offsets[0], 10)
         self.words = Words(self.data)
         starts = offsets[:-1] - offsets[0] + np.arange(len(chunk))
-        self.chunk = np.searchsorted(starts, self.words.starts, side="right") - 1
-        self.last = np.searchsorted(self.chunk, np.arange(len(chunk)), side="right")[self.chunk]
-        self.own = np.arange(len(self.chunk)) < self.last - tail[self.chunk]
-        self.seed = seed[self.chunk]
+        first = np.searchsorted(self.words.starts, starts)
+        following = np.append(first[1:], len(self.words.starts))
+        number = following - first
+        self.chunk = np.repeat(np.arange(len(chunk)), number)
+        self.last = np.repeat(following, number)
+        self.own = np.arange(len(self.chunk)) < np.repeat(following - tail, number)
+        self.seed = np.repeat(seed, number)
         self._hashes: dict[int, np.ndarray] = {}
 
     def hashes(self, k: int) -> np.ndarray:
@@ -305,9 +321,22 @@ def hash_name(lang: str) -> int:
     return int(_mixed(np.asarray([(raw * _powers(int(_BASE), len(raw))).sum()], np.uint64))[0])
 
 
-def _counted(rows: pa.Table, keys: list[str]) -> Iterator[pa.RecordBatch]:
-    summed = rows.group_by(keys).aggregate([("times", "sum")]).rename_columns([*keys, "times"])
-    yield from summed.combine_chunks().to_batches()
+def _summed(rows: pa.Table, keys: list[str]) -> pa.Table:
+    return rows.group_by(keys).aggregate([("times", "sum")]).rename_columns([*keys, "times"])
+
+
+def _gathered(parts: Iterable[pa.Table], keys: list[str], most: int = GATHER_ROWS) -> Iterator[pa.RecordBatch]:
+    """The sums of ``times`` by ``keys``, those of many parts together; at most about ``most`` rows are held."""
+    held: list[pa.Table] = []
+    for part in parts:
+        held.append(_summed(part, keys))
+        if sum(t.num_rows for t in held) < most:
+            continue
+        held = [_summed(pa.concat_tables(held), keys)]
+        if 2 * held[0].num_rows > most:  # few of them met
+            yield from held.pop().combine_chunks().to_batches(1 << 16)
+    if held:
+        yield from _summed(pa.concat_tables(held), keys).combine_chunks().to_batches(1 << 16)
 
 
 def frequent_hashes(dictionary: DataFrame, k: int, least: int, shorter) -> DataFrame:
@@ -315,9 +344,14 @@ def frequent_hashes(dictionary: DataFrame, k: int, least: int, shorter) -> DataF
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for grams, part in _grams(batches):
             at = grams.possible(k, shorter.value)
+            if not len(at):
+                continue
             h = grams.hashes(k)[at].view(np.int64)
-            times = part.column("times").to_numpy()[grams.chunk[at]]
-            yield from _counted(pa.table({"h": h, "times": times}), ["h"])
+            order = np.argsort(h)
+            h = h[order]
+            first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+            times = np.add.reduceat(part.column("times").to_numpy()[grams.chunk[at[order]]], first)
+            yield pa.RecordBatch.from_arrays([pa.array(h[first]), pa.array(times)], names=["h", "times"])
 
     counts = dictionary.mapInArrow(hashed, "h long, times long").groupBy("h").agg(F.sum("times").alias("f"))
     return counts.where(F.col("f") >= least).select("h")
@@ -328,7 +362,7 @@ def phrases(dictionary: DataFrame, ks: list[int], maps: dict, least: int) -> Dat
 
     ``maps`` has the bitmap of each ``k``; without one every phrase of that length is counted.
     """
-    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         for grams, part in _grams(batches):
             for k in ks:
                 at = grams.possible(k, None)
@@ -337,12 +371,14 @@ def phrases(dictionary: DataFrame, ks: list[int], maps: dict, least: int) -> Dat
                 if not len(at):
                     continue
                 of = grams.chunk[at]
-                rows = pa.table({
+                yield pa.table({
                     "lang": part.column("lang").take(pa.array(of)), "phrase": grams.texts(at, k),
                     "k": pa.array(np.full(len(at), k, np.int32)), "h": grams.hashes(k)[at].view(np.int64),
                     "times": part.column("times").to_numpy()[of],
                 })
-                yield from _counted(rows, ["lang", "phrase", "k", "h"])
+
+    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _gathered(found(batches), ["lang", "phrase", "k", "h"])
 
     kind = "lang string, phrase string, k int, h long, times long"
     counted = dictionary.mapInArrow(written, kind).groupBy("lang", "phrase").agg(
