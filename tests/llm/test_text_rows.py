@@ -1,6 +1,7 @@
 """Operators that judge each document by itself or count it, against plain versions."""
 
 import bisect
+import random
 from collections import Counter
 from types import SimpleNamespace
 
@@ -91,6 +92,25 @@ def test_repeats_match_plain_search(spark, monkeypatch, length, anchor, together
     assert as_multiset(tuple(r) for r in got) == as_multiset(want)
 
 
+def test_a_line_over_and_over_is_a_few_rows(spark, monkeypatch):
+    rng = random.Random(8)
+    line = "".join(rng.choices("abcdefgh", k=50)) + "\n"
+    noise = lambda: "".join(rng.choices("ijklmnop", k=90))
+    docs = [(i, noise() + line * 200 + noise()) for i in range(4)] + [(4, noise()), (5, line * 200)]
+    sizes, settled = {}, repeats.settle
+
+    def counted(df, name):
+        out = settled(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(repeats, "settle", counted)
+    got = repeats.removed(frame(spark, docs), 40, 12).collect()
+    want = [(i, *x) for (i, _), x in zip(docs, brute.repeats([t for _, t in docs], 40), strict=True)]
+    assert as_multiset(tuple(r) for r in got) == as_multiset(want)
+    assert len(docs) < sizes["shared-runs"] < 20 * len(docs)
+
+
 @pytest.mark.parametrize("shared", [399, 401])
 def test_transforms_stay_small_where_many_runs_share_an_anchor(monkeypatch, shared):
     rng = np.random.default_rng(5)

@@ -249,7 +249,27 @@ def repeated_lengths(
 
 _PIECE = "anchor long, block long, content long, `from` int, starts int, bytes binary"
 _NO_SPANS = "cast(array() as array<struct<start:long,end:long>>)"
-_RUN = "struct<anchor:long,start:long,size:int,at:int,fit:int,content:long>"
+_RUN = "struct<anchor:long,start:long,size:int,at:int,fit:int,content:long,again:array<long>>"
+
+
+def _kinds_of_texts(owner: np.ndarray, flat: dict[str, np.ndarray]) -> tuple[np.ndarray, pa.ListArray]:
+    """Which runs are the first of their kind in the text ``owner``, and the starts of the further ones of each.
+
+    Where a text repeats a line over and over, a kind recurs with each line: it is one row all the same.
+    """
+    order = np.lexsort((flat["content"], flat["anchor"], owner))
+    same = np.ones(max(0, len(order) - 1), bool)
+    for column in (owner, flat["anchor"], flat["content"]):
+        sorted_ = column[order]
+        same &= sorted_[1:] == sorted_[:-1]
+    new = np.append(True, ~same)[:len(order)]
+    first = np.zeros(len(order), bool)
+    first[order[new]] = True
+    further = order[~new]
+    leader = (np.cumsum(first) - 1)[order[new][(np.cumsum(new) - 1)[~new]]]
+    ends = np.cumsum(np.append(0, np.bincount(leader, minlength=np.count_nonzero(first))))
+    starts = flat["start"][further[np.argsort(leader, kind="stable")]]
+    return first, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(starts, pa.int64()))
 
 
 def _describe(docs: DataFrame, id_col: str, text_col: str, length: int, anchor: int, reach: int) -> DataFrame:
@@ -261,11 +281,13 @@ def _describe(docs: DataFrame, id_col: str, text_col: str, length: int, anchor:
                 part = batch.slice(at, 512)
                 raw = [t.encode("utf-8", "surrogatepass") for t in part.column(2).to_pylist()]
                 found = [runs(r, length, anchor, reach) for r in raw]
-                ends = np.cumsum([0, *(len(f["start"]) for f in found)])
                 flat = {k: np.concatenate([f[k] for f in found]) for k in RUN_FIELDS}
+                owner = np.repeat(np.arange(len(found)), [len(f["start"]) for f in found])
+                first, again = _kinds_of_texts(owner, flat)
+                ends = np.cumsum(np.append(0, np.bincount(owner[first], minlength=len(found))))
                 own = pa.StructArray.from_arrays(
-                    [pa.array(v.astype(np.int32) if k in ("size", "at", "fit") else v) for k, v in flat.items()],
-                    names=list(flat),
+                    [pa.array(v[first].astype(np.int32) if k in ("size", "at", "fit") else v[first]) for k, v in flat.items()]
+                    + [again], names=[*flat, "again"],
                 )
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), pa.array([len(r) for r in raw], pa.int64()),
@@ -415,14 +437,13 @@ def _of_anchors(rows: DataFrame, anchors: DataFrame, number: str, total: int) ->
 
 
 def _bytes_of(windows: str, length: int):
-    """Pairs of first and end of windows in a run as spans of the text's bytes."""
-    pairs = F.transform(
+    """Pairs of first and end of windows in a text's runs of one kind as spans of the text's bytes."""
+    pairs = F.flatten(F.transform(F.concat(F.array("start"), "again"), lambda start: F.transform(
         F.sequence(F.lit(0), F.size(windows) - 2, F.lit(2)),
         lambda i: F.struct(
-            (F.col("start") + F.get(windows, i)).alias("start"),
-            (F.col("start") + F.get(windows, i + 1) + length - 1).alias("end"),
+            (start + F.get(windows, i)).alias("start"), (start + F.get(windows, i + 1) + length - 1).alias("end")
         ),
-    )
+    )))
     return F.when(F.size(windows) > 0, pairs).otherwise(F.expr(_NO_SPANS))
 
 
@@ -444,13 +465,17 @@ def find(
         ).withColumn("rid", F.monotonically_increasing_id()), "run-classes",
     )
     entries = classes.select("rid", "copied", F.explode("runs").alias("run")).select("rid", "copied", "run.*")
-    met = settle(entries.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "met-anchors")
+    # A row is a text's runs of one kind, so joins by kind make no more rows than texts have kinds.
+    runs_of = F.sum(F.size("again") + 1)
+    met = settle(entries.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), runs_of.alias("met")).where(
+        "met > 1"
+    ).drop("met"), "met-anchors")
     number = met.agg(F.sum("n")).first()[0] or 0
     shared = settle(_of_anchors(entries, met, "n", number).drop("n"), "shared-runs")
     # Equal runs are one kind; a kind that occurs twice, or in a copied text, is repeated as a whole.
     kinds = settle(
         shared.groupBy("anchor", "content").agg(
-            ((F.count(F.lit(1)) > 1) | F.max("copied")).alias("whole"),
+            ((runs_of > 1) | F.max("copied")).alias("whole"),
             F.min(F.struct("rid", "start")).alias("source"), F.first("size").alias("size"), F.first("at").alias("at"),
             F.first("fit").alias("fit"),
         ), "run-kinds",
@@ -486,13 +511,13 @@ def find(
             _judge(length, reach), "anchor long, content long, windows array<int>, grown array<int>"
         ), "judged-runs",
     )
-    # Windows (in pairs of first and end) by kind of run, put back to every run of that kind.
+    # Windows (in pairs of first and end) by kind of run, put back to every text with runs of that kind.
     whole = kinds.where("whole").select(
         "anchor", "content", F.array(F.lit(0), "size").alias("windows"),
         F.when(F.col("fit") > 0, F.array(F.lit(0), "fit")).otherwise(F.expr("cast(array() as array<int>)")).alias("grown"),
     )
     found = judged.join(whole.select("anchor", "content"), ["anchor", "content"], "left_anti").unionByName(whole)
-    hit = shared.where(~F.col("copied")).select("anchor", "content", "rid", "start").join(
+    hit = shared.where(~F.col("copied")).select("anchor", "content", "rid", "start", "again").join(
         found, ["anchor", "content"]
     ).select("rid", _bytes_of("windows", length).alias("spans"), _bytes_of("grown", reach).alias("grown"))
     merged = hit.groupBy("rid").agg(*[
