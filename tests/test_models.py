@@ -113,6 +113,14 @@ def test_training_run(trained):
     assert training.promotion_gate(trained.card, champion=trained.card) is False
 
 
+def test_fits_read_one_stored_frame(trained, split):
+    made = training.training_frame(batch_features(split[0], trained.baseline)).select(*trained.frame.columns)
+    assert sorted(map(str, trained.frame.collect())) == sorted(map(str, made.collect()))
+    # Neither features nor weights are computed again by those who read it.
+    plan = trained.frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("\n") <= 1 and "Relation" in plan
+
+
 def test_logistic_importance_uses_coefficients(split):
     frame = training.training_frame(batch_features(split[1], Baseline.fit(split[0])))
     model = training.candidates(3000, SMALL, [training.LOGISTIC])[training.LOGISTIC].fit(frame)

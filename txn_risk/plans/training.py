@@ -297,6 +297,7 @@ class Trained:
     ranking: DataFrame
     importance: list[tuple[str, float]]
     card: DataFrame
+    frame: DataFrame
 
 
 def train(
@@ -307,7 +308,8 @@ def train(
     """Compare models on ``train_rows``, refit the best, tune its threshold on its training scores
     and judge it on the later ``test_rows``.
 
-    Both feature matrices are settled: each is read many times, by iterative fits.
+    Both feature matrices are settled: each is read many times, by iterative fits. The training rows are settled as
+    the fits read them, with vectors and weights, and are part of the result.
     """
     spark = train_rows.sparkSession
     chosen = time_prefix(train_rows, sample)
@@ -315,7 +317,11 @@ def train(
     kept = Baseline(settle(baseline.cards, "cards"), settle(baseline.overall, "overall"))
     train_features = settle(batch_features(chosen, kept, tie_policy), "train")
     test_features = settle(batch_features(test_rows, kept, tie_policy), "test")
-    frame = training_frame(train_features)
+    frame = settle(
+        training_frame(train_features).select(
+            "trans_num", "is_fraud", "label", "features", "w_balanced", "w_positive"
+        ), "frame",
+    )
 
     def models(rows: int) -> dict[str, Estimator]:
         return candidates(rows, settings, names)
@@ -336,7 +342,7 @@ def train(
     holdout = holdout_comparison(test_scored, threshold)
     importance = feature_importance(model)
     card = model_card(spark, name, threshold, cv, holdout, ranking, importance)
-    return Trained(name, model, kept, threshold, per_fold, cv, holdout, ranking, importance, card)
+    return Trained(name, model, kept, threshold, per_fold, cv, holdout, ranking, importance, card, frame)
 
 
 def model_card(
