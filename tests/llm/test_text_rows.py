@@ -260,6 +260,31 @@ def test_pieces_are_the_tokenizer_s_ids(spark):
     assert len(sequences) <= 1.02 * sum(r.length for r in got) / 64 + 1
 
 
+def test_cut_texts_keep_the_library_s_ids(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "LAID", 7)
+    monkeypatch.setattr(packing, "REMEMBERED", 300)
+    library, encoder = Tokenizer.from_file(vocabulary()), packing.Encoder(vocabulary())
+    rng = random.Random(3)
+    atoms = [*"aZé×ʯ0.,!<|>'\n\t\r\x1c\x85\xa0\u2003\u3000中\U0001f600\xff\x00", *" " * 9, "'ll", " the", "<|endoftext|>"]
+    for n in range(0, 400, 20):
+        drawn = ["".join(rng.choices(atoms, k=rng.choice((0, 1, 3, 20)))) for _ in range(n)]
+        want = [np.asarray(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in drawn]
+        assert encoder.encode(pa.array(["x", *drawn, "y"]).slice(1, n)) == want
+
+
+def test_a_word_is_learned_once_whatever_follows_it(monkeypatch):
+    encoder = packing.Encoder(vocabulary())
+    merged, merge = [], encoder._merge
+    monkeypatch.setattr(encoder, "_merge", lambda pieces: merge(merged.extend(pieces) or pieces))
+    words = [f"wo{a}{b}" for a in "abcdefgh" for b in "abcdefgh"]
+    text = " " + " ".join(w + after for w in words for after in ("", ",", ".", "!!", ".\nthe"))
+    encoder.encode(pa.array([text]))
+    assert sorted(merged) == sorted([*(" " + w for w in words), ",", ".", "!!", "\n", "the"])
+    assert len(encoder.known) == len(merged)
+
+
 def test_ranking_in_parts(spark, monkeypatch):
     monkeypatch.setattr(packing, "RANKED_TOGETHER", 3)
     docs = [(i, "same words here") for i in range(50)] + [(i, "x " * i) for i in range(40)]
