@@ -113,13 +113,11 @@ class Encoder:
             for piece, begin, to in zip(group, cuts[:-1], cuts[1:], strict=True):
                 self.known[piece] = held[begin + 4:to]
 
-    def _learn(self, parts: list[str]) -> None:
-        new = [part for part in parts if part not in self.known]
+    def _learn(self, new: list[str]) -> None:
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
-            new = parts
         split, single, others = {}, [], []
-        for part in dict.fromkeys(new):
+        for part in new:
             if _WORD.fullmatch(part):
                 single.append(part)
             elif max(part) < "\u0250":
@@ -148,8 +146,11 @@ class Encoder:
         numbered = numbered.dictionary_encode()
         which = numbered.indices.to_numpy()
         parts = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
-        self._learn(parts)
-        coded = [self.known[part] for part in parts]
+        coded = list(map(self.known.get, parts))
+        new = [k for k, ids in enumerate(coded) if ids is None]
+        self._learn([parts[k] for k in new])
+        for k in new:
+            coded[k] = self.known[parts[k]]
 
         lengths = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         starts = np.cumsum(lengths) - lengths
