@@ -22,9 +22,9 @@ CAPACITY = 2048
 # Parts of texts whose ids a Python worker remembers.
 REMEMBERED = 1_000_000
 # Bytes of text that are split at once; a longer text is split by itself.
-CHUNK = 1 << 23
-# New pieces that the library merges as one text, and parts whose ids are laid out at once.
-JOINED, LAID = 64, 1 << 16
+CHUNK = 1 << 22
+# New pieces that the library merges as one text, such texts in a call, and parts laid out at once.
+JOINED, CALLED, LAID = 64, 64, 1 << 16
 # Rows that one window may rank: fewer than this of one length stay together.
 RANKED_TOGETHER = 20_000
 
@@ -104,14 +104,16 @@ class Encoder:
 
     def _merge(self, pieces_: list[str]) -> None:
         groups = [pieces_[at:at + JOINED] for at in range(0, len(pieces_), JOINED)]
-        raw = [np.frombuffer(b"\xff".join(map(str.encode, g)), np.uint8) for g in groups]
-        written = [self.written[r].tobytes().decode("utf-32-le") for r in raw]
-        for group, coded in zip(groups, self.merger.encode_batch_fast(written), strict=True):
-            ids = np.array(coded.ids, "<u4")
-            cuts = [-4, *(4 * np.flatnonzero(ids == self.between)).tolist(), 4 * len(ids)]
-            held = ids.tobytes()
-            for piece, begin, to in zip(group, cuts[:-1], cuts[1:], strict=True):
-                self.known[piece] = held[begin + 4:to]
+        for at in range(0, len(groups), CALLED):  # the library's own results are large
+            own = groups[at:at + CALLED]
+            raw = [np.frombuffer(b"\xff".join(map(str.encode, g)), np.uint8) for g in own]
+            written = [self.written[r].tobytes().decode("utf-32-le") for r in raw]
+            for group, coded in zip(own, self.merger.encode_batch_fast(written), strict=True):
+                ids = np.array(coded.ids, "<u4")
+                cuts = [-4, *(4 * np.flatnonzero(ids == self.between)).tolist(), 4 * len(ids)]
+                held = ids.tobytes()
+                for piece, begin, to in zip(group, cuts[:-1], cuts[1:], strict=True):
+                    self.known[piece] = held[begin + 4:to]
 
     def _learn(self, new: list[str]) -> None:
         if len(self.known) + len(new) > REMEMBERED:
